@@ -196,12 +196,12 @@ def q_price_ridge_1f(spark, d):
 
 
 def q_price_glm_predict(spark, d):
-    _, pred = M.fit_price_model(_cleaned(spark, d))
+    _, pred = M.fit_price_model(_cleaned(spark, d), handle_invalid="keep")
     return pred.select("id", "label", "prediction")
 
 
 def q_price_glm_rmse(spark, d):
-    _, pred = M.fit_price_model(_cleaned(spark, d))
+    _, pred = M.fit_price_model(_cleaned(spark, d), handle_invalid="keep")
     return M.rmse(pred)
 
 
@@ -211,7 +211,7 @@ def q_price_glm_cv(spark, d):
 
 def q_price_glm_profit(spark, d):
     cleaned = _cleaned(spark, d)
-    model, _ = M.fit_price_model(cleaned)
+    model, _ = M.fit_price_model(cleaned, handle_invalid="keep")
     train, valid = M.hash_split(cleaned, "id", (0.8, 0.2), 5)
     requests = valid.drop("future_occupancy", "price").withColumnRenamed("id", "host_id")
     return profit.best_price(requests, profit.model_log_price(model))
