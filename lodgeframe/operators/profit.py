@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgeframe.functions.parse import exp_to_int, monthly_profit
+from lodgeframe.operators.util import ensure_parallelism
 
 # Fixed value: grid resolution (occupancy steps of 1 / GRID_STEPS).
 GRID_STEPS = 1000
@@ -27,7 +28,7 @@ HOST = "host_id"
 
 def occupancy_grid(hosts: DataFrame, steps: int = GRID_STEPS) -> DataFrame:
     """S7 + J5: every host row x occupancy k / steps for k = 1..steps (k kept as ``occ_k``)."""
-    return hosts.withColumn("occ_k", F.explode(F.sequence(F.lit(1), F.lit(steps)))) \
+    return ensure_parallelism(hosts).withColumn("occ_k", F.explode(F.sequence(F.lit(1), F.lit(steps)))) \
         .withColumn("future_occupancy", F.col("occ_k") / F.lit(float(steps)))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lodgeframe.functions import text as T
 from lodgeframe.functions.parse import polarity_to_rating
-from lodgeframe.operators.util import size_checked_broadcast
+from lodgeframe.operators.util import ensure_parallelism, size_checked_broadcast
 
 DICT_BROADCAST_ROWS = 5_000_000
 
@@ -121,7 +121,8 @@ def prepare_reviews(reviews: DataFrame) -> DataFrame:
 
 def tokens(docs: DataFrame, id_col: str = "id", text_col: str = "comments") -> DataFrame:
     """(id, pos, token) whitespace tokens of the whole text (pos from 0)."""
-    return docs.select(id_col, F.posexplode(T.whitespace_tokens(text_col)).alias("pos", "token"))
+    return ensure_parallelism(docs).select(
+        id_col, F.posexplode(T.whitespace_tokens(text_col)).alias("pos", "token"))
 
 
 def remove_stop_words(toks: DataFrame, stop_words: DataFrame) -> DataFrame:

@@ -21,3 +21,19 @@ def size_checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 def checkpoint_table(df: DataFrame) -> DataFrame:
     """Cut lineage through the session's checkpoint folder (reliable, not local)."""
     return df.checkpoint(eager=True)
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a few-partition input before CPU-heavy per-row work (pairs, explode).
+
+    A small file is one scan task, so everything fused after it (distance
+    pairs, token explode, occupancy grid) would run on one core. When the
+    frame has fewer partitions than ``min_partitions`` (default: the
+    cluster's default parallelism) it is round-robin repartitioned; a large
+    input already has more partitions and is left alone (no extra shuffle).
+    """
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
