@@ -95,9 +95,11 @@ def fit_price_model(cleaned: DataFrame, seed: int = 5, reg_param: float = GLM_RE
     """Train on the 80% hash split; returns (model, validation predictions).
 
     ``handle_invalid='keep'`` gives categories unseen in training their own
-    index instead of failing on the held-out rows.
+    index instead of failing on the held-out rows. The labelled input is
+    checkpointed once (the session's checkpoint folder) so the fit's several
+    passes do not recompute its lineage.
     """
-    data = log_label(cleaned)
+    data = log_label(cleaned).checkpoint()
     train, validation = hash_split(data, "id", (0.8, 0.2), seed)
     model = price_pipeline(reg_param, max_iter, handle_invalid=handle_invalid).fit(train)
     return model, model.transform(validation)
@@ -114,7 +116,7 @@ def tune_price_model(cleaned: DataFrame, seed: int = 5, reg_params=CV_REG_PARAMS
     point (grid order) with the lowest mean RMSE, as CrossValidator picks it.
     Categories missing from a training fold get their own index (``keep``).
     """
-    data = log_label(cleaned)
+    data = log_label(cleaned).checkpoint()
     train, _ = hash_split(data, "id", (0.8, 0.2), seed)
     pipe = price_pipeline(reg_param=reg_params[0], max_iter=max_iters[0],
                           handle_invalid=handle_invalid)

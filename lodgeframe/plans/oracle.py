@@ -170,6 +170,16 @@ FEATURES_INNER = f"""features AS (
   WHERE num_bus_2km > 0 AND num_subway_2km > 0 AND num_shop_2km > 0
     AND num_restaurant_2km > 0)"""
 
+FEATURES_ALL = """features_all AS (
+  SELECT l.listing_id,
+    coalesce(f.num_bus_2km, 0) AS num_bus_2km, coalesce(f.num_subway_2km, 0) AS num_subway_2km,
+    coalesce(f.num_shop_2km, 0) AS num_shop_2km, n.nearest AS nearest_shop_m,
+    coalesce(f.num_restaurant_2km, 0) AS num_restaurant_2km
+  FROM (SELECT DISTINCT listing_id FROM locs) l
+  LEFT JOIN feats f ON l.listing_id = f.listing_id
+  LEFT JOIN (SELECT listing_id, min(d) AS nearest FROM pairs WHERE category = 'shopping'
+             GROUP BY listing_id) n ON l.listing_id = n.listing_id)"""
+
 CLEANED = """cleaned AS (
   SELECT t.id, t.latitude, t.longitude, f.num_bus_2km, f.num_subway_2km, f.num_shop_2km,
     f.nearest_shop_m, f.num_restaurant_2km, t.neighbourhood_cleansed, t.room_type,
@@ -337,15 +347,8 @@ FROM (SELECT CAST(month(TRY_CAST(date AS DATE)) AS INTEGER) AS month,
         """SELECT listing_id, num_bus_2km, num_subway_2km, num_shop_2km,
   round(nearest_shop_m, 3) AS nearest_shop_m, num_restaurant_2km FROM features"""
     q["listing_poi_features_all"] = _with(LISTINGS, OSM_NODES, NODES_KEPT, POIS, LOCS, PAIRS,
-                                          FEATS_INNER) + \
-        """SELECT l.listing_id,
-  coalesce(f.num_bus_2km, 0) AS num_bus_2km, coalesce(f.num_subway_2km, 0) AS num_subway_2km,
-  coalesce(f.num_shop_2km, 0) AS num_shop_2km, round(n.nearest, 3) AS nearest_shop_m,
-  coalesce(f.num_restaurant_2km, 0) AS num_restaurant_2km
-FROM (SELECT DISTINCT listing_id FROM locs) l
-LEFT JOIN feats f ON l.listing_id = f.listing_id
-LEFT JOIN (SELECT listing_id, min(d) AS nearest FROM pairs WHERE category = 'shopping'
-           GROUP BY listing_id) n ON l.listing_id = n.listing_id"""
+                                          FEATS_INNER, FEATURES_ALL) + \
+        "SELECT * REPLACE (round(nearest_shop_m, 3) AS nearest_shop_m) FROM features_all"
     q["nearest_shop"] = _with(LISTINGS, OSM_NODES, NODES_KEPT, POIS, LOCS, PAIRS) + \
         """SELECT listing_id, round(min(d), 3) AS nearest_m FROM pairs
 WHERE category = 'shopping' GROUP BY listing_id"""
@@ -353,6 +356,12 @@ WHERE category = 'shopping' GROUP BY listing_id"""
                     FEATURES_INNER, CLEANED)
     q["cleaned_listing"] = _with(*cleaned_ctes) + \
         "SELECT * REPLACE (round(nearest_shop_m, 3) AS nearest_shop_m) FROM cleaned"
+    q["cleaned_listing_all"] = _with(LISTINGS, TYPED, OSM_NODES, NODES_KEPT, POIS, LOCS, PAIRS,
+                                     FEATS_INNER, FEATURES_ALL) + """SELECT t.id, t.latitude,
+  t.longitude, f.num_bus_2km, f.num_subway_2km, f.num_shop_2km,
+  round(f.nearest_shop_m, 3) AS nearest_shop_m, f.num_restaurant_2km, t.neighbourhood_cleansed,
+  t.room_type, t.accommodates, t.baths, t.beds, t.days, t.amenities, t.price, t.future_occupancy
+FROM typed t JOIN features_all f ON t.id = f.listing_id"""
     q["neighbourhood_prices"] = _with(*cleaned_ctes) + \
         """SELECT n.n_name AS neighbourhood_cleansed, round(a.price, 6) AS price
 FROM nation n LEFT JOIN (SELECT neighbourhood_cleansed, avg(price) AS price FROM cleaned

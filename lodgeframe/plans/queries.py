@@ -29,6 +29,15 @@ def _cleaned(spark, sf_dir, keep_missing=False):
                              keep_missing=keep_missing)
 
 
+def _model_input(spark, sf_dir):
+    """Model training table: every listing (zero counts kept, unlimited nearest shop).
+
+    The parity table drops listings lacking a POI category nearby and can be
+    empty on small inputs, which no model can be fitted on.
+    """
+    return _cleaned(spark, sf_dir, keep_missing=True)
+
+
 def _dicts(spark):
     return (TX.stop_words_table(spark), TX.lemma_table(spark), TX.lexicon_table(spark))
 
@@ -131,6 +140,11 @@ def q_cleaned_listing(spark, d):
     return _cleaned(spark, d).withColumn("nearest_shop_m", F.round("nearest_shop_m", 3))
 
 
+def q_cleaned_listing_all(spark, d):
+    return _cleaned(spark, d, keep_missing=True) \
+        .withColumn("nearest_shop_m", F.round("nearest_shop_m", 3))
+
+
 def q_neighbourhood_prices(spark, d):
     out = S.neighbourhood_prices(_cleaned(spark, d), FX.neighbourhoods(spark, d))
     return out.select("neighbourhood_cleansed", F.round("price", 6).alias("price"))
@@ -196,21 +210,21 @@ def q_price_ridge_1f(spark, d):
 
 
 def q_price_glm_predict(spark, d):
-    _, pred = M.fit_price_model(_cleaned(spark, d), handle_invalid="keep")
+    _, pred = M.fit_price_model(_model_input(spark, d), handle_invalid="keep")
     return pred.select("id", "label", "prediction")
 
 
 def q_price_glm_rmse(spark, d):
-    _, pred = M.fit_price_model(_cleaned(spark, d), handle_invalid="keep")
+    _, pred = M.fit_price_model(_model_input(spark, d), handle_invalid="keep")
     return M.rmse(pred)
 
 
 def q_price_glm_cv(spark, d):
-    return M.tune_price_model(_cleaned(spark, d))
+    return M.tune_price_model(_model_input(spark, d))
 
 
 def q_price_glm_profit(spark, d):
-    cleaned = _cleaned(spark, d)
+    cleaned = _model_input(spark, d)
     model, _ = M.fit_price_model(cleaned, handle_invalid="keep")
     train, valid = M.hash_split(cleaned, "id", (0.8, 0.2), 5)
     requests = valid.drop("future_occupancy", "price").withColumnRenamed("id", "host_id")
@@ -255,6 +269,7 @@ QUERIES: dict[str, Query] = {
     "listing_poi_features_all": _features(True),
     "nearest_shop": q_nearest_shop,
     "cleaned_listing": q_cleaned_listing,
+    "cleaned_listing_all": q_cleaned_listing_all,
     "neighbourhood_prices": q_neighbourhood_prices,
     "review_tokens": q_review_tokens,
     "review_clean_tokens": q_review_clean_tokens,
