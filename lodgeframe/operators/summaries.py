@@ -29,9 +29,14 @@ def chart_frame(listings: DataFrame) -> DataFrame:
 
 
 def price_by(frame: DataFrame, dim: str) -> DataFrame:
-    """A3: count of non-NULL prices and mean price per value of one dimension (NULL kept)."""
+    """A3 + T1: count of non-NULL prices and mean price per dimension value, ordered by it.
+
+    NULL is its own group. Text dimensions order lexically ('1', '10', '2').
+    The sort runs on the aggregated rows only (one per group).
+    """
     return (frame.groupBy(dim)
-            .agg(F.count("price").alias("count"), F.avg("price").alias("price")))
+            .agg(F.count("price").alias("count"), F.avg("price").alias("price"))
+            .orderBy(dim))
 
 
 def price_by_all_dims(frame: DataFrame, dims=PRICE_DIMENSIONS) -> DataFrame:
@@ -86,7 +91,7 @@ def monthly_weather(weather: DataFrame) -> DataFrame:
         "month",
         F.round(F.col("_rain") / F.col("_n"), 1).alias("rain"),
         F.round(F.col("_tem") / F.col("_n"), 1).alias("temp"),
-    )
+    ).orderBy("month")
 
 
 def neighbourhood_prices(cleaned: DataFrame, neighbourhoods: DataFrame) -> DataFrame:
