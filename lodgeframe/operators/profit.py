@@ -28,7 +28,8 @@ HOST = "host_id"
 
 def occupancy_grid(hosts: DataFrame, steps: int = GRID_STEPS) -> DataFrame:
     """S7 + J5: every host row x occupancy k / steps for k = 1..steps (k kept as ``occ_k``)."""
-    return ensure_parallelism(hosts).withColumn("occ_k", F.explode(F.sequence(F.lit(1), F.lit(steps)))) \
+    grid = F.explode(F.sequence(F.lit(1), F.lit(steps)))
+    return ensure_parallelism(hosts).withColumn("occ_k", grid) \
         .withColumn("future_occupancy", F.col("occ_k") / F.lit(float(steps)))
 
 
@@ -55,20 +56,42 @@ def _mean_occupancy(sum_k: Column, n: Column, steps: int) -> Column:
     return sum_k / n / F.lit(float(steps))
 
 
-def profit_curve(hosts: DataFrame, predict: Callable, steps: int = GRID_STEPS) -> DataFrame:
-    """U1 + A10 + C19: (host_id, price, future_occupancy, profit), the whole curve."""
+def _price_groups(hosts: DataFrame, predict: Callable, steps: int):
+    """(host_id, price, _k, _n) per predicted price, and (host_id, _min) per host.
+
+    The grid and the model run once: the lowest price is aggregated from the
+    per-price groups (whose shuffle is reused), not from a second pass over
+    the grid. Reading an aggregated column (``_n``) keeps Catalyst from
+    rewriting the per-host minimum back onto the raw grid.
+    """
     pp = predicted_prices(hosts, predict, steps).where(F.col("price").isNotNull())
-    low = pp.groupBy(HOST).agg(F.min("price").alias("_min"))
-    fill = low.select(HOST, F.explode(F.sequence(F.lit(0), F.col("_min"))).alias("price"),
-                      F.lit(steps).alias("occ_k"))
-    rows = pp.unionByName(fill)
-    agg = rows.groupBy(HOST, "price").agg(F.sum("occ_k").alias("_k"),
-                                          F.count(F.lit(1)).alias("_n"))
+    groups = pp.groupBy(HOST, "price").agg(F.sum("occ_k").alias("_k"),
+                                           F.count(F.lit(1)).alias("_n"))
+    low = groups.groupBy(HOST).agg(F.min("price").alias("_min"),
+                                   F.sum("_n").alias("_grid_points"))
+    return groups, low
+
+
+def _curve_rows(agg: DataFrame, steps: int) -> DataFrame:
     occ = _mean_occupancy(F.col("_k"), F.col("_n"), steps)
     return agg.select(HOST, "price", occ.alias("future_occupancy"),
                       monthly_profit(F.col("price"), occ).alias("profit"))
 
 
+def profit_curve(hosts: DataFrame, predict: Callable, steps: int = GRID_STEPS) -> DataFrame:
+    """U1 + A10 + C19: (host_id, price, future_occupancy, profit), the whole curve.
+
+    Fill rows (prices 0 .. lowest predicted price, occupancy 1.0) are added to
+    the per-price sums, so the lowest price is averaged with one extra 1.0.
+    """
+    groups, low = _price_groups(hosts, predict, steps)
+    fill = low.select(HOST, F.explode(F.sequence(F.lit(0), F.col("_min"))).alias("price"),
+                      F.lit(steps).cast("long").alias("_k"), F.lit(1).cast("long").alias("_n"))
+    merged = groups.unionByName(fill).groupBy(HOST, "price") \
+        .agg(F.sum("_k").alias("_k"), F.sum("_n").alias("_n"))
+    return _curve_rows(merged, steps)
+
+
 def best_price(hosts: DataFrame, predict: Callable, steps: int = GRID_STEPS) -> DataFrame:
     """The curve row(s) with the highest profit per host, ties kept.
 
@@ -76,19 +99,17 @@ def best_price(hosts: DataFrame, predict: Callable, steps: int = GRID_STEPS) ->
     with p, so among them only p = m - 1 can be best; p = m is merged with
     the predicted rows. The candidates are therefore the predicted price
     groups (with the extra fill row at m) plus p = m - 1, without
-    materialising the whole fill range.
+    materialising the whole fill range. Each host has at most
+    ``steps + 1`` candidates, so the per-host ranking window is bounded.
     """
-    pp = predicted_prices(hosts, predict, steps).where(F.col("price").isNotNull())
-    low = pp.groupBy(HOST).agg(F.min("price").alias("_min"))
-    extra = low.select(HOST, F.col("_min").alias("price"), F.lit(steps).alias("occ_k"))
+    groups, low = _price_groups(hosts, predict, steps)
+    at_min = low.select(HOST, F.col("_min").alias("price"),
+                        F.lit(steps).cast("long").alias("_k"), F.lit(1).cast("long").alias("_n"))
     below = low.where(F.col("_min") >= 1).select(
-        HOST, (F.col("_min") - 1).alias("price"), F.lit(steps).alias("occ_k"))
-    agg = (pp.unionByName(extra).groupBy(HOST, "price")
-           .agg(F.sum("occ_k").alias("_k"), F.count(F.lit(1)).alias("_n"))
-           .unionByName(below.select(HOST, "price", F.col("occ_k").cast("long").alias("_k"),
-                                     F.lit(1).cast("long").alias("_n"))))
-    occ = _mean_occupancy(F.col("_k"), F.col("_n"), steps)
-    curve = agg.select(HOST, "price", occ.alias("future_occupancy"),
-                       monthly_profit(F.col("price"), occ).alias("profit"))
+        HOST, (F.col("_min") - 1).alias("price"),
+        F.lit(steps).cast("long").alias("_k"), F.lit(1).cast("long").alias("_n"))
+    merged = groups.unionByName(at_min).groupBy(HOST, "price") \
+        .agg(F.sum("_k").alias("_k"), F.sum("_n").alias("_n")).unionByName(below)
+    curve = _curve_rows(merged, steps)
     w = Window.partitionBy(HOST).orderBy(F.col("profit").desc())
     return curve.withColumn("_r", F.rank().over(w)).where(F.col("_r") == 1).drop("_r")
