@@ -18,11 +18,6 @@ def size_checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def checkpoint_table(df: DataFrame) -> DataFrame:
-    """Cut lineage through the session's checkpoint folder (reliable, not local)."""
-    return df.checkpoint(eager=True)
-
-
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread a few-partition input before CPU-heavy per-row work (pairs, explode).
 
