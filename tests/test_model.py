@@ -49,3 +49,16 @@ def test_als_recommend_shape(spark):
     counts = {r["reviewer_id"]: r["count"] for r in rec.groupBy("reviewer_id").count().collect()}
     assert counts and all(c == 3 for c in counts.values())
     assert set(rec.columns) == {"reviewer_id", "listing_id", "rating"}
+
+
+def test_glm_closed_form_ignores_max_iter(spark):
+    rows = [(i, float(i % 5), float((i * 7) % 11), float(40 + (i * 13) % 70)) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, price double")
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GeneralizedLinearRegression
+    data = VectorAssembler(inputCols=["a", "b"], outputCol="features") \
+        .transform(M.log_label(df))
+    fits = [GeneralizedLinearRegression(labelCol="label", family="gaussian", link="identity",
+                                        regParam=0.01, maxIter=m).fit(data) for m in (0, 25)]
+    assert list(fits[0].coefficients) == pytest.approx(list(fits[1].coefficients), rel=1e-12)
+    assert fits[0].intercept == pytest.approx(fits[1].intercept, rel=1e-12)
