@@ -305,7 +305,8 @@ def oracle_sql() -> dict[str, str]:
   TRY_CAST(replace(replace(price, '$', ''), ',', '') AS DOUBLE) AS price_value
 FROM calendar"""
     q["amenity_values"] = _with(LISTINGS) + """SELECT id,
-  len(string_split(replace(replace(amenities, '[', ''), ']', ''), ', ')) AS amenities_value,
+  CAST(len(string_split(replace(replace(amenities, '[', ''), ']', ''), ', ')) AS INTEGER)
+    AS amenities_value,
   TRY_CAST(replace(replace(price, '$', ''), ',', '') AS DOUBLE) AS price_value
 FROM listings"""
     q["amenity_frequency"] = _with(LISTINGS) + """SELECT item, count(*) AS count FROM (
@@ -414,10 +415,11 @@ FROM typed WHERE room_type IS NOT NULL GROUP BY room_type"""
          avg(y) AS my, avg(x) AS mx
   FROM (SELECT CAST(future_occupancy AS DOUBLE) AS x, ln(price) AS y FROM typed
         WHERE price > 0 AND future_occupancy IS NOT NULL))"""
-    q["profit_curve"] = _with(HOSTS, PREDICTED, CURVE) + """SELECT host_id, price,
+    q["profit_curve"] = _with(HOSTS, PREDICTED, CURVE) + """SELECT host_id,
+  CAST(price AS INTEGER) AS price,
   future_occupancy, price * future_occupancy * 30 AS profit FROM curve"""
-    q["best_price"] = _with(HOSTS, PREDICTED, CURVE) + """SELECT host_id, price, future_occupancy,
-  profit FROM (
+    q["best_price"] = _with(HOSTS, PREDICTED, CURVE) + """SELECT host_id,
+  CAST(price AS INTEGER) AS price, future_occupancy, profit FROM (
   SELECT host_id, price, future_occupancy, price * future_occupancy * 30 AS profit,
     rank() OVER (PARTITION BY host_id ORDER BY price * future_occupancy * 30 DESC) AS r
   FROM curve) WHERE r = 1"""

@@ -11,6 +11,8 @@ from lodgeframe.sources.fixtures import TABLES
 from conftest import SF_SMALL
 
 SLOW_MODEL_QUERIES = {"price_glm_cv", "als_grid"}
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT",
+                 "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
 
 
 def _norm(v):
@@ -40,6 +42,8 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _bag(rows, df.columns) == _bag(res.fetchall(), ocols)
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert {n: SPARK_TO_DUCK.get(t, t.upper()) for n, t in df.dtypes} == duck_types
 
 
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())
