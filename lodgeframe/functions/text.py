@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lodgeframe.functions.common import col_of
-from lodgeframe.functions.parse import WS_CLASS, strip_ws
+from lodgeframe.functions.parse import WS_CLASS
 
 # The 32 ASCII punctuation characters removed inside tokens.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -23,8 +23,12 @@ def remove_line_breaks(c) -> Column:
 
 
 def whitespace_tokens(c) -> Column:
-    """Whitespace split of the whole text, no empty tokens (Python ``split()``)."""
-    return F.filter(F.split(strip_ws(c), f"{WS_CLASS}+", -1), lambda w: w != F.lit(""))
+    """Whitespace split of the whole text, no empty tokens (Python ``split()``).
+
+    Leading / trailing whitespace only yields empty edge tokens, which the
+    filter drops, so no separate strip pass over the text is needed.
+    """
+    return F.filter(F.split(col_of(c), f"{WS_CLASS}+", -1), lambda w: w != F.lit(""))
 
 
 def strip_punctuation(c) -> Column:

@@ -108,9 +108,12 @@ def _dict(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def prepare_reviews(reviews: DataFrame) -> DataFrame:
-    """Drop NULL comments, remove ``<br/>``, lower-case, drop automated postings."""
+    """Drop NULL comments, remove ``<br/>``, lower-case, drop automated postings.
+
+    A few-partition input is spread first, so the text work runs on every core.
+    """
     cols = [c for c in ("id", "reviewer_id", "listing_id", "lang") if c in reviews.columns]
-    base = reviews.where(F.col("comments").isNotNull())
+    base = ensure_parallelism(reviews.where(F.col("comments").isNotNull()))
     lowered = base.select(*cols, F.lower(T.remove_line_breaks("comments")).alias("comments"))
     return lowered.where(T.not_automated("comments"))
 
