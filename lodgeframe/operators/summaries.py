@@ -61,18 +61,22 @@ def price_by_all_dims(frame: DataFrame, dims=PRICE_DIMENSIONS) -> DataFrame:
     return grouped.select(dim_name.alias("dimension"), value.alias("value"), "count", "price")
 
 
-def monthly_price(calendar: DataFrame) -> DataFrame:
+def monthly_price(calendar: DataFrame, by_year: bool = False) -> DataFrame:
     """A4: per month, the mean over listings of each listing's mean price (all months).
 
-    Year is ignored (as in the original). Rows whose date does not parse are dropped.
+    The year is ignored by default (as in the original, so April of two
+    years is one group); ``by_year=True`` adds a ``year`` key. Rows whose
+    date does not parse are dropped.
     """
+    keys = ["year", "month"] if by_year else ["month"]
     rows = calendar.select(
         "listing_id",
+        P.year_of("date").alias("year"),
         P.month_of("date").alias("month"),
         P.price_drop_first("price").alias("price"),
     ).where(F.col("month").isNotNull())
-    per_listing = rows.groupBy("month", "listing_id").agg(F.avg("price").alias("id_price"))
-    return per_listing.groupBy("month").agg(F.avg("id_price").alias("price"))
+    per_listing = rows.groupBy(*keys, "listing_id").agg(F.avg("price").alias("id_price"))
+    return per_listing.groupBy(*keys).agg(F.avg("id_price").alias("price"))
 
 
 def monthly_weather(weather: DataFrame) -> DataFrame:

@@ -15,6 +15,17 @@ def test_mean_of_means(spark):
     assert out[5] is None
 
 
+def test_mean_of_means_by_year(spark):
+    cal = spark.createDataFrame(
+        [(1, "2021-04-01", "$10.00"), (1, "2022-04-02", "$20.00"), (2, "2022-04-03", "$40.00")],
+        "listing_id long, date string, price string")
+    plain = {r["month"]: r["price"] for r in S.monthly_price(cal).collect()}
+    yearly = {(r["year"], r["month"]): r["price"]
+              for r in S.monthly_price(cal, by_year=True).collect()}
+    assert plain == {4: pytest.approx(27.5)}
+    assert yearly == {(2021, 4): 10.0, (2022, 4): 30.0}
+
+
 def test_weather_divisor(spark):
     w = spark.createDataFrame([("2021-01-01", "1", "2"), ("2021-01-02", None, "4")],
                               "date string, avg_temperature string, rain string")
