@@ -83,3 +83,31 @@ def test_model_save_load(spark, tmp_path):
     IO.save_model(model, path)
     back = IO.load_model(path)
     assert back.transform(df).select("i").collect() == model.transform(df).select("i").collect()
+
+
+def test_partitioned_gzip_and_header_csv(spark, tmp_path):
+    recs = spark.createDataFrame([(7, 1, 4.5), (7, 2, 4.0), (8, 3, 3.5)],
+                                 "reviewer_id int, listing_id int, rating double")
+    per_user = str(tmp_path / "recs")
+    IO.write_partitioned_csv(recs, per_user, "reviewer_id")
+    assert sorted(p.name for p in (tmp_path / "recs").iterdir() if p.is_dir()) == \
+        ["reviewer_id=7", "reviewer_id=8"]
+    back = spark.read.option("header", "true").csv(per_user)
+    assert sorted((int(r["reviewer_id"]), int(r["listing_id"])) for r in back.collect()) == \
+        [(7, 1), (7, 2), (8, 3)]
+
+    gz = str(tmp_path / "dist")
+    IO.write_csv(recs, gz, mode="overwrite", compression="gzip")
+    assert any(p.name.endswith(".csv.gz") for p in (tmp_path / "dist").iterdir())
+    by_header = IO.read_text_csv(spark, gz)
+    assert by_header.columns == ["reviewer_id", "listing_id", "rating"]
+    assert dict(by_header.dtypes) == {c: "string" for c in by_header.columns}
+    assert by_header.count() == 3
+
+
+def test_parquet_sink_partitioned(spark, tmp_path):
+    df = spark.createDataFrame([(1, "bus"), (2, "shopping")], "osm_id long, category string")
+    path = str(tmp_path / "poi")
+    IO.write_parquet(df, path, partition_by=["category"])
+    back = spark.read.parquet(path).where("category = 'bus'")
+    assert [r["osm_id"] for r in back.collect()] == [1]
