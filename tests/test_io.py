@@ -58,17 +58,17 @@ def test_xml_nodes(spark, tmp_path):
 
 
 def test_catalogue_rows(spark):
-    html = ('<table class="table table-hover table-striped vancouver"><tr><th>h</th></tr>'
-            '<tr><td>06 November, 2021</td><td>Vancouver</td>'
-            '<td><a href="http://x/ca/bc/vancouver/2021-11-06/data/listings.csv.gz">listings.csv.gz</a></td>'
+    html = ('<table class="table table-hover table-striped porto"><tr><th>h</th></tr>'
+            '<tr><td>06 November, 2021</td><td>Porto</td>'
+            '<td><a href="http://x/pt/norte/porto/2021-11-06/data/listings.csv.gz">listings.csv.gz</a></td>'
             '<td>Detailed Listings data</td></tr><tr><td>only</td><td>three</td><td>cells</td></tr>'
             '</table><table class="table table-hover table-striped london"><tr><td>a</td><td>b</td>'
             '<td>c</td><td>d</td></tr></table>')
     pages = spark.createDataFrame([(1, html)], "page_id long, html string")
-    rows = catalogue.catalogue_rows(pages, "Vancouver").collect()
+    rows = catalogue.catalogue_rows(pages, "Porto").collect()
     assert len(rows) == 1
     r = rows[0]
-    assert r["file_name"] == "Vancouver_2021-11-06_listings.csv.gz"
+    assert r["file_name"] == "Porto_2021-11-06_listings.csv.gz"
     assert r["link"].endswith("listings.csv.gz") and r["description"] == "Detailed Listings data"
     links = catalogue.page_links(pages).collect()
     assert [x["segment"] for x in links] == ["2021-11-06"]
