@@ -81,26 +81,43 @@ DEFAULT_LANG_WORDS = {
 # Dictionary tables
 # ---------------------------------------------------------------------------
 
+def _known(df: DataFrame, rows: int) -> DataFrame:
+    # Built from a fixed Python list: the row count is known without a job.
+    df._known_rows = rows
+    return df
+
+
 def stop_words_table(spark: SparkSession, words=ENGLISH_STOP_WORDS) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in words], "word string")
+    return _known(spark.createDataFrame([(w,) for w in words], "word string"), len(words))
 
 
 def lemma_table(spark: SparkSession, pairs=DEFAULT_LEMMAS) -> DataFrame:
-    return spark.createDataFrame(list(pairs), "word string, lemma string")
+    rows = list(pairs)
+    return _known(spark.createDataFrame(rows, "word string, lemma string"), len(rows))
 
 
 def lexicon_table(spark: SparkSession, pairs=DEFAULT_LEXICON) -> DataFrame:
-    return spark.createDataFrame(list(pairs), "word string, polarity double")
+    rows = list(pairs)
+    return _known(spark.createDataFrame(rows, "word string, polarity double"), len(rows))
 
 
 def lang_words_table(spark: SparkSession, lists=None) -> DataFrame:
     lists = lists or DEFAULT_LANG_WORDS
     rows = [(lang, w) for lang, words in lists.items() for w in words]
-    return spark.createDataFrame(rows, "lang string, word string")
+    return _known(spark.createDataFrame(rows, "lang string, word string"), len(rows))
 
 
-def _dict(df: DataFrame) -> DataFrame:
-    return size_checked_broadcast(df, DICT_BROADCAST_ROWS)
+def _dict(df: DataFrame, *cols) -> DataFrame:
+    """Dictionary side of a token lookup, broadcast behind a size check.
+
+    Tables built here from fixed lists carry their row count; any other
+    dictionary frame is counted (bounded) before it may be broadcast.
+    """
+    known = getattr(df, "_known_rows", None)
+    out = df.select(*cols)
+    if known is not None and known <= DICT_BROADCAST_ROWS:
+        return F.broadcast(out)
+    return size_checked_broadcast(out, DICT_BROADCAST_ROWS)
 
 
 # ---------------------------------------------------------------------------
@@ -130,7 +147,7 @@ def tokens(docs: DataFrame, id_col: str = "id", text_col: str = "comments") -> D
 
 def remove_stop_words(toks: DataFrame, stop_words: DataFrame) -> DataFrame:
     """Anti-join raw tokens with the stop-word table (``the,`` survives)."""
-    sw = _dict(stop_words.select(F.col("word").alias("token")))
+    sw = _dict(stop_words, F.col("word").alias("token"))
     return toks.join(sw, "token", "left_anti")
 
 
@@ -143,7 +160,7 @@ def strip_token_punctuation(toks: DataFrame) -> DataFrame:
 
 def lemmatize(toks: DataFrame, lemmas: DataFrame) -> DataFrame:
     """Replace a token by its lemma when the table has one."""
-    lt = _dict(lemmas.select(F.col("word").alias("token"), "lemma"))
+    lt = _dict(lemmas, F.col("word").alias("token"), "lemma")
     cols = [c for c in toks.columns if c != "token"]
     return (toks.join(lt, "token", "left")
             .select(*cols, F.coalesce("lemma", "token").alias("token")))
@@ -176,7 +193,7 @@ def detect_language(docs: DataFrame, lang_words: DataFrame, id_col: str = "id",
     """
     t = tokens(docs.select(id_col, F.lower(F.col(text_col)).alias("_t")), id_col, "_t")
     t = strip_token_punctuation(t)
-    words = _dict(lang_words.select("lang", F.col("word").alias("token")))
+    words = _dict(lang_words, "lang", F.col("word").alias("token"))
     votes = t.join(words, "token", "inner").groupBy(id_col, "lang") \
         .agg(F.count(F.lit(1)).alias("_n"))
     best = votes.groupBy(id_col).agg(
@@ -190,7 +207,7 @@ def detect_language(docs: DataFrame, lang_words: DataFrame, id_col: str = "id",
 
 def polarity(toks: DataFrame, lexicon: DataFrame, id_col: str = "id") -> DataFrame:
     """(id, polarity) mean lexicon polarity of the matched tokens (reviews with a match)."""
-    lx = _dict(lexicon.select(F.col("word").alias("token"), "polarity"))
+    lx = _dict(lexicon, F.col("word").alias("token"), "polarity")
     return toks.join(lx, "token", "inner").groupBy(id_col) \
         .agg(F.avg("polarity").alias("polarity"))
 
