@@ -111,3 +111,20 @@ def test_parquet_sink_partitioned(spark, tmp_path):
     IO.write_parquet(df, path, partition_by=["category"])
     back = spark.read.parquet(path).where("category = 'bus'")
     assert [r["osm_id"] for r in back.collect()] == [1]
+
+
+def test_typed_csv_and_single_file_json(spark, tmp_path):
+    path = tmp_path / "clean.csv"
+    path.write_text("id,price,room_type\n1,99.5,Private room\n2,,Shared room\n")
+    schema = T.StructType([T.StructField("id", T.LongType()),
+                           T.StructField("price", T.FloatType()),
+                           T.StructField("room_type", T.StringType())])
+    df = IO.read_typed_csv(spark, str(path), schema)
+    assert dict(df.dtypes) == {"id": "bigint", "price": "float", "room_type": "string"}
+    assert sorted(tuple(r) for r in df.collect()) == [(1, 99.5, "Private room"),
+                                                       (2, None, "Shared room")]
+    out = str(tmp_path / "one")
+    IO.write_json(df.repartition(3), out, single_file=True)
+    parts = [p for p in (tmp_path / "one").iterdir() if p.name.startswith("part-")]
+    assert len(parts) == 1
+    assert IO.read_json(spark, out, schema).count() == 2
