@@ -38,3 +38,15 @@ def test_review_scores(spark):
     assert abs(out[1]["score"] - 2.75) < 1e-12  # mean of best (1.0) and worthless (-0.8)
     assert out[5]["score"] == 2.5 and out[5]["comments"] == "greatstay nothing"
     assert all(0.0 <= r["score"] <= 5.0 for r in out.values())
+
+
+def test_user_dictionary_goes_through_size_check(spark):
+    rev = spark.createDataFrame([(1, 10, 100, "lovely calm flat", "en")],
+                                "id long, listing_id long, reviewer_id long, comments string, "
+                                "lang string")
+    lexicon = spark.createDataFrame([("calm", 0.6), ("flat", -0.2)],
+                                    "word string, polarity double")
+    assert getattr(lexicon, "_known_rows", None) is None
+    out = TX.review_scores(rev, TX.stop_words_table(spark), TX.lemma_table(spark),
+                           lexicon).first()
+    assert abs(out["score"] - (0.2 + 1) * 2.5) < 1e-12
