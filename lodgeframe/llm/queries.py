@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodgeframe.llm import rules
+from lodgeframe.llm import mixing, packing, rules, simhash
 from lodgeframe.llm.common import table
 
 
@@ -17,7 +17,24 @@ def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), packing.default_tokenizer()).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "position")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_line_rules": op2_line_rules,
+        "op3_simhash": op3_simhash,
+        "op4_harmonic_packing": op4_harmonic_packing,
+        "op8_curriculum_mix": op8_curriculum_mix,
     }
