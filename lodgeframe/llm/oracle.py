@@ -51,7 +51,50 @@ FROM f
 """
 
 
+OP9_LINE_SPREAD = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, text,
+         coalesce('s' || source, 'n') AS site, string_split(text, chr(10)) AS a FROM documents
+), l AS (
+  SELECT rid, doc_id, site, i, regexp_replace(a[i],
+         '\A[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z', '', 'g') AS x
+  FROM (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM d)
+), n AS (
+  SELECT * FROM l WHERE x <> ''
+), b AS (
+  SELECT x, min({'doc_id': doc_id, 'i': i}) AS first FROM n
+  GROUP BY x HAVING count(DISTINCT site) >= 5
+), gone AS (
+  SELECT rid, list(i) AS g FROM n JOIN b USING (x)
+  WHERE {'doc_id': doc_id, 'i': i} <> first GROUP BY rid
+), total AS (
+  SELECT rid, count(*) AS c FROM n GROUP BY rid
+)
+SELECT doc_id, coalesce(c, 0)::BIGINT AS lines_total, coalesce(len(g), 0)::BIGINT AS lines_removed,
+       CASE WHEN g IS NULL THEN text ELSE coalesce(array_to_string(
+         list_filter(a, lambda v, k: NOT list_contains(g, k)), chr(10)), '') END AS text
+FROM d LEFT JOIN gone USING (rid) LEFT JOIN total USING (rid)
+"""
+
+OP10_BLOCK_MATRIX_ANN = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_rules": OP2_LINE_RULES,
+        "op9_line_spread": OP9_LINE_SPREAD,
+        "op10_block_matrix_ann": OP10_BLOCK_MATRIX_ANN,
     }

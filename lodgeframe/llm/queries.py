@@ -5,9 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodgeframe.llm import mixing, packing, rules, simhash
-from lodgeframe.llm.common import table
+from lodgeframe.llm import ann, lines, lm, mixing, packing, quality, rules, simhash
+from lodgeframe.llm.common import fold, table
+
+
+QUALITY_CUT = 0.3
+
+
+def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
 
 
 def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,15 +38,32 @@ def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op6_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "position")
 
 
+def op9_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "lines_total", "lines_removed", "text")
+
+
+def op10_block_matrix_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0, k=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pu_quality": op1_pu_quality,
         "op2_line_rules": op2_line_rules,
         "op3_simhash": op3_simhash,
         "op4_harmonic_packing": op4_harmonic_packing,
+        "op6_backoff_automaton": op6_backoff_automaton,
         "op8_curriculum_mix": op8_curriculum_mix,
+        "op9_line_spread": op9_line_spread,
+        "op10_block_matrix_ann": op10_block_matrix_ann,
     }
