@@ -45,6 +45,7 @@ SEED = 42
 ALL = (1 << BITS) - 1
 CHUNK = 1 << 16
 SLOTS = 16
+ROW = "_row_key"
 PAIR_COST = 1.0        # work of one candidate pair, in units of ...
 SIGNATURE_COST = 4.0   # ... one signature sent through the shuffle
 
@@ -73,15 +74,19 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): fp holds the 64 bits as a signed long."""
+                 text_col: str = "text", key_col: str | None = None) -> DataFrame:
+    """(doc_id, fp[, key]): fp holds the 64 bits as a signed long."""
+    more = [key_col] if key_col else []
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in b["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fp.view(np.int64)})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fp.view(np.int64),
+                                **{c: b[c] for c in more}})
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).alias("text")).mapInPandas(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       *more).mapInPandas(run, ", ".join(
+                           ["doc_id long", "fp long", *(f"{c} long" for c in more)]))
 
 
 # --- bit groups and thresholds ----------------------------------------------
@@ -252,18 +257,44 @@ def links(fps: DataFrame, max_bits: int = 3, n_groups: int = 3,
             .dropDuplicates(["mask", "fp"])
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
-                    n_groups: int = 3, block_rows: int = 256, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint, component_id), one row per input row."""
+def component_labels(prints: DataFrame, max_bits: int, n_groups: int,
+                     block_rows: int) -> DataFrame:
+    """(fp, component, component_id) per fingerprint: least fp and least id of its component."""
     if block_rows < 4 or not 0 <= max_bits < BITS or not 1 <= n_groups <= max_bits + 1:
-        raise ValueError("block_rows >= 4, 0 <= max_bits < 64, n_groups <= max_bits + 1")
-    prints = materialize(fingerprints(docs, shingle, id_col, text_col))
+        raise ValueError("block_rows >= 4, 0 <= max_bits < 64, 1 <= n_groups <= max_bits + 1")
     fps = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(fps, max_bits, n_groups, block_rows))
     rooted = fps.join(roots, fps["fp"] == roots["node"]).select("fp", "least", "root")
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root")
-    label = fps.join(named.select("fp", "component_id"), "fp", "left").select(
-        "fp", F.coalesce("component_id", "least").alias("component_id"))
-    return prints.join(label, "fp", "left").select(
+    return fps.join(named.select("fp", "root", "component_id"), "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("component"),
+        F.coalesce("component_id", "least").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
+                    n_groups: int = 3, block_rows: int = 256, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """(doc_id, fingerprint, component_id), one row per input row."""
+    prints = materialize(fingerprints(docs, shingle, id_col, text_col))
+    label = component_labels(prints, max_bits, n_groups, block_rows)
+    return prints.join(label, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, n_groups: int = 3,
+             block_rows: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the least id, then the least text hash.
+
+    Rows equal in id and text are one document; one of them stays. The winners are
+    found on ids and hashes alone; the texts move once, to meet them.
+    """
+    keyed = docs.withColumn(ROW, F.xxhash64(F.col(id_col), F.col(text_col)))
+    prints = materialize(fingerprints(keyed, shingle, id_col, text_col, ROW))
+    label = component_labels(prints, max_bits, n_groups, block_rows)
+    best = prints.join(label, "fp").groupBy("component").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", ROW)).alias("best"))
+    best = best.select(F.col("best.doc_id").alias("_best_id"), F.col(f"best.{ROW}").alias("_best_row"))
+    joined = keyed.join(best, (F.col(ROW) == F.col("_best_row"))
+                        & F.col(id_col).cast("long").eqNullSafe(F.col("_best_id")))
+    # Equal rows all meet the winner: keep one.
+    return joined.dropDuplicates([ROW, "_best_id"]).select(*docs.columns)
