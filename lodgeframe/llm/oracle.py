@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lodgeframe.llm import licenses
+
 OP2_LINE_RULES = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
@@ -51,6 +53,49 @@ FROM f
 """
 
 
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join("'" + str(x).replace("'", "''") + "'" for x in r) + ")"
+                     for r in rows)
+
+
+def _op7_license_rules() -> str:
+    rules = [(name, "".join(f"<{s}>" for s in ids)) for name, ids in licenses.RULES]
+    return r"""
+WITH known(id, sentence) AS (VALUES """ + _values(licenses.SENTENCES.items()) + r"""),
+rule(name, ids) AS (VALUES """ + _values(rules) + r"""),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), cut AS (
+  SELECT rid, 1 AS way, regexp_split_to_array(t,
+    '[.!?;:]+(?:[\x20\x09-\x0D]+|\z)|[\x0A-\x0D]') AS a FROM d
+  UNION ALL
+  SELECT rid, 2, regexp_split_to_array(t,
+    '[.!?;:]+(?:[\x20\x09-\x0D]+|\z)|\x0A[\x20\x09\x0D]*\x0A') FROM d
+), s AS (
+  SELECT rid, way, i, trim(regexp_replace(a[i], '[^a-z0-9]+', ' ', 'g')) AS x
+  FROM (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM cut)
+), hit AS (
+  SELECT rid, way, i, id FROM s JOIN known ON x = sentence
+), seq AS (
+  SELECT rid, way, string_agg('<' || id || '>', '' ORDER BY i) AS ids FROM hit GROUP BY rid, way
+), lic AS (
+  SELECT rid, unnest(regexp_extract_all(ids,
+    (SELECT string_agg(ids, '|' ORDER BY length(ids) - length(replace(ids, '<', '')) DESC)
+     FROM (SELECT DISTINCT ids FROM rule)))) AS m FROM seq
+), names AS (
+  SELECT rid, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses
+  FROM lic JOIN rule ON m = ids GROUP BY rid
+), ids AS (
+  SELECT rid, string_agg(DISTINCT id, ',' ORDER BY id) AS sentences FROM hit GROUP BY rid
+)
+SELECT doc_id, coalesce(sentences, '') AS sentences, coalesce(licenses, '') AS licenses
+FROM d LEFT JOIN ids USING (rid) LEFT JOIN names USING (rid)
+"""
+
+
 OP9_LINE_SPREAD = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, text,
@@ -95,6 +140,7 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_rules": OP2_LINE_RULES,
+        "op7_license_rules": _op7_license_rules(),
         "op9_line_spread": OP9_LINE_SPREAD,
         "op10_block_matrix_ann": OP10_BLOCK_MATRIX_ANN,
     }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import ann, lines, lm, mixing, packing, quality, rules, simhash
+from lodgeframe.llm import (ann, licenses, lines, lm, mixing, packing, pii, quality, rules,
+                            simhash)
 from lodgeframe.llm.common import fold, table
 
 
@@ -38,10 +39,20 @@ def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op5_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op6_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op7_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("sentences", ",").alias("sentences"),
+                        F.array_join("licenses", ",").alias("licenses"))
+
+
 def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "position")
@@ -62,7 +73,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_line_rules": op2_line_rules,
         "op3_simhash": op3_simhash,
         "op4_harmonic_packing": op4_harmonic_packing,
+        "op5_weak_supervision_pii": op5_weak_supervision_pii,
         "op6_backoff_automaton": op6_backoff_automaton,
+        "op7_license_rules": op7_license_rules,
         "op8_curriculum_mix": op8_curriculum_mix,
         "op9_line_spread": op9_line_spread,
         "op10_block_matrix_ann": op10_block_matrix_ann,
