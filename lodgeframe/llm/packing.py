@@ -23,7 +23,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -34,11 +35,26 @@ from pyspark.sql import Window as W
 
 from lodgeframe.llm.common import materialize
 
-CACHE_WORDS = 1 << 18
-LONG_WORD = 64
+TABLE_WORDS = 600_000     # the word table starts anew beyond
+RUN_WORDS = 512           # words encoded at once
+TEXTS = 256               # texts whose new words are gathered at once
+MARK = "\x01"
+LATIN_END = "\u0250"
+SIGNS = ".,!?;:*&%$#"
 ODD_BLANKS = re.compile("[\x1c-\x1f]")
 ASCII_BLANKS = re.compile("[ \t\n\x0b\x0c\r]+")
 BIN_BITS, SHARE_BITS = 30, 12     # sequence_id: worker, class, bin of that worker
+
+
+
+def _byte_chars() -> dict[int, int]:
+    """The printable stand-ins of byte-level vocabularies: the n-th other byte is 256 + n."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: 256 + n for n, b in enumerate(others)}
+
+
+BYTE_CHARS = _byte_chars()
 PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
          "share int, worker int, k long, sequence_id long, offset long")
 
@@ -49,38 +65,127 @@ def default_tokenizer() -> str:
 
 
 class WordTokenizer:
-    """Token ids of a text, word by word with a bounded cache.
+    """Token ids of a text, word by word, each distinct word encoded once.
 
-    For tokenizers that drop white space and never merge across it.
+    For tokenizers that lower-case, drop white space and never merge across it. New words
+    are encoded many at a time, parted by a mark whose id shows where a word ends; a word of
+    letters that ends in signs is the word and the signs. The table of words is bounded: it
+    starts anew when full.
     """
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.end = end_id
-        self.cache: dict[str, list[int]] = {}
+        self.end = np.array([end_id], dtype="<u4")
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        # A run of letters is one unit of such tokenizers: the model itself can be asked.
+        self.direct = all(self.ask(w) == self.tokenizer.encode(w, add_special_tokens=False).ids
+                          for w in ("a", "letters", "straßenüberführung", "pretokenisation"))
+        self.reset()
+
+    def reset(self) -> None:
+        self.index: dict[str, int] = {}
+        self.ids = np.zeros(1 << 16, dtype="<u4")
+        self.start = np.zeros(1 << 14, dtype=np.int64)
+        self.size = np.zeros(1 << 14, dtype=np.int64)
+        self.used = 0
 
-    def encode(self, text: str | None) -> np.ndarray:
+    def words(self, text: str | None) -> list[str]:
         text = text or ""
-        found = ASCII_BLANKS.split(text) if ODD_BLANKS.search(text) else text.split()
-        cache = self.cache
-        new = {w for w in found if w not in cache}
-        if new:
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-                new = set(found)
-            fresh = list(new)
-            for w, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False)):
-                cache[w] = e.ids
-        out: list[int] = []
-        for w in found:
-            out += cache[w]
-        out.append(self.end)
-        if any(len(w) > LONG_WORD for w in new):
-            for w in new:
-                if len(w) > LONG_WORD:
-                    del cache[w]
-        return np.array(out, dtype="<u4")
+        if "<|" not in text:              # else a special token may be spelled out
+            text = text.lower() if text.isascii() else text.encode().lower().decode()
+        return ASCII_BLANKS.split(text) if ODD_BLANKS.search(text) else text.split()
+
+    def ask(self, word: str) -> list[int]:
+        raw = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARS)
+        return [t.id for t in self.tokenizer.model.tokenize(raw)]
+
+    def encode_words(self, new: list[str]) -> None:
+        """Put words into the table: lower-case Latin words by the model, words with other
+        characters in joined runs, and what may hold a mark or a special token one by one."""
+        if self.direct:
+            letters = [w for w in new if w.isalpha() and w < LATIN_END and max(w) < LATIN_END
+                       and w == w.lower()]
+            ask = self.ask
+            ids = [ask(w) for w in letters]
+            self.add(letters, np.fromiter(chain.from_iterable(ids), dtype=np.int64),
+                     np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
+            done = set(letters)
+            new = [w for w in new if w not in done]
+        joined = [w for w in new if self.mark is not None and MARK not in w and "<|" not in w]
+        for at in range(0, len(joined), RUN_WORDS):
+            run = joined[at:at + RUN_WORDS]
+            ids = np.array(self.tokenizer.encode_batch_fast(
+                [f" {MARK} ".join(run)], add_special_tokens=False)[0].ids, dtype=np.int64)
+            ends = np.append(np.nonzero(ids == self.mark)[0], len(ids))
+            sizes = np.diff(ends, prepend=-1) - 1
+            if len(sizes) != len(run):
+                raise ValueError("a word of this tokenizer holds the id of the mark")
+            self.add(run, ids[ids != self.mark], sizes)
+        if len(joined) < len(new):
+            rest = sorted(set(new) - set(joined))
+            ids = [e.ids for e in self.tokenizer.encode_batch(rest, add_special_tokens=False)]
+            self.add(rest, np.array([i for x in ids for i in x], dtype=np.int64),
+                     np.array([len(x) for x in ids], dtype=np.int64))
+
+    def add(self, new: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        k, n = len(self.index), len(new)
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * len(self.ids))
+        while k + n > len(self.start):
+            m = 2 * len(self.start)
+            self.start, self.size = np.resize(self.start, m), np.resize(self.size, m)
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.start[k:k + n] = self.used + np.cumsum(sizes) - sizes
+        self.size[k:k + n] = sizes
+        self.used += len(ids)
+        self.index.update(zip(new, range(k, k + n)))
+
+    def look_up(self, found: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.index.__getitem__, found), dtype=np.int64, count=len(found))
+
+    def gather(self, k: np.ndarray) -> np.ndarray:
+        """Ids of a sequence of table rows."""
+        size = self.size[k]
+        before = np.cumsum(size) - size
+        return self.ids[np.repeat(self.start[k] - before, size) + np.arange(size.sum())]
+
+    def learn(self, new: set[str]) -> None:
+        signed = []
+        for w in new:
+            b = w.rstrip(SIGNS)
+            if b != w and b.isalpha():
+                signed.append((w, b, w[len(b):]))
+        need = new.difference(w for w, _, _ in signed)
+        need.update(b for _, b, _ in signed)
+        need.update(e for _, _, e in signed)
+        need.difference_update(self.index)
+        self.encode_words(list(need))
+        if signed:
+            k = np.column_stack([self.look_up([b for _, b, _ in signed]),
+                                 self.look_up([e for _, _, e in signed])])
+            self.add([w for w, _, _ in signed], self.gather(k.ravel()),
+                     self.size[k].sum(axis=1))
+
+    def encode_all(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text and the end id."""
+        for at in range(0, len(texts), TEXTS):
+            if len(self.index) > TABLE_WORDS:
+                self.reset()
+            groups = [self.words(t) for t in texts[at:at + TEXTS]]
+            found = list(chain.from_iterable(groups))
+            k = np.fromiter(map(self.index.get, found, repeat(-1)), dtype=np.int64,
+                            count=len(found))
+            missing = np.nonzero(k < 0)[0].tolist()
+            if missing:
+                words = [found[i] for i in missing]
+                self.learn(set(words))
+                k[missing] = self.look_up(words)
+            begin = 0
+            for g in groups:
+                yield np.concatenate([self.gather(k[begin:begin + len(g)]), self.end])
+                begin += len(g)
 
 
 def cuts(n: int, capacity: int, shares: int, slack: float) -> list[int]:
@@ -123,8 +228,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
 
         for b in batches:
             rows: list = []
-            for doc, text in zip(b["doc_id"], b["text"]):
-                ids = coder.encode(text)
+            for doc, ids in zip(b["doc_id"], coder.encode_all(b["text"].to_list())):
                 start = 0
                 for length in cuts(len(ids), capacity, shares, slack):
                     j = min(capacity // length, shares)
