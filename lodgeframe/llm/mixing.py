@@ -52,7 +52,8 @@ class Curriculum:
         p = 1 - slope
         root = F.sqrt(F.greatest(p * p + 4 * slope * share, F.lit(0.0)))
         return F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.when(
-            slope == 0, share).otherwise(2 * share / (p + root))))
+            slope == 0, share).otherwise(F.coalesce(F.try_divide(2 * share, p + root),
+                                                    F.lit(0.0)))))
 
 
 def targets(sizes: DataFrame, plan: Curriculum) -> DataFrame:

@@ -139,7 +139,7 @@ def fit(p: np.ndarray, u: np.ndarray, steps: int = 400, rate: float = 0.05,
 
     def rows(x: np.ndarray) -> np.ndarray:
         z = np.clip((x - mean) / scale, -4, 4)
-        return np.column_stack([z, np.ones(len(z))])
+        return np.column_stack([z, np.ones(len(z))]).astype(np.float32)
 
     xp, xu = rows(p), rows(u)
     ridge = np.full(xp.shape[1], l2)
@@ -167,7 +167,7 @@ def fit(p: np.ndarray, u: np.ndarray, steps: int = 400, rate: float = 0.05,
     return Model(mean, scale, w[:-1], float(w[-1]), prior)
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 12_000, folds: int = 5,
+def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 6_000, folds: int = 5,
           held_out: int = 0) -> Model:
     """Fit on rows outside the held-out fold; see the module text for the sample."""
     open_fold = fold(F.col("doc_id"), folds) != held_out
