@@ -14,6 +14,9 @@
    max_bits + 1 colours, and a pair within ``max_bits`` agrees on one colour.
    This goes on until each block is small, so no pair is lost and no block is
    compared whole.
+   Two groups of 32 bits (the default) send about 64 signatures a fingerprint and meet
+   by chance with odds of 2^-31, so chance candidates stay rare up to 10^8 fingerprints;
+   more groups send less and meet more often.
 4. Verify the bit distance inside blocks; a block yields a spanning star forest,
    not its pairs. Star contraction then labels the components.
 
@@ -230,7 +233,7 @@ def block_stars(max_bits: int):
     return run
 
 
-def links(fps: DataFrame, max_bits: int = 3, n_groups: int = 3,
+def links(fps: DataFrame, max_bits: int = 3, n_groups: int = 2,
           block_rows: int = 256) -> DataFrame:
     """Edges (a, b) that connect exactly the fingerprints reachable within ``max_bits``."""
     def signatures(df: DataFrame, masks: list, base=None) -> DataFrame:
@@ -272,7 +275,7 @@ def component_labels(prints: DataFrame, max_bits: int, n_groups: int,
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
-                    n_groups: int = 3, block_rows: int = 256, id_col: str = "doc_id",
+                    n_groups: int = 2, block_rows: int = 256, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per input row."""
     prints = materialize(fingerprints(docs, shingle, id_col, text_col))
@@ -281,7 +284,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, n_groups: int = 3,
+def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, n_groups: int = 2,
              block_rows: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: the least id, then the least text hash.
 
