@@ -21,7 +21,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lodgeframe.plans.queries import queries  # noqa: E402
-from lodgeframe.session import get_session  # noqa: E402
+from lodgeframe.session import local_session  # noqa: E402
 
 HEADLINE = (
     "cleaned_listing",
@@ -48,7 +48,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    spark = get_session()
+    spark = local_session(cpus=os.environ.get("BENCH_CPUS", "*"))
     qs = queries()
     times = {}
     for name in names:

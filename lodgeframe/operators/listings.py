@@ -35,7 +35,7 @@ def parse_listings(listings: DataFrame, as_of: str = P.TENURE_AS_OF) -> DataFram
 
 
 def cleaned_listing(listings: DataFrame, pois: DataFrame, *, keep_missing: bool = False,
-                    cell_budget: int | None = geo.DEFAULT_CELL_BUDGET) -> DataFrame:
+                    pair_budget: int = geo.DEFAULT_PAIR_BUDGET) -> DataFrame:
     """Parsed listings joined with their POI features on the listing id.
 
     One inner join on ``id`` (the original joined the coordinates back in a
@@ -44,6 +44,6 @@ def cleaned_listing(listings: DataFrame, pois: DataFrame, *, keep_missing: bool
     """
     typed = parse_listings(listings)
     feats = geo.poi_features(geo.listing_locations(listings), pois,
-                             keep_missing=keep_missing, cell_budget=cell_budget)
+                             keep_missing=keep_missing, pair_budget=pair_budget)
     joined = typed.join(feats.withColumnRenamed("listing_id", "id"), "id", "inner")
     return joined.select(*CLEANED_COLUMNS)

@@ -15,6 +15,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodgeframe.operators.util import materialize
+
 # Fixed list (schema order) of numeric model inputs; the two label indices follow.
 NUMERIC_FEATURES = (
     "latitude", "longitude", "num_bus_2km", "num_subway_2km", "num_shop_2km",
@@ -29,7 +31,6 @@ LABEL = "label"
 # GLM settings and tuning grid of the price model.
 GLM_REG_PARAM = 0.01
 GLM_MAX_ITER = 0
-CV_MAX_ITERS = tuple(range(0, 41, 5))
 CV_REG_PARAMS = (1e-5, 1e-4, 1e-3, 1e-2, 0.1, 0.15, 0.2, 0.3)
 CV_FOLDS = 5
 
@@ -43,12 +44,13 @@ def log_label(df: DataFrame, price_col: str = "price") -> DataFrame:
 
 
 def hash_split(df: DataFrame, key: str, weights=(0.8, 0.2), seed: int = 5) -> list[DataFrame]:
-    """M6: deterministic split on ``pmod(key * 48271 + seed, 100)``.
+    """M6: deterministic split on ``pmod(key * 48271 + seed, 100)``, for keys of any size.
 
     Unlike ``randomSplit`` the assignment does not depend on partitioning, so a
     recomputed task (lost executor) puts every row in the same part again.
     """
-    bucket = F.pmod(F.col(key).cast("long") * F.lit(48271) + F.lit(seed), F.lit(100))
+    small = F.pmod(F.col(key).cast("long"), F.lit(100))
+    bucket = F.pmod(small * F.lit(48271) + F.lit(seed), F.lit(100))
     total = float(sum(weights))
     parts, lo = [], 0
     for i, w in enumerate(weights):
@@ -58,6 +60,12 @@ def hash_split(df: DataFrame, key: str, weights=(0.8, 0.2), seed: int = 5) -> li
     return parts
 
 
+def fold_column(key: str, folds: int):
+    """Fold number of a row from its key alone, so folds do not depend on partitioning."""
+    return F.pmod(F.pmod(F.col(key).cast("long"), F.lit(1009)) * F.lit(31) + F.lit(7),
+                  F.lit(folds)).cast("int")
+
+
 def indexers(handle_invalid: str = "error") -> list[StringIndexer]:
     """M1: frequency-descending label encoders (ties alphabetical)."""
     return [StringIndexer(inputCol=i, outputCol=o, stringOrderType="frequencyDesc",
@@ -75,13 +83,14 @@ def label_index(df: DataFrame, column: str) -> DataFrame:
 
 def price_pipeline(reg_param: float = GLM_REG_PARAM, max_iter: int = GLM_MAX_ITER,
                    features=FEATURES, handle_invalid: str = "error") -> Pipeline:
-    """M2 + M3 + M4: indexers -> assembler (fixed order) -> Gaussian/identity GLM."""
+    """M2 + M3 + M4: indexers (of the category features used) -> assembler -> GLM."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="features",
                                 handleInvalid=handle_invalid)
     glm = GeneralizedLinearRegression(featuresCol="features", labelCol=LABEL,
                                       predictionCol="prediction", family="gaussian",
                                       link="identity", maxIter=max_iter, regParam=reg_param)
-    return Pipeline(stages=indexers(handle_invalid) + [assembler, glm])
+    encoders = [i for i in indexers(handle_invalid) if i.getOutputCol() in features]
+    return Pipeline(stages=encoders + [assembler, glm])
 
 
 def rmse(pred: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
@@ -96,43 +105,48 @@ def fit_price_model(cleaned: DataFrame, seed: int = 5, reg_param: float = GLM_RE
 
     ``handle_invalid='keep'`` gives categories unseen in training their own
     index instead of failing on the held-out rows. The labelled input is
-    checkpointed once (the session's checkpoint folder) so the fit's several
+    written once (to the session's checkpoint folder) so the fit's several
     passes do not recompute its lineage.
     """
-    data = log_label(cleaned).checkpoint()
+    data = materialize(log_label(cleaned))
     train, validation = hash_split(data, "id", (0.8, 0.2), seed)
     model = price_pipeline(reg_param, max_iter, handle_invalid=handle_invalid).fit(train)
     return model, model.transform(validation)
 
 
 def tune_price_model(cleaned: DataFrame, seed: int = 5, reg_params=CV_REG_PARAMS,
-                     max_iters=CV_MAX_ITERS, folds: int = CV_FOLDS,
-                     parallelism: int = 8, handle_invalid: str = "keep") -> DataFrame:
-    """M5: k-fold cross-validated RMSE for each (max_iter, reg_param) grid point.
-
-    A Gaussian / identity GLM is solved in closed form, so ``maxIter`` cannot
-    change a fit: each reg_param is fitted once per fold and its mean RMSE is
-    reported for every max_iter of the grid. ``is_best`` marks the first grid
-    point (grid order) with the lowest mean RMSE, as CrossValidator picks it.
-    Categories missing from a training fold get their own index (``keep``).
+                     folds: int = CV_FOLDS, parallelism: int = 8, features=FEATURES,
+                     handle_invalid: str = "keep"):
+    """M5 + K9: k-fold cross-validation over reg_param; (best model, result table).
+
+    The table has one row per reg_param: cv_rmse (mean over folds), is_best (the
+    first one with the lowest mean, as CrossValidator picks it) and, on that row,
+    the refitted model's RMSE on the training split and on the held-out split. A
+    Gaussian / identity GLM is solved in closed form, so the original's maxIter
+    axis cannot change a fit and is dropped. Folds come from the id
+    (``fold_column``). Categories missing from a training fold get their own
+    index (``keep``).
     """
-    data = log_label(cleaned).checkpoint()
-    train, _ = hash_split(data, "id", (0.8, 0.2), seed)
-    pipe = price_pipeline(reg_param=reg_params[0], max_iter=max_iters[0],
-                          handle_invalid=handle_invalid)
+    data = materialize(log_label(cleaned).withColumn("_fold", fold_column("id", folds)))
+    train, validation = hash_split(data, "id", (0.8, 0.2), seed)
+    pipe = price_pipeline(reg_params[0], features=features, handle_invalid=handle_invalid)
     glm = pipe.getStages()[-1]
     grid = ParamGridBuilder().addGrid(glm.regParam, list(reg_params)).build()
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid,
                         evaluator=RegressionEvaluator(labelCol=LABEL, metricName="rmse"),
-                        numFolds=folds, parallelism=parallelism, seed=seed)
-    cv_model = cv.fit(train)
-    spark = cleaned.sparkSession
-    rows = [(int(mi), float(rp), float(m)) for mi in max_iters
-            for rp, m in zip(reg_params, cv_model.avgMetrics)]
-    best = min(range(len(rows)), key=lambda i: (rows[i][2], i))
-    out = [(mi, rp, m, i == best) for i, (mi, rp, m) in enumerate(rows)]
-    return spark.createDataFrame(out, "max_iter int, reg_param double, rmse double, "
-                                      "is_best boolean")
+                        numFolds=folds, foldCol="_fold", parallelism=parallelism)
+    fitted = cv.fit(train)
+    metrics = [float(m) for m in fitted.avgMetrics]
+    best = min(range(len(metrics)), key=lambda i: (metrics[i], i))
+    train_rmse, held_rmse = (rmse(fitted.bestModel.transform(p)).first()["rmse"]
+                             for p in (train, validation))
+    out = [(float(rp), m, i == best, train_rmse if i == best else None,
+            held_rmse if i == best else None)
+           for i, (rp, m) in enumerate(zip(reg_params, metrics))]
+    table = cleaned.sparkSession.createDataFrame(
+        out, "reg_param double, cv_rmse double, is_best boolean, train_rmse double, "
+             "validation_rmse double")
+    return fitted.bestModel, table
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -151,3 +165,12 @@ def one_feature_ridge(df: DataFrame, x: str, reg_param: float = GLM_REG_PARAM) -
     spark = df.sparkSession
     return spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))],
                                  "slope double, intercept double")
+
+
+def coefficients(df: DataFrame, features, reg_param: float = GLM_REG_PARAM) -> DataFrame:
+    """M3 over numeric features: one row (feature, value) per coefficient, and the intercept."""
+    data = log_label(df).where(" AND ".join(f"{f} IS NOT NULL" for f in features))
+    model = price_pipeline(reg_param, features=tuple(features)).fit(data).stages[-1]
+    rows = [(f, float(c)) for f, c in zip(features, model.coefficients)]
+    return df.sparkSession.createDataFrame([*rows, ("intercept", float(model.intercept))],
+                                           "feature string, value double")

@@ -7,8 +7,11 @@ predicted one are filled with occupancy 1.0, rows with the same price are
 averaged, and monthly profit = price * occupancy * 30. Occupancy is carried
 as integer thousandths so the per-price mean is exact.
 
-All hosts are handled in one job; each host's rows stay within
-(grid size + lowest price + 1) rows, so no group is unbounded by the data.
+All hosts are handled in one job. Requests are hash-partitioned by host before
+the grid is generated, so every aggregate and window after it finds its rows in
+place: one exchange on the requests, none on the grid, and one evaluation of
+grid and model. Fill rows are generated in bounded chunks, never as one array
+as long as a price.
 """
 
 from __future__ import annotations
@@ -19,17 +22,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgeframe.functions.parse import exp_to_int, monthly_profit
-from lodgeframe.operators.util import ensure_parallelism
+from lodgeframe.operators import geo
 
 # Fixed value: grid resolution (occupancy steps of 1 / GRID_STEPS).
 GRID_STEPS = 1000
 HOST = "host_id"
+# Fill rows generated at once.
+FILL_CHUNK = 4096
 
 
 def occupancy_grid(hosts: DataFrame, steps: int = GRID_STEPS) -> DataFrame:
     """S7 + J5: every host row x occupancy k / steps for k = 1..steps (k kept as ``occ_k``)."""
+    parts = int(hosts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grid = F.explode(F.sequence(F.lit(1), F.lit(steps)))
-    return ensure_parallelism(hosts).withColumn("occ_k", grid) \
+    return hosts.repartition(parts, HOST).withColumn("occ_k", grid) \
         .withColumn("future_occupancy", F.col("occ_k") / F.lit(float(steps)))
 
 
@@ -56,20 +62,19 @@ def _mean_occupancy(sum_k: Column, n: Column, steps: int) -> Column:
     return sum_k / n / F.lit(float(steps))
 
 
-def _price_groups(hosts: DataFrame, predict: Callable, steps: int):
-    """(host_id, price, _k, _n) per predicted price, and (host_id, _min) per host.
+def _price_groups(hosts: DataFrame, predict: Callable, steps: int) -> DataFrame:
+    """(host_id, price, _k, _n, _low) per predicted price; _low is the host's lowest price.
 
-    The grid and the model run once: the lowest price is aggregated from the
-    per-price groups (whose shuffle is reused), not from a second pass over
-    the grid. Reading an aggregated column (``_n``) keeps Catalyst from
-    rewriting the per-host minimum back onto the raw grid.
+    The lowest price gets the fill row with occupancy 1.0 added to its sums.
     """
     pp = predicted_prices(hosts, predict, steps).where(F.col("price").isNotNull())
     groups = pp.groupBy(HOST, "price").agg(F.sum("occ_k").alias("_k"),
                                            F.count(F.lit(1)).alias("_n"))
-    low = groups.groupBy(HOST).agg(F.min("price").alias("_min"),
-                                   F.sum("_n").alias("_grid_points"))
-    return groups, low
+    low = F.min("price").over(Window.partitionBy(HOST))
+    at_low = F.col("price") == F.col("_low")
+    return groups.withColumn("_low", low) \
+        .withColumn("_k", F.col("_k") + F.when(at_low, F.lit(steps)).otherwise(F.lit(0))) \
+        .withColumn("_n", F.col("_n") + F.when(at_low, F.lit(1)).otherwise(F.lit(0)))
 
 
 def _curve_rows(agg: DataFrame, steps: int) -> DataFrame:
@@ -81,35 +86,51 @@ def _curve_rows(agg: DataFrame, steps: int) -> DataFrame:
 def profit_curve(hosts: DataFrame, predict: Callable, steps: int = GRID_STEPS) -> DataFrame:
     """U1 + A10 + C19: (host_id, price, future_occupancy, profit), the whole curve.
 
-    Fill rows (prices 0 .. lowest predicted price, occupancy 1.0) are added to
-    the per-price sums, so the lowest price is averaged with one extra 1.0.
+    The row of the lowest price also yields the fill rows 0 .. lowest - 1 (occupancy
+    1.0), chunk by chunk; chunk -1 is the row itself.
     """
-    groups, low = _price_groups(hosts, predict, steps)
-    fill = low.select(HOST, F.explode(F.sequence(F.lit(0), F.col("_min"))).alias("price"),
-                      F.lit(steps).cast("long").alias("_k"), F.lit(1).cast("long").alias("_n"))
-    merged = groups.unionByName(fill).groupBy(HOST, "price") \
-        .agg(F.sum("_k").alias("_k"), F.sum("_n").alias("_n"))
-    return _curve_rows(merged, steps)
+    groups = _price_groups(hosts, predict, steps)
+    low, c = F.col("_low"), F.lit(FILL_CHUNK)
+    last = F.when((F.col("price") == low) & (low >= 1),
+                  F.floor((low - 1) / c).cast("int")).otherwise(F.lit(-1))
+    chunked = groups.withColumn("_chunk", F.explode(F.sequence(F.lit(-1), last, F.lit(1))))
+    own = F.col("_chunk") == -1
+    fill = F.sequence(F.col("_chunk") * c, F.least(F.col("_chunk") * c + c - 1, low - 1))
+    price = F.explode(F.when(own, F.array("price")).otherwise(fill))
+    rows = chunked.select(HOST, price.alias("price"),
+                          F.when(own, F.col("_k")).otherwise(F.lit(steps)).alias("_k"),
+                          F.when(own, F.col("_n")).otherwise(F.lit(1)).alias("_n"))
+    return _curve_rows(rows, steps)
 
 
 def best_price(hosts: DataFrame, predict: Callable, steps: int = GRID_STEPS) -> DataFrame:
     """The curve row(s) with the highest profit per host, ties kept.
 
     Fill rows below the lowest predicted price m have profit 30 * p, rising
-    with p, so among them only p = m - 1 can be best; p = m is merged with
-    the predicted rows. The candidates are therefore the predicted price
-    groups (with the extra fill row at m) plus p = m - 1, without
-    materialising the whole fill range. Each host has at most
-    ``steps + 1`` candidates, so the per-host ranking window is bounded.
+    with p, so among them only p = m - 1 can be best. The candidates are
+    therefore the predicted price groups plus p = m - 1, without materialising
+    the whole fill range; each host has at most ``steps + 1`` of them.
     """
-    groups, low = _price_groups(hosts, predict, steps)
-    at_min = low.select(HOST, F.col("_min").alias("price"),
-                        F.lit(steps).cast("long").alias("_k"), F.lit(1).cast("long").alias("_n"))
-    below = low.where(F.col("_min") >= 1).select(
-        HOST, (F.col("_min") - 1).alias("price"),
-        F.lit(steps).cast("long").alias("_k"), F.lit(1).cast("long").alias("_n"))
-    merged = groups.unionByName(at_min).groupBy(HOST, "price") \
-        .agg(F.sum("_k").alias("_k"), F.sum("_n").alias("_n")).unionByName(below)
-    curve = _curve_rows(merged, steps)
+    groups = _price_groups(hosts, predict, steps)
+    low = F.col("_low")
+    row = F.struct(F.col("price"), F.col("_k").alias("_k"), F.col("_n").alias("_n"))
+    below = F.struct((low - 1).alias("price"), F.lit(steps).cast("long").alias("_k"),
+                     F.lit(1).cast("long").alias("_n"))
+    rows = groups.select(HOST, F.inline(F.when(
+        (F.col("price") == low) & (low >= 1), F.array(row, below)).otherwise(F.array(row))))
+    curve = _curve_rows(rows, steps)
     w = Window.partitionBy(HOST).orderBy(F.col("profit").desc())
     return curve.withColumn("_r", F.rank().over(w)).where(F.col("_r") == 1).drop("_r")
+
+
+def optimise(requests: DataFrame, pois: DataFrame, predict: Callable, *,
+             whole_curve: bool = False, steps: int = GRID_STEPS) -> DataFrame:
+    """M11 end to end, for many requests (host_id, lat, lon, model columns) in one job.
+
+    POI features around each request -> occupancy grid -> model -> best price, or
+    the whole curve. As in the original, a request that lacks a POI category
+    within its radius gives no row.
+    """
+    feats = geo.poi_features(requests.select(F.col(HOST).alias("listing_id"), "lat", "lon"), pois)
+    ready = requests.join(feats.withColumnRenamed("listing_id", HOST), HOST)
+    return (profit_curve if whole_curve else best_price)(ready, predict, steps)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgeframe.operators.model import hash_split
+from lodgeframe.operators.util import materialize
 
 USER, ITEM, RATING = "reviewer_id", "listing_id", "score"
 
@@ -19,32 +20,47 @@ ALS_MAX_ITERS = (10, 15, 20)
 ALS_RANKS = (5, 10, 15)
 ALS_REG_PARAMS = (0.1, 0.01, 0.001)
 TOP_K = 10
-INT_MAX = 2147483647
+USER_INDEX, ITEM_INDEX = "_user", "_item"
+ID_BUCKETS = 1024
 
 
-def ratings(scores: DataFrame) -> DataFrame:
-    """(reviewer_id, listing_id, score) with ids as int, as ALS needs.
+def dense_ids(df: DataFrame, col: str, out: str) -> DataFrame:
+    """(col, out): every distinct id with a dense index from 0, for ids of any type.
 
-    Ids outside the 32-bit range raise an error instead of being dropped.
+    Ids fall into hash buckets; a bucket's first index is the running sum of the
+    bucket sizes (``ID_BUCKETS`` rows), and ids are numbered inside their bucket, so
+    no single task orders all ids.
     """
-    def as_int(c):
-        ok = F.col(c).between(-INT_MAX - 1, INT_MAX)
-        return F.when(F.assert_true(ok, F.lit(f"{c} outside int range")).isNull(),
-                      F.col(c).cast("int"))
+    ids = df.select(col).where(F.col(col).isNotNull()).distinct().withColumn(
+        "_b", F.pmod(F.xxhash64(col), F.lit(ID_BUCKETS)))
+    first = ids.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_first", F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")).drop("_n")
+    inside = F.row_number().over(Window.partitionBy("_b").orderBy(col)) - 1
+    return ids.withColumn("_i", inside).join(first, "_b").select(
+        col, (F.col("_first") + F.col("_i")).cast("int").alias(out))
+
 
-    return scores.select(as_int(USER).alias(USER), as_int(ITEM).alias(ITEM),
-                         F.col(RATING).cast("double").alias(RATING))
+def ratings(scores: DataFrame) -> DataFrame:
+    """([id,] reviewer_id, listing_id, score, _user, _item): ALS needs int ids, so every
+    reviewer and listing gets a dense index; rows without an id or a score are left out.
+    """
+    keep = [c for c in ("id",) if c in scores.columns]
+    r = scores.select(*keep, USER, ITEM, F.col(RATING).cast("double").alias(RATING)).where(
+        F.col(USER).isNotNull() & F.col(ITEM).isNotNull() & F.col(RATING).isNotNull())
+    r = materialize(r)
+    return materialize(r.join(dense_ids(r, USER, USER_INDEX), USER)
+                       .join(dense_ids(r, ITEM, ITEM_INDEX), ITEM))
 
 
 def als(rank: int, max_iter: int, reg: float, seed: int = 5) -> ALS:
     """M7: explicit, non-negative ALS; unseen users / items dropped at scoring."""
-    return ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol=USER, itemCol=ITEM,
-               ratingCol=RATING, nonnegative=True, implicitPrefs=False,
+    return ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol=USER_INDEX,
+               itemCol=ITEM_INDEX, ratingCol=RATING, nonnegative=True, implicitPrefs=False,
                coldStartStrategy="drop", seed=seed)
 
 
 def split_ratings(r: DataFrame, seed: int = 5):
-    """6/2/2 deterministic split on the rating's review id (or user, item)."""
+    """6/2/2 deterministic split on the rating's review id (without one: user, item, score)."""
     key = F.xxhash64(USER, ITEM, RATING) if "id" not in r.columns else F.col("id")
     keyed = r.withColumn("_k", F.pmod(key, F.lit(2147483647)))
     return [p.drop("_k") for p in hash_split(keyed, "_k", (0.6, 0.2, 0.2), seed)]
@@ -94,14 +110,21 @@ def recommend(scores: DataFrame, users: DataFrame | None = None, k: int = TOP_K,
     """M9 + C24: top-k listings per reviewer as rows (reviewer_id, listing_id, rating).
 
     ``users`` (a frame with ``reviewer_id``) restricts scoring to those users
-    before the block cross-scoring runs; the default scores every user.
+    before the block cross-scoring runs; users without a training rating have
+    no rows. The default scores every user.
     """
     r = ratings(scores)
     train = split_ratings(r, seed)[0]
     model = als(rank, max_iter, reg, seed).fit(train)
-    recs = model.recommendForAllUsers(k) if users is None else \
-        model.recommendForUserSubset(users.select(F.col(USER).cast("int").alias(USER)), k)
-    return recs.select(USER, F.inline("recommendations"))
+    names = r.select(USER, USER_INDEX).distinct()
+    if users is None:
+        recs = model.recommendForAllUsers(k)
+    else:
+        wanted = users.select(USER).distinct().join(names, USER)
+        recs = model.recommendForUserSubset(wanted.select(USER_INDEX), k)
+    rows = recs.select(USER_INDEX, F.inline("recommendations"))
+    return rows.join(names, USER_INDEX).join(r.select(ITEM, ITEM_INDEX).distinct(), ITEM_INDEX) \
+        .select(USER, ITEM, "rating")
 
 
 def top_k_per_group(df: DataFrame, group: str, order_cols, k: int) -> DataFrame:

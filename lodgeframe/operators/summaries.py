@@ -116,12 +116,15 @@ def amenity_frequency(listings: DataFrame) -> DataFrame:
     return items.groupBy("item").agg(F.count(F.lit(1)).alias("count"))
 
 
-def amenity_terms(listings: DataFrame, k: int = 50) -> DataFrame:
-    """Top-k words over all amenity items (count desc, then word)."""
+def amenity_terms(listings: DataFrame, k: int | None = None) -> DataFrame:
+    """Counts of all words over all amenity items; with ``k``, the k most frequent ones
+    (count desc, then word)."""
     words = listings.select(
         F.explode(F.regexp_extract_all(F.lower(F.col("amenities")), F.lit(TERM_PATTERN), 0))
         .alias("word"))
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    if k is None:
+        return counts
     return counts.orderBy(F.col("count").desc(), F.col("word")).limit(k)
 
 

@@ -1,25 +1,21 @@
 """Review text pipeline: language vote, tokens, stop words, lemmas, polarity score.
 
 Dictionaries (stop words, lemmas, polarity lexicon, language word lists) are
-DataFrames. Tokens are exploded per review and looked up with hash joins;
-the dictionaries are broadcast only after a row-count check
-(``size_checked_broadcast``), so a large user dictionary falls back to a
-shuffle join. Per-review results are partial-aggregated inside the scan
-tasks (one review's tokens never leave its task before the aggregate), so
-only one row per review is shuffled; the review rows themselves are joined
-back once on ``id``.
+DataFrames. Tokens are exploded per review and looked up with joins; Catalyst
+and AQE choose a broadcast or a shuffle for a dictionary from its measured
+bytes, and building a plan starts no job. Reviews are hash-partitioned by id
+once, before their tokens are exploded: every later aggregate and join by
+review id reuses that partitioning, so the text moves once.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgeframe.functions import text as T
 from lodgeframe.functions.parse import polarity_to_rating
-from lodgeframe.operators.util import ensure_parallelism, size_checked_broadcast
-
-DICT_BROADCAST_ROWS = 5_000_000
 
 # The standard English stop-word list (179 words) removed from
 # raw tokens before punctuation is stripped.
@@ -65,6 +61,7 @@ DEFAULT_LEXICON = (
 )
 
 # Default language word lists (lang, word) for the language vote.
+UNDETERMINED = "und"
 DEFAULT_LANG_WORDS = {
     "en": ("the", "of", "and", "to", "a", "in", "is", "that", "for", "it", "was", "on",
            "with", "be", "as", "by", "this", "are", "at", "from"),
@@ -81,43 +78,36 @@ DEFAULT_LANG_WORDS = {
 # Dictionary tables
 # ---------------------------------------------------------------------------
 
-def _known(df: DataFrame, rows: int) -> DataFrame:
-    # Built from a fixed Python list: the row count is known without a job.
-    df._known_rows = rows
-    return df
+def _table(spark: SparkSession, rows, **types) -> DataFrame:
+    """A dictionary as a local relation: its true size is known to the optimiser."""
+    schema = pa.schema(list(types.items()))
+    columns = list(zip(*rows)) or [[] for _ in types]
+    return spark.createDataFrame(pa.table([pa.array(c, t) for c, t in zip(columns, schema.types)],
+                                          schema=schema))
 
 
 def stop_words_table(spark: SparkSession, words=ENGLISH_STOP_WORDS) -> DataFrame:
-    return _known(spark.createDataFrame([(w,) for w in words], "word string"), len(words))
+    return _table(spark, [(w,) for w in words], word=pa.string())
 
 
 def lemma_table(spark: SparkSession, pairs=DEFAULT_LEMMAS) -> DataFrame:
-    rows = list(pairs)
-    return _known(spark.createDataFrame(rows, "word string, lemma string"), len(rows))
+    return _table(spark, list(pairs), word=pa.string(), lemma=pa.string())
 
 
 def lexicon_table(spark: SparkSession, pairs=DEFAULT_LEXICON) -> DataFrame:
-    rows = list(pairs)
-    return _known(spark.createDataFrame(rows, "word string, polarity double"), len(rows))
+    return _table(spark, list(pairs), word=pa.string(), polarity=pa.float64())
 
 
 def lang_words_table(spark: SparkSession, lists=None) -> DataFrame:
     lists = lists or DEFAULT_LANG_WORDS
-    rows = [(lang, w) for lang, words in lists.items() for w in words]
-    return _known(spark.createDataFrame(rows, "lang string, word string"), len(rows))
-
+    return _table(spark, [(lang, w) for lang, words in lists.items() for w in words],
+                  lang=pa.string(), word=pa.string())
 
-def _dict(df: DataFrame, *cols) -> DataFrame:
-    """Dictionary side of a token lookup, broadcast behind a size check.
 
-    Tables built here from fixed lists carry their row count; any other
-    dictionary frame is counted (bounded) before it may be broadcast.
-    """
-    known = getattr(df, "_known_rows", None)
-    out = df.select(*cols)
-    if known is not None and known <= DICT_BROADCAST_ROWS:
-        return F.broadcast(out)
-    return size_checked_broadcast(out, DICT_BROADCAST_ROWS)
+def by_id(df: DataFrame, id_col: str = "id") -> DataFrame:
+    """Rows hash-partitioned by review id, in as many tasks as any other shuffle."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, id_col)
 
 
 # ---------------------------------------------------------------------------
@@ -125,12 +115,9 @@ def _dict(df: DataFrame, *cols) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def prepare_reviews(reviews: DataFrame) -> DataFrame:
-    """Drop NULL comments, remove ``<br/>``, lower-case, drop automated postings.
-
-    A few-partition input is spread first, so the text work runs on every core.
-    """
+    """Drop NULL comments, remove ``<br/>``, lower-case, drop automated postings."""
     cols = [c for c in ("id", "reviewer_id", "listing_id", "lang") if c in reviews.columns]
-    base = ensure_parallelism(reviews.where(F.col("comments").isNotNull()))
+    base = reviews.where(F.col("comments").isNotNull())
     lowered = base.select(*cols, F.lower(T.remove_line_breaks("comments")).alias("comments"))
     return lowered.where(T.not_automated("comments"))
 
@@ -141,16 +128,22 @@ def prepare_reviews(reviews: DataFrame) -> DataFrame:
 
 def tokens(docs: DataFrame, id_col: str = "id", text_col: str = "comments") -> DataFrame:
     """(id, pos, token) whitespace tokens of the whole text (pos from 0)."""
-    return ensure_parallelism(docs).select(
+    return docs.select(
         id_col, F.posexplode(T.whitespace_tokens(text_col)).alias("pos", "token"))
 
 
 def remove_stop_words(toks: DataFrame, stop_words: DataFrame) -> DataFrame:
     """Anti-join raw tokens with the stop-word table (``the,`` survives)."""
-    sw = _dict(stop_words, F.col("word").alias("token"))
+    sw = stop_words.select(F.col("word").alias("token"))
     return toks.join(sw, "token", "left_anti")
 
 
+def strip_tokens(toks: DataFrame) -> DataFrame:
+    """Tokens without ASCII punctuation; ones that become empty stay, as empty tokens."""
+    cols = [c for c in toks.columns if c != "token"]
+    return toks.select(*cols, T.strip_punctuation("token").alias("token"))
+
+
 def strip_token_punctuation(toks: DataFrame) -> DataFrame:
     """Strip ASCII punctuation inside tokens and drop empty tokens."""
     cols = [c for c in toks.columns if c != "token"]
@@ -160,7 +153,7 @@ def strip_token_punctuation(toks: DataFrame) -> DataFrame:
 
 def lemmatize(toks: DataFrame, lemmas: DataFrame) -> DataFrame:
     """Replace a token by its lemma when the table has one."""
-    lt = _dict(lemmas, F.col("word").alias("token"), "lemma")
+    lt = lemmas.select(F.col("word").alias("token"), "lemma")
     cols = [c for c in toks.columns if c != "token"]
     return (toks.join(lt, "token", "left")
             .select(*cols, F.coalesce("lemma", "token").alias("token")))
@@ -189,16 +182,16 @@ def detect_language(docs: DataFrame, lang_words: DataFrame, id_col: str = "id",
     """(id, lang) by word vote; most hits wins, ties go to the smaller language code.
 
     Tokens are lower-cased and punctuation-stripped before the lookup. A
-    document without any hit gets no row.
+    document without any hit, or without any token, is ``und``.
     """
-    t = tokens(docs.select(id_col, F.lower(F.col(text_col)).alias("_t")), id_col, "_t")
-    t = strip_token_punctuation(t)
-    words = _dict(lang_words, "lang", F.col("word").alias("token"))
-    votes = t.join(words, "token", "inner").groupBy(id_col, "lang") \
-        .agg(F.count(F.lit(1)).alias("_n"))
-    best = votes.groupBy(id_col).agg(
-        F.min_by("lang", F.struct((-F.col("_n")).alias("n"), F.col("lang"))).alias("lang"))
-    return best
+    t = by_id(docs.select(id_col, F.lower(F.col(text_col)).alias("_t")), id_col).select(
+        id_col, F.explode_outer(T.whitespace_tokens("_t")).alias("token"))
+    words = lang_words.select("lang", F.col("word").alias("token"))
+    # A left join keeps documents without any hit; both aggregates reuse the id partitioning.
+    hits = strip_tokens(t).join(words, "token", "left")
+    votes = hits.groupBy(id_col, "lang").agg(F.count(F.lit(1)).alias("_n"))
+    best = F.min_by("lang", F.struct(F.col("lang").isNull(), (-F.col("_n")).alias("n"), "lang"))
+    return votes.groupBy(id_col).agg(F.coalesce(best, F.lit(UNDETERMINED)).alias("lang"))
 
 
 # ---------------------------------------------------------------------------
@@ -207,7 +200,7 @@ def detect_language(docs: DataFrame, lang_words: DataFrame, id_col: str = "id",
 
 def polarity(toks: DataFrame, lexicon: DataFrame, id_col: str = "id") -> DataFrame:
     """(id, polarity) mean lexicon polarity of the matched tokens (reviews with a match)."""
-    lx = _dict(lexicon, F.col("word").alias("token"), "polarity")
+    lx = lexicon.select(F.col("word").alias("token"), "polarity")
     return toks.join(lx, "token", "inner").groupBy(id_col) \
         .agg(F.avg("polarity").alias("polarity"))
 
@@ -221,7 +214,7 @@ def review_scores(reviews: DataFrame, stop_words: DataFrame, lemmas: DataFrame,
     ``comments`` is the cleaned lower-case text; ``score = (polarity + 1) * 2.5``
     with polarity 0 when no lexicon word matches.
     """
-    prepared = prepare_reviews(reviews)
+    prepared = by_id(prepare_reviews(reviews))
     if "lang" in prepared.columns:
         kept = prepared.where(F.col("lang") == F.lit(language)).drop("lang")
     else:

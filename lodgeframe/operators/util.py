@@ -2,33 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
+import uuid
 
-def size_checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
+from pyspark.sql import DataFrame
 
-    The check runs ``limit(max_rows + 1).count()`` (a scalar action that stops
-    early). Above the bound the frame is returned unhinted, so the join falls
-    back to a shuffle join (and AQE may still pick a broadcast at run time
-    from measured sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+from lodgeframe.session import ensure_checkpoint_dir
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a few-partition input before CPU-heavy per-row work (pairs, explode).
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the session's shared checkpoint folder and read it back.
 
-    A small file is one scan task, so everything fused after it (distance
-    pairs, token explode, occupancy grid) would run on one core. When the
-    frame has fewer partitions than ``min_partitions`` (default: the
-    cluster's default parallelism) it is round-robin repartitioned; a large
-    input already has more partitions and is left alone (no extra shuffle).
+    Cuts the lineage like ``checkpoint()`` but computes the input once and keeps
+    column pruning. The folder is the one named by ``spark.checkpoint.dir``; the table
+    is deleted when the driver ends.
     """
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    df.write.parquet(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return spark.read.schema(df.schema).parquet(path)

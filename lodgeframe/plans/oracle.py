@@ -66,8 +66,10 @@ def _hav(lat1, lon1, lat2, lon2) -> str:
 
 LISTINGS = f"""listings AS (
   SELECT p.p_partkey AS id,
-    49.0::DOUBLE + CAST((p.p_partkey * 37) % 500 AS DOUBLE) / 1000.0::DOUBLE AS latitude,
-    -123.5::DOUBLE + CAST((p.p_partkey * 91) % 1500 AS DOUBLE) / 1000.0::DOUBLE AS longitude,
+    49.0::DOUBLE + CAST((p.p_partkey * 37) % 500 AS DOUBLE) / 1000.0::DOUBLE
+      + CAST((p.p_partkey * 7919) % 9973 AS DOUBLE) / 10000000.0::DOUBLE AS latitude,
+    -123.5::DOUBLE + CAST((p.p_partkey * 91) % 1500 AS DOUBLE) / 1000.0::DOUBLE
+      + CAST((p.p_partkey * 7919) % 9973 AS DOUBLE) / 10000000.0::DOUBLE AS longitude,
     CASE WHEN p.p_partkey % 17 = 0 THEN NULL
          ELSE CAST(DATE '2010-01-01' + CAST(p.p_partkey % 4000 AS INTEGER) AS VARCHAR) END
       AS host_since,
@@ -115,8 +117,10 @@ TYPED = f"""typed AS (
 OSM_NODES = f"""osm_nodes AS (
   SELECT c_custkey AS id,
     '2021-11-06T00:00:' || lpad(CAST(c_custkey % 60 AS VARCHAR), 2, '0') || 'Z' AS timestamp,
-    49.0::DOUBLE + CAST((c_custkey * 53) % 520 AS DOUBLE) / 1000.0::DOUBLE AS lat,
-    -123.5::DOUBLE + CAST((c_custkey * 71) % 1500 AS DOUBLE) / 1000.0::DOUBLE AS lon,
+    49.0::DOUBLE + CAST((c_custkey * 53) % 520 AS DOUBLE) / 1000.0::DOUBLE
+      + CAST((c_custkey * 7919) % 9973 AS DOUBLE) / 10000000.0::DOUBLE AS lat,
+    -123.5::DOUBLE + CAST((c_custkey * 71) % 1500 AS DOUBLE) / 1000.0::DOUBLE
+      + CAST((c_custkey * 7919) % 9973 AS DOUBLE) / 10000000.0::DOUBLE AS lon,
     CASE WHEN c_custkey % 8 = 0 THEN MAP {{'public_transport': 'station', 'subway': 'yes',
                                           'name': c_name}}
          WHEN c_custkey % 8 = 1 THEN MAP {{'public_transport': 'platform', 'bus': 'yes',
@@ -203,7 +207,8 @@ WEATHER = """weather_daily AS (
   FROM orders)"""
 
 REVIEWS = f"""reviews AS (
-  SELECT doc_id AS id, doc_id % 50 AS listing_id, doc_id % 97 AS reviewer_id,
+  SELECT doc_id AS id, doc_id % 53 + (doc_id // 2000) * 1000 AS listing_id,
+    doc_id % 101 + (doc_id // 2000) * 1000 + 600000000000000000 AS reviewer_id,
     CASE WHEN doc_id % 31 = 0 THEN NULL
          WHEN doc_id % 29 = 0 THEN {_q(AUTOMATED_NOTICE)}
          WHEN doc_id % 10 = 0 THEN 'Great<br/>stay ' || text
@@ -265,6 +270,24 @@ CURVE = """curve AS (
   GROUP BY host_id, price)"""
 
 
+BEST = """SELECT host_id,
+  CAST(price AS INTEGER) AS price, future_occupancy, profit FROM (
+  SELECT host_id, price, future_occupancy, price * future_occupancy * 30 AS profit,
+    rank() OVER (PARTITION BY host_id ORDER BY price * future_occupancy * 30 DESC) AS r
+  FROM curve) WHERE r = 1"""
+
+XY = """xy AS (
+  SELECT CAST(future_occupancy AS DOUBLE) AS x, ln(price) AS y,
+    CASE WHEN (id % 100 * 48271 + 5) % 100 < 80 THEN 0 ELSE 1 END AS part,
+    ((id % 1009) * 31 + 7) % 5 AS fold
+  FROM typed WHERE price > 0 AND future_occupancy IS NOT NULL)"""
+
+
+def _slope(reg: str) -> str:
+    """Ridge slope of y on x: a Gaussian GLM with standardised feature and label."""
+    return f"regr_slope(y, x) / (1.0::DOUBLE + CAST({reg} AS DOUBLE) / stddev_pop(y))"
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -315,8 +338,7 @@ FROM listings"""
     q["amenity_terms"] = _with(LISTINGS) + r"""SELECT word, count FROM (
   SELECT word, count(*) AS count FROM (
     SELECT unnest(regexp_extract_all(lower(amenities), '[\p{L}\p{N}_][\p{L}\p{N}_'']+')) AS word
-    FROM listings) GROUP BY word)
-ORDER BY count DESC, word LIMIT 50"""
+    FROM listings) GROUP BY word)"""
     q["amenity_price_corr"] = _with(LISTINGS) + """SELECT round(corr(v, p), 8) AS r FROM (
   SELECT CAST(len(string_split(replace(replace(amenities, '[', ''), ']', ''), ', ')) AS DOUBLE) AS v,
          TRY_CAST(replace(replace(price, '$', ''), ',', '') AS DOUBLE) AS p FROM listings)
@@ -374,13 +396,13 @@ FROM nation n LEFT JOIN (SELECT neighbourhood_cleansed, avg(price) AS price FROM
     q["review_clean_tokens"] = _with(*text_ctes) + "SELECT id, pos, token FROM clean_tokens"
     q["review_joined"] = _with(*text_ctes) + \
         "SELECT id, string_agg(token, ' ' ORDER BY pos) AS text FROM clean_tokens GROUP BY id"
-    q["review_language"] = _with(REVIEWS, PREPARED, LANG_WORDS) + f"""SELECT id, lang FROM (
+    q["review_language"] = _with(REVIEWS, PREPARED, LANG_WORDS) + f"""SELECT p.id,
+  coalesce(v.lang, 'und') AS lang FROM prepared p LEFT JOIN (
   SELECT id, lang, row_number() OVER (PARTITION BY id ORDER BY n DESC, lang) AS rn FROM (
     SELECT t.id, w.lang, count(*) AS n FROM (
       SELECT id, regexp_replace(unnest({_tokens_list('lower(comments)')}), '{PUNCT_RE}', '', 'g')
         AS token FROM prepared) t
-    JOIN lang_words w ON t.token = w.word GROUP BY t.id, w.lang))
-WHERE rn = 1"""
+    JOIN lang_words w ON t.token = w.word GROUP BY t.id, w.lang)) v ON p.id = v.id AND v.rn = 1"""
     q["review_score"] = _with(*text_ctes, LEXICON, SCORES) + \
         "SELECT id, listing_id, reviewer_id, comments, round(score, 6) AS score FROM scores"
     q["topk_per_reviewer"] = _with(*text_ctes, LEXICON, SCORES) + """SELECT reviewer_id,
@@ -390,14 +412,25 @@ WHERE rn = 1"""
       AS rank
   FROM scores) WHERE rank <= 3"""
 
-    q["link_catalogue"] = r"""SELECT page_id, pos, link, text,
+    q["link_catalogue"] = r"""SELECT page_id, pos, link,
+  trim(regexp_replace(text, '<[^>]*>', '', 'g')) AS text,
   string_split(link, '/')[-3] AS segment FROM (
-  SELECT page_id,
-    unnest(regexp_extract_all(html, '<a href="([^"]*)"[^>]*>([^<]*)</a>', 1)) AS link,
-    unnest(regexp_extract_all(html, '<a href="([^"]*)"[^>]*>([^<]*)</a>', 2)) AS text,
-    CAST(generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"[^>]*>([^<]*)</a>', 1), 1)
-         - 1 AS INTEGER) AS pos
-  FROM pages)"""
+  SELECT page_id, unnest(regexp_extract_all(html, p, 1)) AS link,
+    unnest(regexp_extract_all(html, p, 2)) AS text,
+    CAST(generate_subscripts(regexp_extract_all(html, p, 1), 1) - 1 AS INTEGER) AS pos
+  FROM pages, (SELECT '(?s)<a\s[^>]*?href=["'']([^"'']*)["''][^>]*>(.*?)</a>' AS p))"""
+    q["catalogue_rows"] = """SELECT page_id, 'day ' || page_id AS date_compiled,
+  'City ' || page_id AS country_city,
+  'City ' || page_id || '_2021-' || page_id || '_' || f AS file_name,
+  'Data of ' || url AS description,
+  'http://data.example.com/canada/bc/2021-' || page_id || '/data/' || f AS link
+FROM pages, (VALUES ('listings.csv'), ('reviews.csv')) AS t(f)"""
+    q["availability"] = """SELECT l_partkey AS listing_id,
+  CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date,
+  CASE WHEN l_linenumber <> 6 AND l_linestatus = 'O' THEN 1 ELSE 0 END AS taken FROM lineitem"""
+    q["type_flags"] = _with(LISTINGS) + """SELECT id,
+  CAST(contains(room_type, 'ECONOMY') AS INTEGER) AS economy,
+  CAST(contains(bathrooms_text, 'shared') AS INTEGER) AS shared_bath FROM listings"""
 
     q["label_index"] = _with(LISTINGS, TYPED) + """SELECT 'neighbourhood_cleansed' AS column_name,
   neighbourhood_cleansed AS value,
@@ -415,13 +448,64 @@ FROM typed WHERE room_type IS NOT NULL GROUP BY room_type"""
          avg(y) AS my, avg(x) AS mx
   FROM (SELECT CAST(future_occupancy AS DOUBLE) AS x, ln(price) AS y FROM typed
         WHERE price > 0 AND future_occupancy IS NOT NULL))"""
+    q["price_rmse_1f"] = _with(LISTINGS, TYPED, XY) + f"""SELECT round(sqrt(avg(
+  (y - (my - slope * mx) - slope * x) ** 2)), 8) AS rmse
+FROM (SELECT * FROM xy WHERE part = 1), (
+  SELECT {_slope('0.01')} AS slope, avg(y) AS my, avg(x) AS mx FROM xy WHERE part = 0)"""
+    q["price_cv_1f"] = _with(LISTINGS, TYPED, XY, f"""grid AS (
+  SELECT CAST(r AS DOUBLE) AS reg_param, i FROM (VALUES (1e-5, 0), (1e-4, 1), (1e-3, 2), (1e-2, 3),
+    (0.1, 4), (0.15, 5), (0.2, 6), (0.3, 7)) AS t(r, i))""", f"""folds AS (
+  SELECT g.reg_param, g.i, f.f, {_slope('reg_param')} AS slope, avg(y) AS my, avg(x) AS mx
+  FROM grid g, (SELECT DISTINCT fold AS f FROM xy) f, xy
+  WHERE part = 0 AND fold <> f.f GROUP BY g.reg_param, g.i, f.f)""", """cv AS (
+  SELECT reg_param, i, avg(e) AS cv_rmse FROM (
+    SELECT k.reg_param, k.i, k.f, sqrt(avg((y - (my - slope * mx) - slope * x) ** 2)) AS e
+    FROM folds k JOIN xy ON part = 0 AND fold = k.f GROUP BY k.reg_param, k.i, k.f)
+  GROUP BY reg_param, i)""", "best AS (SELECT * FROM cv ORDER BY cv_rmse, i LIMIT 1)",
+        f"""fit AS (
+  SELECT b.i, {_slope('reg_param')} AS slope, avg(y) AS my, avg(x) AS mx
+  FROM best b, xy WHERE part = 0 GROUP BY b.i, b.reg_param)""", """err AS (
+  SELECT i, part, round(sqrt(avg((y - (my - slope * mx) - slope * x) ** 2)), 8) AS e
+  FROM fit, xy GROUP BY i, part)""") + """SELECT cv.reg_param, cv.i = best.i AS is_best,
+  round(cv.cv_rmse, 8) AS cv_rmse, t.e AS train_rmse, v.e AS validation_rmse
+FROM cv CROSS JOIN best LEFT JOIN err t ON cv.i = t.i AND t.part = 0
+LEFT JOIN err v ON cv.i = v.i AND v.part = 1"""
+    q["price_glm_2f"] = _with(LISTINGS, TYPED) + """, m AS (
+  SELECT 1.0::DOUBLE + 0.01::DOUBLE / stddev_pop(y) AS k, corr(x, y) AS rx, corr(z, y) AS rz,
+    corr(x, z) AS r, stddev_pop(x) AS sx, stddev_pop(z) AS sz, stddev_pop(y) AS sy,
+    avg(x) AS mx, avg(z) AS mz, avg(y) AS my
+  FROM (SELECT CAST(future_occupancy AS DOUBLE) AS x, CAST(accommodates AS DOUBLE) AS z,
+          ln(price) AS y FROM typed
+        WHERE price > 0 AND future_occupancy IS NOT NULL AND accommodates IS NOT NULL)
+), b AS (
+  SELECT *, (k * rx - r * rz) / (k * k - r * r) * sy / sx AS bx,
+    (k * rz - r * rx) / (k * k - r * r) * sy / sz AS bz FROM m)
+SELECT 'x' AS feature, round(bx, 8) AS value FROM b
+UNION ALL SELECT 'z', round(bz, 8) FROM b
+UNION ALL SELECT 'intercept', round(my - bx * mx - bz * mz, 8) FROM b"""
+    als_ctes = (*text_ctes, LEXICON, SCORES, """parts AS (
+  SELECT reviewer_id, listing_id,
+    CASE WHEN h < 60 THEN 0 WHEN h < 80 THEN 1 ELSE 2 END AS part FROM (
+    SELECT *, ((id % 2147483647) % 100 * 48271 + 5) % 100 AS h FROM scores))""")
+    q["als_split"] = _with(*als_ctes) + """SELECT CAST(p AS INTEGER) AS part,
+  count(part) AS n, count(DISTINCT reviewer_id) AS reviewers
+FROM range(0, 3) t(p) LEFT JOIN parts ON part = p GROUP BY p"""
+    facts = """SELECT reviewer_id, least(10, items) AS n, least(10, items) AS listings,
+  0::BIGINT AS unseen, 0::BIGINT AS negative
+FROM (SELECT DISTINCT reviewer_id FROM parts WHERE part = 0),
+     (SELECT count(DISTINCT listing_id) AS items FROM parts WHERE part = 0)"""
+    q["als_recommend_facts"] = _with(*als_ctes) + facts
+    q["als_recommend_users"] = _with(*als_ctes) + facts + \
+        " WHERE reviewer_id IN (SELECT reviewer_id FROM reviews WHERE lang = 'fr')"
+    q["optimise"] = _with(LISTINGS, OSM_NODES, NODES_KEPT, POIS, LOCS, PAIRS, FEATS_INNER,
+                          FEATURES_INNER, """hosts AS (
+  SELECT listing_id AS host_id, 4.0::DOUBLE
+    + CAST(least(num_shop_2km, 100) AS DOUBLE) / 100.0::DOUBLE
+    + CAST(least(num_restaurant_2km, 50) AS DOUBLE) / 100.0::DOUBLE AS intercept,
+    1.2::DOUBLE AS slope FROM features)""", PREDICTED, CURVE) + BEST
     q["profit_curve"] = _with(HOSTS, PREDICTED, CURVE) + """SELECT host_id,
   CAST(price AS INTEGER) AS price,
   future_occupancy, price * future_occupancy * 30 AS profit FROM curve"""
-    q["best_price"] = _with(HOSTS, PREDICTED, CURVE) + """SELECT host_id,
-  CAST(price AS INTEGER) AS price, future_occupancy, profit FROM (
-  SELECT host_id, price, future_occupancy, price * future_occupancy * 30 AS profit,
-    rank() OVER (PARTITION BY host_id ORDER BY price * future_occupancy * 30 DESC) AS r
-  FROM curve) WHERE r = 1"""
+    q["best_price"] = _with(HOSTS, PREDICTED, CURVE) + BEST
     return q
 

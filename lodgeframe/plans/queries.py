@@ -73,7 +73,7 @@ def q_amenity_frequency(spark, d):
 
 
 def q_amenity_terms(spark, d):
-    return S.amenity_terms(FX.listings(spark, d), 50)
+    return S.amenity_terms(FX.listings(spark, d))
 
 
 def q_amenity_price_corr(spark, d):
@@ -220,7 +220,31 @@ def q_price_glm_rmse(spark, d):
 
 
 def q_price_glm_cv(spark, d):
-    return M.tune_price_model(_model_input(spark, d))
+    return M.tune_price_model(_model_input(spark, d))[1]
+
+
+def _one_feature(spark, d):
+    """Typed listings with the single feature x; rows without it cannot be scored."""
+    return L.parse_listings(FX.listings(spark, d)).withColumn(
+        "x", F.col("future_occupancy").cast("double")).where(F.col("x").isNotNull())
+
+
+def q_price_rmse_1f(spark, d):
+    train, valid = M.hash_split(M.log_label(_one_feature(spark, d)), "id", (0.8, 0.2), 5)
+    fit = M.one_feature_ridge(train, "x").first()
+    pred = valid.withColumn("prediction", F.lit(fit["intercept"]) + F.lit(fit["slope"]) * F.col("x"))
+    return M.rmse(pred).select(F.round("rmse", 8).alias("rmse"))
+
+
+def q_price_cv_1f(spark, d):
+    table = M.tune_price_model(_one_feature(spark, d), features=("x",))[1]
+    return table.select("reg_param", "is_best", *[F.round(c, 8).alias(c) for c in
+                                                  ("cv_rmse", "train_rmse", "validation_rmse")])
+
+
+def q_price_glm_2f(spark, d):
+    typed = _one_feature(spark, d).withColumn("z", F.col("accommodates").cast("double"))
+    return M.coefficients(typed, ("x", "z")).select("feature", F.round("value", 8).alias("value"))
 
 
 def q_price_glm_profit(spark, d):
@@ -239,6 +263,64 @@ def q_als_recommend(spark, d):
     return R.recommend(_scores(spark, d))
 
 
+def q_als_split(spark, d):
+    """Rows of the ALS train / validation / test parts."""
+    parts = R.split_ratings(R.ratings(_scores(spark, d)))
+    out = None
+    for i, p in enumerate(parts):
+        n = p.agg(F.lit(i).alias("part"), F.count(F.lit(1)).alias("n"),
+                  F.countDistinct("reviewer_id").alias("reviewers"))
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+def _recommend_facts(recs, scores):
+    """Per reviewer: rows, distinct listings, listings unseen in training, negative ratings."""
+    seen = R.split_ratings(R.ratings(scores))[0].select("listing_id").distinct() \
+        .withColumn("seen", F.lit(1))
+    return recs.join(seen, "listing_id", "left").groupBy("reviewer_id").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("listing_id").alias("listings"),
+        F.count_if(F.col("seen").isNull()).alias("unseen"),
+        F.count_if(F.col("rating") < 0).alias("negative"))
+
+
+def q_als_recommend_facts(spark, d):
+    s = _scores(spark, d)
+    return _recommend_facts(R.recommend(s), s)
+
+
+def q_als_recommend_users(spark, d):
+    """Recommendations for given users: the reviewers of French reviews."""
+    s = _scores(spark, d)
+    users = FX.reviews(spark, d).where(F.col("lang") == "fr").select("reviewer_id")
+    return _recommend_facts(R.recommend(s, users), s)
+
+
+def q_optimise(spark, d):
+    """Requests with coordinates -> POI features -> sweep -> best price."""
+    def predict(grid):
+        level = F.lit(4.0) + F.least(F.col("num_shop_2km"), F.lit(100)) / F.lit(100.0) \
+            + F.least(F.col("num_restaurant_2km"), F.lit(50)) / F.lit(100.0)
+        return grid.withColumn("prediction",
+                               level - F.col("slope") * F.col("future_occupancy"))
+    return profit.optimise(FX.price_requests(spark, d), _pois(spark, d), predict)
+
+
+def q_catalogue_rows(spark, d):
+    return catalogue.catalogue_rows(FX.catalogue_pages(spark, d), "Vancouver")
+
+
+def q_availability(spark, d):
+    return FX.calendar(spark, d).select("listing_id", "date",
+                                        P.availability_flag("available").alias("taken"))
+
+
+def q_type_flags(spark, d):
+    return FX.listings(spark, d).select(
+        "id", P.contains_flag("room_type", "ECONOMY").alias("economy"),
+        P.contains_flag("bathrooms_text", "shared").alias("shared_bath"))
+
+
 def q_profit_curve(spark, d):
     return profit.profit_curve(FX.hosts(spark, d), profit.closed_form_log_price())
 
@@ -278,15 +360,25 @@ QUERIES: dict[str, Query] = {
     "review_score": q_review_score,
     "topk_per_reviewer": q_topk_per_reviewer,
     "link_catalogue": q_link_catalogue,
+    "catalogue_rows": q_catalogue_rows,
+    "availability": q_availability,
+    "type_flags": q_type_flags,
     "label_index": q_label_index,
     "hash_split": q_hash_split,
     "price_ridge_1f": q_price_ridge_1f,
+    "price_rmse_1f": q_price_rmse_1f,
+    "price_cv_1f": q_price_cv_1f,
+    "price_glm_2f": q_price_glm_2f,
     "price_glm_predict": q_price_glm_predict,
     "price_glm_rmse": q_price_glm_rmse,
     "price_glm_cv": q_price_glm_cv,
     "price_glm_profit": q_price_glm_profit,
     "als_grid": q_als_grid,
+    "als_split": q_als_split,
     "als_recommend": q_als_recommend,
+    "als_recommend_facts": q_als_recommend_facts,
+    "als_recommend_users": q_als_recommend_users,
+    "optimise": q_optimise,
     "profit_curve": q_profit_curve,
     "best_price": q_best_price,
 }

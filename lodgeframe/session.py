@@ -9,16 +9,17 @@ on a cluster:
   last value, like a Python dict comprehension),
 * AQE with partition coalescing and skew-join splitting on.
 
-Lineage cutting uses ``spark.checkpoint.dir`` from the session. It is only
-set here when the session has none (tests, local bench); on a cluster the
-shared folder the cluster names is used as is.
+Where a job runs (master, memory, shuffle partitions) is the caller's choice:
+``get_session`` sets these only if they are passed, so ``spark-submit`` and
+the cluster's defaults stay in force.
+
+Lineage cutting uses ``spark.checkpoint.dir`` from the session. A cluster must
+name a shared folder there; without one, a job that needs it fails with a
+clear error. Only a local session may do without: its warehouse folder serves.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 RESULT_CONFS = {
@@ -34,47 +35,45 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the result-affecting settings to an existing session."""
     for key, value in RESULT_CONFS.items():
         spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a local one only if unset."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    """The session's shared checkpoint folder, also set on its context."""
     sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
-        current = sc.getCheckpointDir()
-    if not current:
-        # Only reached in tests / local runs; a cluster names a shared folder.
-        current = tempfile.mkdtemp(prefix="lodgeframe-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share")
+        current = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "lodgeframe") -> SparkSession:
-    """Build (or reuse) a session with the engine's settings.
-
-    ``master`` defaults to ``local[$BENCH_CPUS]`` or ``local[*]`` when no master is
-    configured by spark-submit.
-    """
+                app_name: str = "lodgeframe", driver_memory: str | None = None,
+                conf: dict[str, str] | None = None) -> SparkSession:
+    """Build (or reuse) a session; only what is passed overrides the submitted settings."""
     builder = SparkSession.builder.appName(app_name)
-    if master is None and not os.environ.get("SPARK_MASTER"):
-        cpus = os.environ.get("BENCH_CPUS", "*")
-        master = f"local[{cpus}]"
     if master:
         builder = builder.master(master)
-    parts = shuffle_partitions or int(os.environ.get("LODGEFRAME_SHUFFLE_PARTITIONS", "8"))
-    builder = (
-        builder.config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.driver.memory", os.environ.get("LODGEFRAME_DRIVER_MEMORY", "16g"))
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
-    for key, value in RESULT_CONFS.items():
+    chosen = {"spark.ui.enabled": "false",
+              "spark.cleaner.referenceTracking.cleanCheckpoints": "true", **RESULT_CONFS}
+    if shuffle_partitions:
+        chosen["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if driver_memory:
+        chosen["spark.driver.memory"] = driver_memory
+    for key, value in (chosen | (conf or {})).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def local_session(app_name: str = "lodgeframe", cpus: str = "*", shuffle_partitions: int = 8,
+                  driver_memory: str = "16g") -> SparkSession:
+    """One-machine session for tests, tools and the bench."""
+    return get_session(f"local[{cpus}]", shuffle_partitions, app_name, driver_memory,
+                       {"spark.ui.showConsoleProgress": "false"})

@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ANCHOR_RE = r'<a href="([^"]*)"[^>]*>([^<]*)</a>'
+ANCHOR_RE = r"""(?s)<a\s[^>]*?href=["']([^"']*)["'][^>]*>(.*?)</a>"""
 ROW_RE = r"(?s)<tr[^>]*>(.*?)</tr>"
 CELL_RE = r"(?s)<td[^>]*>(.*?)</td>"
-HREF_RE = r'<a[^>]*href="([^"]*)"'
+HREF_RE = r"""<a\s[^>]*?href=["']([^"']*)["']"""
 TAG_RE = r"<[^>]*>"
 
 
@@ -29,7 +29,7 @@ def page_links(pages: DataFrame) -> DataFrame:
     z = pages.select("page_id", F.posexplode(F.arrays_zip(links.alias("link"),
                                                          texts.alias("text"))).alias("pos", "a"))
     link = F.col("a.link")
-    return z.select("page_id", "pos", link.alias("link"), F.col("a.text").alias("text"),
+    return z.select("page_id", "pos", link.alias("link"), _cell_text(F.col("a.text")).alias("text"),
                     F.try_element_at(F.split(link, "/", -1), F.lit(-3)).alias("segment"))
 
 
@@ -42,10 +42,11 @@ def catalogue_rows(pages: DataFrame, city: str) -> DataFrame:
 
     Only the first table whose class is ``table table-hover table-striped <city>``
     is read; of its rows only those with exactly 4 cells are kept.
-    ``file_name = country_city + '_' + link.split('/')[-3] + '_' + third cell text``.
+    ``file_name = country_city + '_' + link.split('/')[-3] + '_' + third cell text``,
+    NULL where the link is missing or has fewer than three parts.
     """
-    table_re = (r'(?s)<table[^>]*class="table table-hover table-striped '
-                + city.lower() + r'"[^>]*>(.*?)</table>')
+    table_re = (r'(?s)<table[^>]*class="table table-hover table-striped \Q'
+                + city.lower().replace("\\E", "") + r'\E"[^>]*>(.*?)</table>')
     tables = pages.select("page_id", F.regexp_extract("html", table_re, 1).alias("t")) \
         .where(F.col("t") != "")
     rows = tables.select("page_id", F.explode(F.regexp_extract_all("t", F.lit(ROW_RE), 1))
@@ -53,14 +54,14 @@ def catalogue_rows(pages: DataFrame, city: str) -> DataFrame:
     cells = rows.select("page_id", F.regexp_extract_all("row", F.lit(CELL_RE), 1).alias("c")) \
         .where(F.size("c") == 4)
     c0, c1, c2, c3 = (F.col("c")[i] for i in range(4))
-    link = F.regexp_extract(c2, HREF_RE, 1)
+    link = F.nullif(F.regexp_extract(c2, HREF_RE, 1), F.lit(""))
     country_city = _cell_text(c1)
     seg = F.try_element_at(F.split(link, "/", -1), F.lit(-3))
     return cells.select(
         "page_id",
         _cell_text(c0).alias("date_compiled"),
         country_city.alias("country_city"),
-        F.concat_ws("_", country_city, seg, _cell_text(c2)).alias("file_name"),
+        F.concat(country_city, F.lit("_"), seg, F.lit("_"), _cell_text(c2)).alias("file_name"),
         _cell_text(c3).alias("description"),
         link.alias("link"),
     )

@@ -42,6 +42,10 @@ AUTOMATED_NOTICE = ("This is an automated posting. The host canceled this reserv
                     "before arrival.")
 
 
+# Reviewer ids start here, beyond 32 bits.
+REVIEWER_BASE = 600000000000000000
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -54,6 +58,13 @@ def _case_by(key, values):
     return expr
 
 
+def _place(origin, key, step, span):
+    """A coordinate on a lattice of thousandths, moved by a key-dependent ten-millionth part
+    so that positions are distinct and their number grows with the table."""
+    return origin + ((key * step) % span).cast("double") / F.lit(1000.0) \
+        + ((key * 7919) % 9973).cast("double") / F.lit(10000000.0)
+
+
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw listing table (text columns as in the listing CSV) from ``part``."""
     part = read_table(spark, sf_dir, "part")
@@ -62,8 +73,8 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = part.join(F.broadcast(nation), (size % 24) == F.col("n_nationkey"), "left")
     return joined.select(
         key.alias("id"),
-        (F.lit(49.0) + ((key * 37) % 500).cast("double") / F.lit(1000.0)).alias("latitude"),
-        (F.lit(-123.5) + ((key * 91) % 1500).cast("double") / F.lit(1000.0)).alias("longitude"),
+        _place(F.lit(49.0), key, 37, 500).alias("latitude"),
+        _place(F.lit(-123.5), key, 91, 1500).alias("longitude"),
         F.when(key % 17 == 0, F.lit(None).cast("string"))
         .otherwise(F.date_add(F.lit("2010-01-01").cast("date"), (key % 4000).cast("int"))
                    .cast("string")).alias("host_since"),
@@ -93,7 +104,7 @@ def osm_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Tags follow ``c_custkey % 8``: each branch of the category rule, near
     misses, a node of no interest and (for ``% 16 == 7``) an empty map. Some
-    nodes fall outside the default bounding box (lat up to 49.519).
+    nodes fall outside the default bounding box (lat up to 49.52).
     """
     cust = read_table(spark, sf_dir, "customer")
     k, name = F.col("c_custkey"), F.col("c_name")
@@ -121,20 +132,22 @@ def osm_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("id"),
         F.concat(lit("2021-11-06T00:00:"), F.lpad((k % 60).cast("string"), 2, "0"), lit("Z"))
         .alias("timestamp"),
-        (lit(49.0) + ((k * 53) % 520).cast("double") / lit(1000.0)).alias("lat"),
-        (lit(-123.5) + ((k * 71) % 1500).cast("double") / lit(1000.0)).alias("lon"),
+        _place(lit(49.0), k, 53, 520).alias("lat"),
+        _place(lit(-123.5), k, 71, 1500).alias("lon"),
         tags.alias("tags"),
     )
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calendar rows (listing_id, date text, price text) from ``lineitem``."""
+    """Calendar rows (listing_id, date, price, available; all but the id text) from ``lineitem``."""
     li = read_table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_partkey").alias("listing_id"),
         F.to_date("l_shipdate").cast("string").alias("date"),
         F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("$"), F.format_number("l_extendedprice", 2))).alias("price"),
+        F.when(F.col("l_linenumber") == 6, F.lit(None).cast("string"))
+        .when(F.col("l_linestatus") == "O", F.lit("f")).otherwise(F.lit("t")).alias("available"),
     )
 
 
@@ -156,7 +169,11 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Review rows (id, listing_id, reviewer_id, comments, lang) from ``documents``."""
+    """Review rows (id, listing_id, reviewer_id, comments, lang) from ``documents``.
+
+    Reviewers and listings grow with the table: each block of 2,000 documents has 101
+    reviewers and 53 listings of its own. Reviewer ids have 18 digits.
+    """
     d = read_table(spark, sf_dir, "documents")
     k = F.col("doc_id")
     comments = (
@@ -167,13 +184,44 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return d.select(
         k.alias("id"),
-        (k % 50).alias("listing_id"),
-        (k % 97).alias("reviewer_id"),
+        (k % 53 + F.floor(k / 2000) * 1000).alias("listing_id"),
+        (k % 101 + F.floor(k / 2000) * 1000 + F.lit(REVIEWER_BASE)).alias("reviewer_id"),
         comments.alias("comments"),
         F.col("lang"),
     )
 
 
+def catalogue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dataset pages (page_id, html), one per row of ``pages``: a table of the wanted city with
+    three rows (one of them short), and a table of another city."""
+    p = read_table(spark, sf_dir, "pages")
+    k = F.col("page_id").cast("string")
+
+    def row(file, cells=4):
+        link = F.concat(F.lit("http://data.example.com/canada/bc/2021-"), k, F.lit("/data/"),
+                        F.lit(file))
+        tds = [F.concat(F.lit("day "), k), F.concat(F.lit("City "), k),
+               F.concat(F.lit('<a href="'), link, F.lit('"> <b>'), F.lit(file), F.lit("</b></a>")),
+               F.concat(F.lit("Data of "), F.col("url"))][:cells]
+        return F.concat(F.lit("<tr>"), *[x for t in tds for x in (F.lit("<td>"), t, F.lit("</td>"))],
+                        F.lit("</tr>\n"))
+
+    def table(city, *rows):
+        return F.concat(F.lit(f'<table class="table table-hover table-striped {city}">'),
+                        *rows, F.lit("</table>"))
+    return p.select("page_id", F.concat(
+        table("victoria", row("other.csv")), table("vancouver", row("listings.csv"),
+                                                   row("short.csv", 3), row("reviews.csv")))
+        .alias("html"))
+
+
+def price_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host requests with coordinates (host_id, lat, lon, slope), one per ``part`` row."""
+    lst = listings(spark, sf_dir)
+    return lst.select(F.col("id").alias("host_id"), F.col("latitude").alias("lat"),
+                      F.col("longitude").alias("lon"), F.lit(1.2).alias("slope"))
+
+
 def hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host requests for the price sweep, one per ``part`` row.
 

@@ -12,9 +12,8 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from lodgeframe.session import get_session
-    s = get_session(master="local[*]", shuffle_partitions=8)
-    yield s
+    from lodgeframe.session import local_session
+    yield local_session(cpus=os.environ.get("BENCH_CPUS", "*"))
 
 
 def rows(df, *cols):

@@ -62,3 +62,83 @@ def test_glm_closed_form_ignores_max_iter(spark):
                                         regParam=0.01, maxIter=m).fit(data) for m in (0, 25)]
     assert list(fits[0].coefficients) == pytest.approx(list(fits[1].coefficients), rel=1e-12)
     assert fits[0].intercept == pytest.approx(fits[1].intercept, rel=1e-12)
+
+
+def test_hash_split_takes_ids_of_any_size(spark):
+    ids = [-7, 0, 5, 123456789, 987654321012345678, 2 ** 63 - 1]
+    df = spark.createDataFrame([(i,) for i in ids], "k long")
+    a, b = ([r["k"] for r in p.collect()] for p in M.hash_split(df, "k"))
+    assert sorted(a + b) == sorted(ids)
+    assert sorted(a) == sorted(i for i in ids if (i * 48271 + 5) % 100 < 80)
+
+
+def _listings(spark, n=300):
+    rows = [(i * 1_000_003, float(i % 7), float((i * 31) % 11), float(40 + (i * 37) % 90))
+            for i in range(n)]
+    return spark.createDataFrame(rows, "id long, x double, z double, price double")
+
+
+def test_tuning_does_not_depend_on_partitioning(spark):
+    df = _listings(spark)
+    got = []
+    for n in (2, 7):
+        _, table = M.tune_price_model(df.repartition(n), features=("x", "z"))
+        got.append([tuple(r) for r in table.collect()])
+    assert len(got[0]) == len(M.CV_REG_PARAMS)
+    for a, b in zip(*got):
+        assert a[0] == b[0] and a[2] == b[2]
+        assert a[1] == pytest.approx(b[1], rel=1e-9)
+    best = [r for r in got[0] if r[2]]
+    assert len(best) == 1 and best[0][1] == min(r[1] for r in got[0])
+    assert best[0][3] > 0 and best[0][4] > 0
+    assert all(r[3] is None and r[4] is None for r in got[0] if not r[2])
+
+
+def test_tuned_model_scores_as_reported(spark):
+    df = _listings(spark)
+    model, table = M.tune_price_model(df, features=("x", "z"))
+    best = table.where("is_best").first()
+    train, held = M.hash_split(M.log_label(df), "id", (0.8, 0.2), 5)
+    assert M.rmse(M.score(model, train)).first()["rmse"] == pytest.approx(best["train_rmse"])
+    assert M.rmse(M.score(model, held)).first()["rmse"] == pytest.approx(best["validation_rmse"])
+
+
+def _scores_frame(spark, base=600_000_000_000_000_000):
+    rows = [(u * 40 + i, base + u, i, float((u * 7 + i * 3) % 5))
+            for u in range(20) for i in range(15)]
+    return spark.createDataFrame(rows, "id long, reviewer_id long, listing_id long, score double")
+
+
+def test_dense_ids(spark):
+    df = spark.createDataFrame([(v,) for v in [5, 5, None, -3, 2 ** 62, 7]], "k long")
+    got = {r["k"]: r["i"] for r in R.dense_ids(df, "k", "i").collect()}
+    assert set(got) == {5, -3, 2 ** 62, 7} and sorted(got.values()) == [0, 1, 2, 3]
+
+
+def test_recommend_keeps_64_bit_ids_and_serves_given_users(spark):
+    s = _scores_frame(spark)
+    base = 600_000_000_000_000_000
+    users = spark.createDataFrame([(base + 3,), (base + 4,), (base + 3,), (99,)], "reviewer_id long")
+    some = [tuple(r) for r in R.recommend(s, users, k=4, max_iter=5).collect()]
+    every = {tuple(r)[:2] for r in R.recommend(s, k=4, max_iter=5).collect()}
+    assert len(some) == 8 and {r[0] for r in some} == {base + 3, base + 4}
+    assert len(every) == 80 and {r[:2] for r in some} <= every
+
+
+def test_equal_ratings_spread_over_the_split(spark):
+    rows = [(i, 1, 1, 3.0) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, reviewer_id long, listing_id long, score double")
+    n = [p.count() for p in R.split_ratings(R.ratings(df))]
+    assert sum(n) == 500 and n[0] == 300 and n[1] == n[2] == 100
+
+
+def test_als_grid_reports_each_setting_and_the_best(spark):
+    out = R.als_grid(_scores_frame(spark), max_iters=(2, 4), ranks=(2,), reg_params=(0.1, 1.0)).collect()
+    valid = [r for r in out if r["stage"] == "validation"]
+    test = [r for r in out if r["stage"] == "test"]
+    assert [(r["max_iter"], r["rank"], r["reg_param"]) for r in valid] == [
+        (2, 2, 0.1), (2, 2, 1.0), (4, 2, 0.1), (4, 2, 1.0)]
+    best = min(valid, key=lambda r: r["rmse"])
+    assert len(test) == 1 and (test[0]["max_iter"], test[0]["reg_param"]) == \
+        (best["max_iter"], best["reg_param"])
+    assert all(0 < r["rmse"] < 5 for r in out)
