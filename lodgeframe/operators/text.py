@@ -39,16 +39,26 @@ ENGLISH_STOP_WORDS = (
     "shouldn't", "wasn", "wasn't", "weren", "weren't", "won", "won't", "wouldn", "wouldn't",
 )
 
-# Default noun lemma table (word -> lemma) of this engine; pass your own table
-# for a full dictionary.
+# Exceptions of the noun lemma table (word, lemma); they go before the suffix rules.
 DEFAULT_LEMMAS = (
     ("was", "wa"), ("as", "a"), ("has", "ha"), ("does", "doe"), ("is", "is"),
-    ("rooms", "room"), ("hosts", "host"), ("stays", "stay"), ("beds", "bed"),
-    ("nights", "night"), ("days", "day"), ("places", "place"), ("apartments", "apartment"),
-    ("things", "thing"), ("words", "word"), ("years", "year"), ("times", "time"),
-    ("ways", "way"), ("views", "view"), ("kitchens", "kitchen"), ("towels", "towel"),
+    ("people", "people"), ("children", "child"), ("feet", "foot"), ("teeth", "tooth"),
+    ("knives", "knife"), ("shelves", "shelf"), ("dishes", "dish"),
 )
 
+# Default noun vocabulary of this engine: the suffix rules only yield these lemmas.
+DEFAULT_NOUNS = (
+    "room", "host", "stay", "bed", "night", "day", "place", "apartment", "thing", "word",
+    "year", "time", "way", "view", "kitchen", "towel", "bath", "beach", "bus", "city",
+    "family", "man", "woman", "house", "minute", "shop", "restaurant", "window", "door",
+    "neighbour", "neighbourhood", "pillow", "sheet", "glass", "fridge", "box", "party",
+    "balcony", "lobby", "key", "bathroom", "bedroom", "street", "walk", "week", "guest",
+)
+
+# Words that turn the polarity of the next word, and by how much.
+NEGATORS = ("not", "no", "never", "without", "cannot", "isnt", "wasnt", "dont", "didnt")
+NEGATION_FACTOR = -0.5
+
 # Default polarity lexicon (word, polarity in -1..1) of this engine.
 DEFAULT_LEXICON = (
     ("best", 1.0), ("excellent", 1.0), ("perfect", 1.0), ("wonderful", 1.0),
@@ -90,8 +100,28 @@ def stop_words_table(spark: SparkSession, words=ENGLISH_STOP_WORDS) -> DataFrame
     return _table(spark, [(w,) for w in words], word=pa.string())
 
 
-def lemma_table(spark: SparkSession, pairs=DEFAULT_LEMMAS) -> DataFrame:
-    return _table(spark, list(pairs), word=pa.string(), lemma=pa.string())
+def noun_forms(nouns: DataFrame) -> DataFrame:
+    """(word, lemma) for the plural forms of a vocabulary table (word).
+
+    The suffix rules -s, -es, -ies and -men read backwards: a form maps to a lemma
+    only if the lemma is in the vocabulary. A form that is a noun itself stays.
+    """
+    w = F.col("word")
+    forms = F.filter(F.array(
+        F.concat(w, F.lit("s")),
+        F.when(w.rlike("(s|x|z|ch|sh)$"), F.concat(w, F.lit("es"))),
+        F.when(w.rlike("[^aeiou]y$"), F.regexp_replace(w, "y$", "ies")),
+        F.when(w.rlike("man$"), F.regexp_replace(w, "man$", "men"))), lambda x: x.isNotNull())
+    pairs = nouns.select(F.explode(forms).alias("form"), w.alias("lemma"))
+    return pairs.join(nouns, F.col("form") == w, "left_anti").groupBy(
+        F.col("form").alias("word")).agg(F.min("lemma").alias("lemma"))
+
+
+def lemma_table(spark: SparkSession, exceptions=DEFAULT_LEMMAS, nouns=DEFAULT_NOUNS) -> DataFrame:
+    """(word, lemma): the exceptions, and the plural forms of the vocabulary."""
+    first = _table(spark, list(exceptions), word=pa.string(), lemma=pa.string())
+    forms = noun_forms(_table(spark, [(n,) for n in nouns], word=pa.string()))
+    return first.unionByName(forms.join(first, "word", "left_anti"))
 
 
 def lexicon_table(spark: SparkSession, pairs=DEFAULT_LEXICON) -> DataFrame:
@@ -126,10 +156,22 @@ def prepare_reviews(reviews: DataFrame) -> DataFrame:
 # Tokens (N2 - N5)
 # ---------------------------------------------------------------------------
 
-def tokens(docs: DataFrame, id_col: str = "id", text_col: str = "comments") -> DataFrame:
-    """(id, pos, token) whitespace tokens of the whole text (pos from 0)."""
-    return docs.select(
-        id_col, F.posexplode(T.whitespace_tokens(text_col)).alias("pos", "token"))
+def tokens(docs: DataFrame, id_col: str = "id", text_col: str = "comments",
+           negation: bool = False) -> DataFrame:
+    """(id, pos, token) whitespace tokens of the whole text (pos from 0).
+
+    With ``negation`` also ``negated``: the token before, without punctuation, is a negator.
+    """
+    if not negation:
+        return docs.select(
+            id_col, F.posexplode(T.whitespace_tokens(text_col)).alias("pos", "token"))
+    toks = docs.select(id_col, T.whitespace_tokens(text_col).alias("_ts"))
+    pairs = F.arrays_zip(F.col("_ts").alias("token"), F.concat(
+        F.array(F.lit("")), F.col("_ts")).alias("before"))
+    out = toks.select(id_col, F.posexplode(F.slice(pairs, F.lit(1), F.greatest(
+        F.size("_ts"), F.lit(0)))).alias("pos", "_p"))
+    return out.select(id_col, "pos", F.col("_p.token").alias("token"),
+                      T.strip_punctuation("_p.before").isin(*NEGATORS).alias("negated"))
 
 
 def remove_stop_words(toks: DataFrame, stop_words: DataFrame) -> DataFrame:
@@ -160,9 +202,10 @@ def lemmatize(toks: DataFrame, lemmas: DataFrame) -> DataFrame:
 
 
 def clean_tokens(docs: DataFrame, stop_words: DataFrame, lemmas: DataFrame,
-                 id_col: str = "id", text_col: str = "comments") -> DataFrame:
-    """N2 -> N4 -> N3 -> N5: (id, pos, token) of the cleaned review text."""
-    t = tokens(docs, id_col, text_col)
+                 id_col: str = "id", text_col: str = "comments",
+                 negation: bool = False) -> DataFrame:
+    """N2 -> N4 -> N3 -> N5: (id, pos, token[, negated]) of the cleaned review text."""
+    t = tokens(docs, id_col, text_col, negation)
     return lemmatize(strip_token_punctuation(remove_stop_words(t, stop_words)), lemmas)
 
 
@@ -199,15 +242,20 @@ def detect_language(docs: DataFrame, lang_words: DataFrame, id_col: str = "id",
 # ---------------------------------------------------------------------------
 
 def polarity(toks: DataFrame, lexicon: DataFrame, id_col: str = "id") -> DataFrame:
-    """(id, polarity) mean lexicon polarity of the matched tokens (reviews with a match)."""
+    """(id, polarity) mean lexicon polarity of the matched tokens (reviews with a match).
+
+    A token marked as negated counts with its polarity times ``NEGATION_FACTOR``.
+    """
     lx = lexicon.select(F.col("word").alias("token"), "polarity")
-    return toks.join(lx, "token", "inner").groupBy(id_col) \
-        .agg(F.avg("polarity").alias("polarity"))
+    value = F.col("polarity")
+    if "negated" in toks.columns:
+        value = F.when(F.col("negated"), value * F.lit(NEGATION_FACTOR)).otherwise(value)
+    return toks.join(lx, "token", "inner").groupBy(id_col).agg(F.avg(value).alias("polarity"))
 
 
 def review_scores(reviews: DataFrame, stop_words: DataFrame, lemmas: DataFrame,
                   lexicon: DataFrame, lang_words: DataFrame | None = None,
-                  language: str = "en") -> DataFrame:
+                  language: str = "en", negation: bool = False) -> DataFrame:
     """(id, listing_id, reviewer_id, comments, score) for reviews in ``language``.
 
     Uses the review's ``lang`` column when there is one, else the word vote.
@@ -223,7 +271,7 @@ def review_scores(reviews: DataFrame, stop_words: DataFrame, lemmas: DataFrame,
         langs = detect_language(prepared, lang_words)
         kept = prepared.join(langs.where(F.col("lang") == F.lit(language)).select("id"), "id",
                              "left_semi")
-    toks = clean_tokens(kept.select("id", "comments"), stop_words, lemmas)
+    toks = clean_tokens(kept.select("id", "comments"), stop_words, lemmas, negation=negation)
     pol = polarity(toks, lexicon)
     scored = kept.join(pol, "id", "left")
     p = F.coalesce(F.col("polarity"), F.lit(0.0)).cast("decimal(32,18)")

@@ -223,7 +223,23 @@ PREPARED = f"""prepared AS (
   WHERE NOT contains(c, {_q(AUTOMATED_MARKER)}))"""
 
 STOP_WORDS = f"stop_words AS {_values([(w,) for w in text_ops.ENGLISH_STOP_WORDS], ['word'])}"
-LEMMAS = f"lemmas AS {_values(text_ops.DEFAULT_LEMMAS, ['word', 'lemma'])}"
+
+
+def _forms(nouns: str) -> str:
+    """Plural forms of the rows of ``nouns`` (word) that are no noun themselves."""
+    return f"""SELECT form AS word, min(word) AS lemma FROM (
+  SELECT word, word || 's' AS form FROM {nouns}
+  UNION ALL SELECT word, word || 'es' FROM {nouns} WHERE regexp_matches(word, '(s|x|z|ch|sh)$')
+  UNION ALL SELECT word, left(word, -1) || 'ies' FROM {nouns}
+    WHERE regexp_matches(word, '[^aeiou]y$')
+  UNION ALL SELECT word, left(word, -3) || 'men' FROM {nouns} WHERE suffix(word, 'man'))
+WHERE form NOT IN (SELECT word FROM {nouns}) GROUP BY form"""
+
+
+LEMMAS = f"""nouns AS {_values([(w,) for w in text_ops.DEFAULT_NOUNS], ['word'])},
+exceptions AS {_values(text_ops.DEFAULT_LEMMAS, ['word', 'lemma'])},
+lemmas AS (SELECT * FROM exceptions UNION ALL SELECT * FROM ({_forms('nouns')})
+  WHERE word NOT IN (SELECT word FROM exceptions))"""
 LEXICON = f"lexicon AS {_values(text_ops.DEFAULT_LEXICON, ['word', 'polarity'])}"
 LANG_WORDS = "lang_words AS " + _values(
     [(lang, w) for lang, ws in text_ops.DEFAULT_LANG_WORDS.items() for w in ws],
@@ -405,6 +421,24 @@ FROM nation n LEFT JOIN (SELECT neighbourhood_cleansed, avg(price) AS price FROM
     JOIN lang_words w ON t.token = w.word GROUP BY t.id, w.lang)) v ON p.id = v.id AND v.rn = 1"""
     q["review_score"] = _with(*text_ctes, LEXICON, SCORES) + \
         "SELECT id, listing_id, reviewer_id, comments, round(score, 6) AS score FROM scores"
+    q["review_score_corpus"] = _with(REVIEWS, PREPARED, EN_REVIEWS, STOP_WORDS, LEMMAS, f"""lexicon AS (
+  SELECT word, ((length(word) * 7 + (length(word) - length(replace(word, 'e', ''))) * 5) % 21 - 10)
+    / 10.0::DOUBLE AS polarity FROM (
+    SELECT DISTINCT regexp_replace(unnest({_tokens_list('lower(text)')}), '{PUNCT_RE}', '', 'g')
+      AS word FROM documents) WHERE length(word) % 3 = 1)""", f"""toks AS (
+  SELECT id, unnest(range(1, len(w) + 1)) AS i, w FROM (
+    SELECT id, {_tokens_list('comments')} AS w FROM en_reviews))""", f"""cleaned AS (
+  SELECT id, regexp_replace(w[i], '{PUNCT_RE}', '', 'g') AS token,
+    coalesce(regexp_replace(CASE WHEN i > 1 THEN w[i - 1] END, '{PUNCT_RE}', '', 'g') IN ('not',
+      'no', 'never', 'without', 'cannot', 'isnt', 'wasnt', 'dont', 'didnt'), false) AS negated
+  FROM toks WHERE w[i] NOT IN (SELECT word FROM stop_words))""", """pol AS (
+  SELECT c.id, avg(x.polarity * CASE WHEN negated THEN -0.5 ELSE 1.0 END) AS polarity
+  FROM cleaned c LEFT JOIN lemmas l ON c.token = l.word
+  JOIN lexicon x ON x.word = coalesce(l.lemma, c.token) WHERE c.token <> '' GROUP BY c.id)""") + \
+        """SELECT r.id, r.reviewer_id, round((CAST(coalesce(p.polarity, 0.0::DOUBLE)
+  AS DECIMAL(32,18)) + 1) * 2.5::DOUBLE, 6) AS score FROM en_reviews r LEFT JOIN pol p ON r.id = p.id"""
+    q["lemma_forms"] = _with("""names AS (
+  SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part)""") + _forms("names")
     q["topk_per_reviewer"] = _with(*text_ctes, LEXICON, SCORES) + """SELECT reviewer_id,
   listing_id, id, score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT reviewer_id, listing_id, id, round(score, 6) AS score,

@@ -176,6 +176,21 @@ def q_review_score(spark, d):
     return _scores(spark, d).withColumn("score", F.round("score", 6))
 
 
+def q_review_score_corpus(spark, d):
+    """Scores with a lexicon as large as the corpus vocabulary, and with negation."""
+    sw, lem, _ = _dicts(spark)
+    out = TX.review_scores(FX.reviews(spark, d), sw, lem, FX.review_lexicon(spark, d),
+                           negation=True)
+    return out.select("id", "reviewer_id", F.round("score", 6).alias("score"))
+
+
+def q_lemma_forms(spark, d):
+    """Plural forms of a noun table as large as the part names' vocabulary."""
+    names = FX.read_table(spark, d, "part").select(
+        F.explode(F.split("p_name", " ")).alias("word")).distinct()
+    return TX.noun_forms(names)
+
+
 def q_topk_per_reviewer(spark, d):
     s = _scores(spark, d).select("reviewer_id", "listing_id", "id",
                                  F.round("score", 6).alias("score"))
@@ -358,6 +373,8 @@ QUERIES: dict[str, Query] = {
     "review_joined": q_review_joined,
     "review_language": q_review_language,
     "review_score": q_review_score,
+    "review_score_corpus": q_review_score_corpus,
+    "lemma_forms": q_lemma_forms,
     "topk_per_reviewer": q_topk_per_reviewer,
     "link_catalogue": q_link_catalogue,
     "catalogue_rows": q_catalogue_rows,

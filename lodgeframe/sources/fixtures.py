@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodgeframe.functions.text import strip_punctuation, whitespace_tokens
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -58,6 +60,17 @@ def _case_by(key, values):
     return expr
 
 
+def review_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polarity table (word, polarity) over the words of ``documents``: every word whose length
+    leaves 1 when divided by 3, with a polarity from its length and its count of the letter e."""
+    words = read_table(spark, sf_dir, "documents").select(
+        F.explode(whitespace_tokens(F.lower("text"))).alias("w")).select(
+        strip_punctuation("w").alias("word")).where(F.length("word") % 3 == 1).distinct()
+    n = F.length("word")
+    return words.select("word", (((n * 7 + (n - F.length(F.translate("word", "e", ""))) * 5) % 21
+                                  - 10) / F.lit(10.0)).alias("polarity"))
+
+
 def _place(origin, key, step, span):
     """A coordinate on a lattice of thousandths, moved by a key-dependent ten-millionth part
     so that positions are distinct and their number grows with the table."""

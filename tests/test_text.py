@@ -50,3 +50,37 @@ def test_user_dictionary_goes_through_size_check(spark):
     out = TX.review_scores(rev, TX.stop_words_table(spark), TX.lemma_table(spark),
                            lexicon).first()
     assert abs(out["score"] - (0.2 + 1) * 2.5) < 1e-12
+
+
+def test_noun_forms_follow_the_vocabulary(spark):
+    nouns = spark.createDataFrame([(w,) for w in ("city", "day", "man", "box", "bus", "bu", "s")],
+                                  "word string")
+    got = {r["word"]: r["lemma"] for r in TX.noun_forms(nouns).collect()}
+    assert got == {"citys": "city", "cities": "city", "days": "day", "mans": "man", "men": "man",
+                   "boxs": "box", "boxes": "box", "buss": "bus", "buses": "bus", "ss": "s",
+                   "ses": "s"}
+    table = {r["word"]: r["lemma"] for r in TX.lemma_table(spark).collect()}
+    assert table["rooms"] == "room" and table["families"] == "family" and table["women"] == "woman"
+    assert table["was"] == "wa" and "glas" not in table
+
+
+def test_negation_turns_the_next_word(spark):
+    rev = spark.createDataFrame([(1, 1, 1, "good", "en"), (2, 1, 1, "not, good", "en"),
+                                 (3, 1, 1, "not a good", "en"), (4, 1, 1, "never dirty good", "en")],
+                                "id long, listing_id long, reviewer_id long, comments string, lang string")
+
+    def run(negation):
+        out = TX.review_scores(rev, TX.stop_words_table(spark), TX.lemma_table(spark),
+                               TX.lexicon_table(spark), negation=negation)
+        return {r["id"]: round(r["score"], 6) for r in out.collect()}
+    plain, turned = run(False), run(True)
+    assert plain[1] == plain[2] == plain[3] == turned[1] == turned[3] == 4.25
+    assert turned[2] == 2.5 * (1 - 0.35) and turned[4] == round(2.5 * (1 + (0.3 + 0.7) / 2), 6)
+
+
+def test_building_a_review_plan_needs_no_rows(spark):
+    empty = spark.createDataFrame([], "id long, comments string")
+    assert TX.detect_language(empty, TX.lang_words_table(spark)).count() == 0
+    blank = spark.createDataFrame([(1, "  "), (2, "...")], "id long, comments string")
+    got = {r["id"]: r["lang"] for r in TX.detect_language(blank, TX.lang_words_table(spark)).collect()}
+    assert got == {1: "und", 2: "und"}
