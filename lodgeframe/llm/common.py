@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.session import ensure_checkpoint_dir
+from lodgeframe.operators.util import materialize  # noqa: F401
 
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
@@ -16,18 +14,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the session's shared checkpoint folder and read it back.
-
-    Cuts the lineage like ``checkpoint()`` but computes the input once and keeps
-    column pruning. The folder is the one named by ``spark.checkpoint.dir``.
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
