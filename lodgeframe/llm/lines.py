@@ -54,7 +54,8 @@ def boilerplate(lines: DataFrame, min_sites: int, lg_k: int = 12,
         F.first("sites").alias("sites"), F.min(F.struct("doc", "at")).alias("first"))
     decided = first.join(exact, ["k1", "k2"], "left").where(
         F.coalesce(F.col("exact"), F.col("sites")) >= min_sites).select("k1", "k2", "first")
-    return decided, found
+    # Written, so that the join below reads two plain exchanges and a hot line can be split.
+    return materialize(decided), found
 
 
 def dedup_lines(docs: DataFrame, min_sites: int = 5, lg_k: int = 12, band: float = 0.1,
