@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 
 from lodgeframe.llm.common import materialize, word_count
 
-ROWS_PER_BUCKET = 4096
+ROWS_PER_BUCKET = 1024
 
 
 @dataclass(frozen=True)
