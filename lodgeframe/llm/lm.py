@@ -15,13 +15,14 @@ and is the state in which the next one starts.
 
 Scale. No task and no driver holds the whole automaton. Documents are dealt to
 blocks by a hash of their content. A block counts its own n-grams and sends them, as
-sorted 64-bit keys with counts, to as many key ranges; a range adds up the counts and
+sorted keys with counts, to as many key ranges; a range adds up the counts and
 answers each block with the totals that differ from the block's own count, so
 n-grams of one block travel once. The block then has the part of the automaton that
 its texts visit, with corpus-wide weights, and reads its texts through it. All
 messages are proportional to the text.
 
-Keys are 64-bit hashes of n-grams; two n-grams share one with odds of n^2 / 2^65.
+Keys are 56-bit hashes of n-grams: among n of them n^2 / 2^57 pairs meet by chance, so
+seven pairs among 10^9. Sorted keys travel as differences, whose upper bytes are zero.
 
 Defined cases: a null text is empty, and an empty text is the end token alone; a null
 doc_id counts as the empty text in the fold and is kept; repeated rows count and are
@@ -42,7 +43,8 @@ from pyspark.sql import functions as F
 from lodgeframe.llm.common import fold, materialize
 
 END = b"\n"          # no word holds a newline
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 10_000_000
+KEY_BITS = 56
 MAX_BLOCKS = 100_000   # beyond, blocks grow: each block sends one message to each range
 SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double")
@@ -57,13 +59,17 @@ class Backoff:
 
 
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """64-bit key of an n-gram from the key of its start and the hash of its last word."""
+    """Key of an n-gram from the key of its start and the hash of its last word."""
     with np.errstate(over="ignore"):
         x = a * np.uint64(0x9E3779B97F4A7C15) + b
         x ^= x >> np.uint64(32)
         x *= np.uint64(0xD6E8FEB86659FD93)
         x ^= x >> np.uint64(29)
-        return x * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1)
+        return (x * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1)) >> np.uint64(64 - KEY_BITS)
+
+
+def word_key(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word) >> (64 - KEY_BITS)
 
 
 def read(texts) -> tuple[np.ndarray, np.ndarray]:
@@ -76,8 +82,7 @@ def read(texts) -> tuple[np.ndarray, np.ndarray]:
         ids += [number.setdefault(x, len(number)) for x in w]
         ids.append(0)
         sizes.append(len(w) + 1)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in number), dtype=np.uint64,
-                         count=len(number))
+    hashes = np.fromiter((word_key(w) for w in number), dtype=np.uint64, count=len(number))
     return hashes[np.array(ids, dtype=np.int64)], np.array(sizes, dtype=np.int64)
 
 
@@ -87,7 +92,7 @@ def gram_keys(h: np.ndarray, sizes: np.ndarray, order: int) -> list[tuple[np.nda
     The history of a text's first word is the end token; longer histories do not
     reach over a text's start.
     """
-    end = np.uint64(xxhash.xxh64_intdigest(END))
+    end = np.uint64(word_key(END))
     first = np.zeros(len(h), dtype=bool)
     first[np.cumsum(sizes) - sizes] = True
     since = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -163,7 +168,7 @@ def score_texts(docs: DataFrame, model: Backoff | None = None, id_col: str = "do
         block, rows = int(group["block"].iloc[0]), []
         for i, (key, inside) in enumerate(gram_keys(h, sizes, order)):
             k, c, _ = count_keys(key[inside], train[inside])
-            cut = np.searchsorted(k, np.array([(r << 64) // blocks for r in range(blocks)],
+            cut = np.searchsorted(k, np.array([(r << KEY_BITS) // blocks for r in range(blocks)],
                                               dtype=np.uint64))
             cut = np.append(cut, len(k))
             rows += [(block, i, r, planes(k[a:b]), c[a:b].astype("<u4").tobytes())
