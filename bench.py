@@ -6,12 +6,14 @@ Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 
 Each query is fully executed (``write.format("noop")``, so every row is
 produced but nothing is collected); the reported time is the median of
-``$BENCH_REPEATS`` runs (default 3) after one warm-up run.
+``$BENCH_REPEATS`` runs (default 3) after one warm-up run. With ``$BENCH_GROWTH_DIR``
+(another scale factor) each query's growth as a power of the scale factor is added.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import os
 import re
 import statistics
@@ -44,12 +46,7 @@ def _sf(path: str):
     return float(m.group(1)) if m else path
 
 
-def main() -> None:
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
-    names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    spark = local_session(cpus=os.environ.get("BENCH_CPUS", "*"))
-    qs = queries()
+def timings(spark, qs, names, sf_dir: str, repeats: int) -> dict[str, float]:
     times = {}
     for name in names:
         runs = []
@@ -59,6 +56,17 @@ def main() -> None:
             if i:
                 runs.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(runs), 3)
+    return times
+
+
+def main() -> None:
+    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+    small_dir = os.environ.get("BENCH_GROWTH_DIR")
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
+    spark = local_session(cpus=os.environ.get("BENCH_CPUS", "*"))
+    qs = queries()
+    times = timings(spark, qs, names, sf_dir, repeats)
     out = {
         "metric": "headline_queries_total_median_sec",
         "value": round(sum(times.values()), 3),
@@ -67,6 +75,11 @@ def main() -> None:
         "sf": _sf(sf_dir),
         "cpus": os.environ.get("BENCH_CPUS", "*"),
     }
+    if small_dir:
+        small = timings(spark, qs, names, small_dir, repeats)
+        scale = math.log(_sf(sf_dir) / _sf(small_dir))
+        out["growth"] = {"sf": _sf(small_dir), "queries": small, "power": {
+            n: round(math.log(times[n] / small[n]) / scale, 2) for n in names}}
     print(json.dumps(out))
 
 
