@@ -54,7 +54,9 @@ def test_review_text_moves_once(spark):
     """The only exchange is the one by review id (the texts, and their ids for the tokens)."""
     plan = _plan(Q.queries()["review_score"](spark, SF_SMALL))
     moved = [x for x in plan.splitlines() if "Exchange" in x and "Broadcast" not in x]
-    assert len(moved) <= 2 and all("hashpartitioning(id#" in x for x in moved)
+    # The noun table's own exchange, by form, holds a few rows.
+    texts = [x for x in moved if "hashpartitioning(form#" not in x]
+    assert len(texts) <= 2 and all("hashpartitioning(id#" in x for x in texts)
 
 
 def test_scan_reads_only_needed_columns(spark):
