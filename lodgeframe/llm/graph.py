@@ -28,7 +28,8 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     else:
         moved = linked.where(F.col("v") > F.col("u")).select(
             F.col("v").alias("a"), F.col("m").alias("b"))
-    return moved.where(F.col("a") != F.col("b")).distinct()
+    moved = moved.where(F.col("a") != F.col("b"))
+    return moved.distinct() if small else moved      # the small star drops repeats anyway
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -37,7 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
     Loops and repeated edges are harmless; an empty edge table gives an empty
     result.
     """
-    now = materialize(edges.where(F.col("a") != F.col("b")).select("a", "b").distinct())
+    now = materialize(edges.where(F.col("a") != F.col("b")).select("a", "b"))
     before = None
     while True:
         now = materialize(_star(_star(now, small=False), small=True))

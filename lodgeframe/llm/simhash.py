@@ -234,7 +234,7 @@ def block_stars(max_bits: int):
 
 
 def links(fps: DataFrame, max_bits: int = 3, n_groups: int = 2,
-          block_rows: int = 256) -> DataFrame:
+          block_rows: int = 1024) -> DataFrame:
     """Edges (a, b) that connect exactly the fingerprints reachable within ``max_bits``."""
     def signatures(df: DataFrame, masks: list, base=None) -> DataFrame:
         grown = [signed(m) for m in masks]
@@ -243,7 +243,9 @@ def links(fps: DataFrame, max_bits: int = 3, n_groups: int = 2,
         return df.select("fp", mask.alias("mask")).select(
             "fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
 
-    sent = signatures(fps.select("fp"), plan(fps, max_bits, n_groups))
+    # A fingerprint is 16 bytes and gives some 64 signatures: spread the work before it grows.
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = signatures(fps.select("fp").repartition(parts, "fp"), plan(fps, max_bits, n_groups))
     found, level = None, 0
     while True:
         sizes = sent.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
@@ -269,13 +271,15 @@ def component_labels(prints: DataFrame, max_bits: int, n_groups: int,
     roots = components(links(fps, max_bits, n_groups, block_rows))
     rooted = fps.join(roots, fps["fp"] == roots["node"]).select("fp", "least", "root")
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root")
-    return fps.join(named.select("fp", "root", "component_id"), "fp", "left").select(
+    # Written, so that joins with the documents read two plain exchanges and a fingerprint
+    # of many copies can be split.
+    return materialize(fps.join(named.select("fp", "root", "component_id"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("component"),
-        F.coalesce("component_id", "least").alias("component_id"))
+        F.coalesce("component_id", "least").alias("component_id")))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
-                    n_groups: int = 2, block_rows: int = 256, id_col: str = "doc_id",
+                    n_groups: int = 2, block_rows: int = 1024, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per input row."""
     prints = materialize(fingerprints(docs, shingle, id_col, text_col))
@@ -285,7 +289,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, n_groups: int = 2,
-             block_rows: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+             block_rows: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: the least id, then the least text hash.
 
     Rows equal in id and text are one document; one of them stays. The winners are
