@@ -21,10 +21,12 @@ table gives an empty result; other input columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections.abc import Iterator, Sequence
-from itertools import chain, repeat
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -39,6 +41,7 @@ TABLE_WORDS = 600_000     # the word table starts anew beyond
 RUN_WORDS = 512           # words encoded at once
 TEXTS = 256               # texts whose new words are gathered at once
 MARK = "\x01"
+END = "\n"               # stands for the end id: no word holds a line break
 LATIN_END = "\u0250"
 SIGNS = ".,!?;:*&%$#"
 ODD_BLANKS = re.compile("[\x1c-\x1f]")
@@ -64,6 +67,13 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Rows(dict):
+    """Table row of a word; -1 where it has none."""
+
+    def __missing__(self, word: str) -> int:
+        return -1
+
+
 class WordTokenizer:
     """Token ids of a text, word by word, each distinct word encoded once.
 
@@ -76,7 +86,8 @@ class WordTokenizer:
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.end = np.array([end_id], dtype="<u4")
+        self.model = self.tokenizer.model
+        self.end = np.array([end_id], dtype=np.int64)
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
         # A run of letters is one unit of such tokenizers: the model itself can be asked.
@@ -85,11 +96,12 @@ class WordTokenizer:
         self.reset()
 
     def reset(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = Rows()
         self.ids = np.zeros(1 << 16, dtype="<u4")
-        self.start = np.zeros(1 << 14, dtype=np.int64)
-        self.size = np.zeros(1 << 14, dtype=np.int64)
+        self.start = np.zeros(1 << 14, dtype=np.int32)
+        self.size = np.zeros(1 << 14, dtype=np.int32)
         self.used = 0
+        self.add([END], self.end, np.ones(1, dtype=np.int64))
 
     def words(self, text: str | None) -> list[str]:
         text = text or ""
@@ -99,7 +111,7 @@ class WordTokenizer:
 
     def ask(self, word: str) -> list[int]:
         raw = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARS)
-        return [t.id for t in self.tokenizer.model.tokenize(raw)]
+        return [t.id for t in self.model.tokenize(raw)]
 
     def encode_words(self, new: list[str]) -> None:
         """Put words into the table: lower-case Latin words by the model, words with other
@@ -148,8 +160,9 @@ class WordTokenizer:
     def gather(self, k: np.ndarray) -> np.ndarray:
         """Ids of a sequence of table rows."""
         size = self.size[k]
-        before = np.cumsum(size) - size
-        return self.ids[np.repeat(self.start[k] - before, size) + np.arange(size.sum())]
+        after = np.cumsum(size, dtype=np.int64)
+        total = int(after[-1]) if len(after) else 0
+        return self.ids[np.repeat(self.start[k] - (after - size), size) + np.arange(total)]
 
     def learn(self, new: set[str]) -> None:
         signed = []
@@ -173,19 +186,26 @@ class WordTokenizer:
         for at in range(0, len(texts), TEXTS):
             if len(self.index) > TABLE_WORDS:
                 self.reset()
-            groups = [self.words(t) for t in texts[at:at + TEXTS]]
-            found = list(chain.from_iterable(groups))
-            k = np.fromiter(map(self.index.get, found, repeat(-1)), dtype=np.int64,
+            found: list[str] = []
+            closes = []
+            for t in texts[at:at + TEXTS]:
+                found += self.words(t)
+                found.append(END)
+                closes.append(len(found))
+            # One call looks all words up; the second END keeps its result a tuple.
+            k = np.fromiter(itemgetter(*found, END)(self.index), dtype=np.int64,
                             count=len(found))
             missing = np.nonzero(k < 0)[0].tolist()
             if missing:
                 words = [found[i] for i in missing]
                 self.learn(set(words))
                 k[missing] = self.look_up(words)
+            ids = self.gather(k)
+            stops = np.cumsum(self.size[k])[np.array(closes) - 1].tolist()
             begin = 0
-            for g in groups:
-                yield np.concatenate([self.gather(k[begin:begin + len(g)]), self.end])
-                begin += len(g)
+            for stop in stops:
+                yield ids[begin:stop]
+                begin = stop
 
 
 def cuts(n: int, capacity: int, shares: int, slack: float) -> list[int]:
@@ -226,6 +246,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
             waiting[j] = []
             return done
 
+        gc.disable()      # the many short-lived lists below form no cycles
         for b in batches:
             rows: list = []
             for doc, ids in zip(b["doc_id"], coder.encode_all(b["text"].to_list())):
@@ -243,6 +264,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
                     elif len(waiting[j]) == j:
                         rows += close(j)
             yield _frame(rows, columns)
+        gc.enable()
         left = []
         for j in range(1, shares + 1):
             k = 0
