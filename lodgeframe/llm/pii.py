@@ -4,13 +4,18 @@
    forms of the same kinds give more candidates (a spelled-out address, an account
    number, a phone number without its country code). Positions come from the texts
    between the matches, so one regex pass finds a kind and its offsets.
-2. Labelers vote on each candidate: +1 personal, -1 not, 0 abstain. Two regex labelers
-   (strict form, clean edges), two gazetteers (known domains, address ranges, issuers
-   and country codes; placeholder values) and one context labeler (cue words before it).
-3. Expectation-maximisation over the counts of vote patterns (at most 3^5 a kind)
-   estimates each labeler's reliability and the share of personal spans.
+2. Labelers vote on each candidate: +1 personal, -1 not, 0 abstain. One regex labeler
+   (a letter or digit touches the candidate), two gazetteers (known domains, address
+   ranges, issuers and country codes; placeholder values) and one context labeler (cue
+   words before it).
+3. Expectation-maximisation over the shares of vote patterns (at most 3^4 a kind)
+   estimates each labeler's reliability and the share of personal spans, each kind by
+   itself. Reliabilities and share keep to fixed bounds: a vote always speaks for its
+   side, a candidate without votes stays below one half, one with positive votes alone
+   gets above. Only shares count, so n times the corpus is judged like the corpus.
 4. The posteriors train the final span classifier, naive Bayes over shape and edge
-   features of a candidate, from counts added up over all candidates.
+   features of a candidate, from counts added up over all candidates. No cue weighs
+   more than a positive one, none less than a negative one.
 5. Strict spans always stay. A looser candidate is added, as a kind of its own, if the
    classifier and the posterior agree and it overlaps no strict span.
 
@@ -33,9 +38,14 @@ KINDS = ("email", "ip", "card", "phone")
 ADDED = ("spoken_email", "account", "local_phone")
 NAMES = KINDS + ADDED
 GROUP = {"spoken_email": "email", "account": "card", "local_phone": "phone"}
-LABELERS = ("form", "edges", "gazetteer", "placeholder", "context")
+LABELERS = ("edges", "gazetteer", "placeholder", "context")
 CONTEXT_CHARS = 40
 
+# Bounds of a labeler's reliability and of the personal share of a kind. The
+# odds of the least share and of one positive vote of the least reliability make 9 / 7.
+RELIABLE = (0.75, 0.99)
+SHARE = (0.3, 0.45)
+
 # The base patterns. A run that cannot start a match is skipped whole:
 # a match starts after a character outside the run or where the last match ended.
 EMAIL_CHAR = "A-Za-z0-9._%+-"
@@ -151,8 +161,8 @@ def votes(spans: DataFrame) -> DataFrame:
         F.when(g == "email", F.when(domain.isin(*DOMAINS), yes).otherwise(no))
         .when(g == "ip", F.when(F.col("match").rlike(
             r"\A0*(?:0|10|127|22[4-9]|2[3-5][0-9])\.|\A192\.168\.|\A169\.254\."), no).otherwise(yes))
-        .when(g == "card", F.when(F.substring(digits, 1, 1).isin("3", "4", "5", "6"), yes)
-              .otherwise(no))
+        .when(F.col("name") == "card", F.when(
+            F.substring(digits, 1, 1).isin("3", "4", "5", "6"), yes).otherwise(no))
         .when(F.col("name") == "phone", F.when(known_code, yes).otherwise(no))
         .otherwise(none))
     placeholder = F.when(
@@ -170,8 +180,7 @@ def votes(spans: DataFrame) -> DataFrame:
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(
         F.col("match"), "[0-9]+", "9"), "[A-Za-z]+", "a"), r"(.{3})(?:.*)", "$1")
     return spans.withColumns({
-        "form": F.when(F.col("strict"), yes).otherwise(no),
-        "edges": F.when(touching, no).otherwise(yes),
+        "edges": F.when(touching, no).otherwise(none),
         "gazetteer": gazetteer, "placeholder": placeholder, "context": context,
         "features": F.array(
             F.concat(F.lit("name="), F.col("name")), F.concat(F.lit("digits="), size),
@@ -181,36 +190,40 @@ def votes(spans: DataFrame) -> DataFrame:
     })
 
 
+def _within(value: float, bounds: tuple[float, float]) -> float:
+    return min(max(value, bounds[0]), bounds[1])
+
+
 def reliabilities(patterns: list, rounds: int = 50) -> dict[tuple, float]:
-    """EM over counted vote patterns: posterior of "personal" by (group, votes).
+    """EM over counted vote patterns: posterior of "personal" by (kind, votes).
 
-    ``patterns``: (group, votes, count). Dirichlet priors say that a labeler is right
-    more often than wrong; they fix which class is which.
+    ``patterns``: (kind, votes, count). A labeler that votes is right with a probability of
+    its own in each class; whether it votes tells nothing. The bounds fix which class is which.
     """
     post: dict[tuple, float] = {}
-    for group in {p[0] for p in patterns}:
-        own = [(v, c) for g, v, c in patterns if g == group]
-        prior, k = 0.5, len(LABELERS)
-        table = {y: [{v: (8.0 if v == (1 if y else -1) else 2.0 if v else 4.0) / 14
-                      for v in (-1, 0, 1)} for _ in range(k)] for y in (0, 1)}
+    least, most = RELIABLE
+    for kind in {p[0] for p in patterns}:
+        own = [(v, c) for g, v, c in patterns if g == kind]
+        mass = sum(c for _, c in own)
+        share, k = sum(SHARE) / 2, len(own[0][0])
+        # Probability of +1 among the votes of a labeler, for personal spans and for others.
+        plus = {1: [(least + most) / 2] * k, 0: [1 - (least + most) / 2] * k}
         for _ in range(rounds):
             soft = []
             for v, _c in own:
-                a, b = (math.log(p) + sum(math.log(table[y][i][x]) for i, x in enumerate(v))
-                        for y, p in ((1, prior), (0, 1 - prior)))
-                soft.append(1 / (1 + math.exp(min(50.0, b - a))))
-            mass = sum(c for _, c in own)
-            prior = (1 + sum(p * c for p, (_, c) in zip(soft, own))) / (2 + mass)
-            for y in (0, 1):
+                odds = math.log(share / (1 - share)) + sum(
+                    math.log(plus[1][i] / plus[0][i]) if x > 0 else
+                    math.log((1 - plus[1][i]) / (1 - plus[0][i])) for i, x in enumerate(v) if x)
+                soft.append(1 / (1 + math.exp(-odds)))
+            share = _within(sum(p * c for p, (_, c) in zip(soft, own)) / mass, SHARE)
+            for y, bounds in ((1, RELIABLE), (0, (1 - most, 1 - least))):
                 for i in range(k):
-                    n = {x: 8.0 if x == (1 if y else -1) else 2.0 if x else 4.0
-                         for x in (-1, 0, 1)}
-                    for p, (v, c) in zip(soft, own):
-                        n[v[i]] += (p if y else 1 - p) * c
-                    s = sum(n.values())
-                    table[y][i] = {x: n[x] / s for x in n}
+                    n = {x: sum((p if y else 1 - p) * c for p, (v, c) in zip(soft, own)
+                                if v[i] == x) for x in (1, -1)}
+                    if n[1] + n[-1] > 0:
+                        plus[y][i] = _within(n[1] / (n[1] + n[-1]), bounds)
         for p, (v, _c) in zip(soft, own):
-            post[group, tuple(v)] = p
+            post[kind, tuple(v)] = p
     return post
 
 
@@ -220,29 +233,35 @@ def _map(table: dict[str, float]) -> Column:
     return F.create_map(*[x for k, v in table.items() for x in (F.lit(k), F.lit(float(v)))])
 
 
+def weights(stats: list) -> tuple[dict[str, float], dict[str, float]]:
+    """Naive Bayes (weight by "kind|feature", bias by kind) from (kind, feature, p, q): the
+    sums of the posterior and of its complement."""
+    bias = {k: math.log(p / q) for k, f, p, q in stats if f.startswith("name=")}
+    weight = {f"{k}|{f}": math.log(p / q) - bias[k] for k, f, p, q in stats}
+    for k in bias:
+        none = weight.get(f"{k}|cue=0", 0.0)
+        for cue, pick in (("1", max), ("-1", min)):
+            if (key := f"{k}|cue={cue}") in weight:
+                weight[key] = pick(weight[key], none, 0.0)
+    return weight, bias
+
+
 def classify(spans: DataFrame) -> DataFrame:
     """``spans`` (with votes) plus ``posterior`` and ``log_odds`` of the final classifier."""
-    key = F.concat_ws("|", "group", *[F.col(x).cast("string") for x in LABELERS])
-    counted = spans.groupBy("group", *LABELERS).agg(F.count("*").alias("n")).collect()
-    post = reliabilities([(r["group"], tuple(r[x] for x in LABELERS), r["n"]) for r in counted])
+    key = F.concat_ws("|", "name", *[F.col(x).cast("string") for x in LABELERS])
+    counted = spans.groupBy("name", *LABELERS).agg(F.count("*").alias("n")).collect()
+    post = reliabilities([(r["name"], tuple(r[x] for x in LABELERS), r["n"]) for r in counted])
     told = spans.withColumn("posterior", F.try_element_at(
-        _map({"|".join([g, *map(str, v)]): p for (g, v), p in post.items()}), key))
+        _map({"|".join([k, *map(str, v)]): p for (k, v), p in post.items()}), key))
     # Features take a bounded number of values, so their counts fit in one small table.
-    stats = told.select("group", "posterior", F.explode("features").alias("f")).groupBy(
-        "group", "f").agg(F.sum("posterior").alias("p"), F.count("*").alias("n")).collect()
-    total: dict[str, list[float]] = {}
-    for r in stats:
-        if r["f"].startswith("name="):
-            t = total.setdefault(r["group"], [0.0, 0.0])
-            t[0] += r["p"]
-            t[1] += r["n"] - r["p"]
-    weight = {f"{r['group']}|{r['f']}": math.log((r["p"] + 1) / (total[r["group"]][0] + 2))
-              - math.log((r["n"] - r["p"] + 1) / (total[r["group"]][1] + 2)) for r in stats}
-    bias = {g: math.log((a + 1) / (b + 1)) for g, (a, b) in total.items()}
+    stats = told.select("name", "posterior", F.explode("features").alias("f")).groupBy(
+        "name", "f").agg(F.sum("posterior").alias("p"),
+                         F.sum(1 - F.col("posterior")).alias("q")).collect()
+    weight, bias = weights([(r["name"], r["f"], r["p"], r["q"]) for r in stats])
     log_odds = F.aggregate(
         F.transform("features", lambda f: F.coalesce(F.try_element_at(
-            _map(weight), F.concat(F.col("group"), F.lit("|"), f)), F.lit(0.0))),
-        F.coalesce(F.try_element_at(_map(bias), F.col("group")), F.lit(0.0)), lambda a, x: a + x)
+            _map(weight), F.concat(F.col("name"), F.lit("|"), f)), F.lit(0.0))),
+        F.coalesce(F.try_element_at(_map(bias), F.col("name")), F.lit(0.0)), lambda a, x: a + x)
     return told.withColumn("log_odds", log_odds)
 
 

@@ -124,6 +124,35 @@ def test_em_recovers_reliabilities():
     assert post["phone", (1, 1, 1, 0, -1)] > 0.9 and post["phone", (-1, -1, -1, 0, 1)] < 0.1
 
 
+def test_added_spans_do_not_depend_on_corpus_size(spark):
+    """A mixture and 1,000 times that mixture get the same spans added, cued ones among them."""
+    texts = ["+1 212 555 0100"] * 10 + ["call 555-867-5309 today"] * 3 + \
+        ["so 555-867-5309 it is"] * 6 + ["jane.doe@site.org"] * 10 + \
+        ["write to jane [at] site [dot] org"] * 3 + ["order 555-867-5309x"] * 2 + \
+        ["account 998877665544 please"] * 2 + ["the 998877665544 of them"] * 5
+    want = {"call": "local_phone:5:17", "write": "spoken_email:9:33", "account": "account:8:20"}
+    docs = doc_frame(spark, texts)
+    for many in (docs, docs.crossJoin(spark.range(1000).select())):
+        got = pii.digest(pii.find(many)).groupBy("doc_id", "spans").count().collect()
+        assert len(got) == len(texts)
+        for r in got:
+            first = texts[r["doc_id"] - 1].split(" ")[0]
+            assert first[0] == "+" or "@" in first or r["spans"] == want.get(first, ""), r
+
+
+def test_a_positive_cue_never_speaks_against_a_span():
+    """Spans with a cue are far outnumbered by other spans, and most of them touch a letter."""
+    for n in (1, 1000):
+        rows = [("local_phone", (0, 0, 0, 1), 3 * n), ("local_phone", (0, 0, 0, 0), 60_000 * n),
+                ("local_phone", (-1, 0, 0, 1), 300 * n), ("local_phone", (-1, 0, -1, -1), 9_000 * n)]
+        post = pii.reliabilities(rows)
+        assert post["local_phone", (0, 0, 0, 1)] > 0.5 > post["local_phone", (0, 0, 0, 0)]
+        assert post["local_phone", (-1, 0, 0, 1)] > post["local_phone", (-1, 0, -1, -1)]
+    weight, _ = pii.weights([("account", "name=account", 4.0, 6.0), ("account", "cue=1", 0.2, 0.8),
+                             ("account", "cue=0", 3.0, 2.0), ("account", "cue=-1", 0.8, 3.2)])
+    assert weight["account|cue=1"] >= weight["account|cue=0"] > 0 > weight["account|cue=-1"]
+
+
 def test_pii_on_awkward_rows(spark):
     assert pii.digest(pii.find(awkward(spark))).count() == 8
     assert pii.digest(pii.find(spark.createDataFrame([], DOCS))).count() == 0
