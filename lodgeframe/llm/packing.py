@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import gc
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator, Sequence
 from itertools import chain
@@ -79,7 +80,8 @@ class WordTokenizer:
 
     For tokenizers that lower-case, drop white space and never merge across it. New words
     are encoded many at a time, parted by a mark whose id shows where a word ends; a word of
-    letters that ends in signs is the word and the signs. The table of words is bounded: it
+    letters that ends in signs is the word and the signs, if normalising leaves it letters:
+    a mark at its end would make one unit with the signs. The table of words is bounded: it
     starts anew when full.
     """
 
@@ -168,7 +170,8 @@ class WordTokenizer:
         signed = []
         for w in new:
             b = w.rstrip(SIGNS)
-            if b != w and b.isalpha():
+            if b != w and b.isalpha() and (
+                    b.isascii() or unicodedata.normalize("NFC", b).lower().isalpha()):
                 signed.append((w, b, w[len(b):]))
         need = new.difference(w for w, _, _ in signed)
         need.update(b for _, b, _ in signed)

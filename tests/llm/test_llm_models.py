@@ -256,6 +256,17 @@ def test_word_by_word_ids_equal_whole_text_ids():
         assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids + [1], t
 
 
+def test_words_that_normalise_to_a_mark_before_signs_keep_their_ids():
+    """The last letter of each word ends in a combining mark once normalised."""
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(packing.default_tokenizer())
+    coder = packing.WordTokenizer(packing.default_tokenizer(), 1)
+    texts = ["TAR\u0130H\u0130.", "\u09b9\u09df,", "\u0939\u095b.", "\u05e9\u05d5\ufb4b,",
+             "TAR\u0130H, TAR\u0130H\u0130.!? \u0130& \u095b; \ufb4b:"]
+    for t, ids in zip(texts, coder.encode_all(texts), strict=True):
+        assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids + [1], t
+
+
 def test_cuts_cover_and_fit():
     for n in range(1, 5000, 7):
         pieces = packing.cuts(n, 2048, 32, 0.01)
