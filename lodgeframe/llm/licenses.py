@@ -6,8 +6,9 @@ sequence of identifiers is then read from left to right against ordered licence
 longest first; unknown sentences between known ones do not matter. Texts are cut twice,
 once at line ends too and once with wrapped lines joined, and the licences are united.
 
-Every known sentence holds one of a few stems, so a text without any stem has no
-known sentence and is not cut at all. Nothing is shuffled.
+Every known sentence holds one of a few stems, each within one word: whatever parts the
+words, a text without any stem has no known sentence and is not cut at all. Nothing is
+shuffled.
 
 Defined cases: a null, empty or blank text has no sentence and no licence; repeated rows
 are judged alike; a sentence that is known but completes no rule is listed among the
@@ -24,7 +25,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SENTENCE_END = r"[.!?;:]+(?:[\x20\x09-\x0D]+|\z)"
 BY_LINE = SENTENCE_END + r"|[\x0A-\x0D]"
 WRAPPED = SENTENCE_END + r"|\x0A[\x20\x09\x0D]*\x0A"
-STEMS = "licen|copyright|warrant|permission|redistribut|liab|public domain|unlicense"
+STEMS = "licen|copyright|warrant|permission|redistribut|liab|unencumbered|cc0"
 
 # Sentences of well-known licences and notices, normalised.
 SENTENCES = {

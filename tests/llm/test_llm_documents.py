@@ -176,6 +176,19 @@ def test_licence_rules_need_order(spark):
     assert got[2]["sentences"] == ["bsd_grant"] and got[1]["sentences"] == ["mit_grant", "mit_keep"]
 
 
+def test_known_sentences_are_found_whatever_parts_their_words(spark):
+    assert re.fullmatch("[a-z0-9|]+", licenses.STEMS)
+    texts, want = [], []
+    for name, text in (("CC0-1.0", "Released into the public domain under CC0 1.0."), ("Unlicense",
+                       "This is free and unencumbered software released into the public domain.")):
+        parts = text.split(" ")
+        for gap in ("\n", "-", "\u00a0", "  ", "\n# "):
+            texts += [" ".join(parts[:i]) + gap + " ".join(parts[i:]) for i in range(1, len(parts))]
+        want += [[name]] * (len(texts) - len(want))
+    got = licenses.scan(doc_frame(spark, texts)).orderBy("doc_id").collect()
+    assert [r["licenses"] for r in got] == want
+
+
 def test_licence_tables_are_sound(spark):
     for s in licenses.SENTENCES.values():
         assert re.search(licenses.STEMS, s), s
