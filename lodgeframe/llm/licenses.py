@@ -25,7 +25,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SENTENCE_END = r"[.!?;:]+(?:[\x20\x09-\x0D]+|\z)"
 BY_LINE = SENTENCE_END + r"|[\x0A-\x0D]"
 WRAPPED = SENTENCE_END + r"|\x0A[\x20\x09\x0D]*\x0A"
-STEMS = "licen|copyright|warrant|permission|redistribut|liab|unencumbered|cc0"
+STEMS = "licen|copyright|warrant|permission|redistribut|liab|unencumbered|cc0|option|attribution"
 
 # Sentences of well-known licences and notices, normalised.
 SENTENCES = {
@@ -70,7 +70,10 @@ SENTENCES = {
     "apache_basis": "unless required by applicable law or agreed to in writing software distributed under "
                     "the license is distributed on an as is basis without warranties or conditions of any "
                     "kind either express or implied",
+    "apache_title": "apache license version 2 0 january 2004",
+    "apache_title_2": "apache license version 2 0 january 2004 http www apache org licenses",
     "mpl_notice": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "mpl_title": "mozilla public license version 2 0",
     "unlicense": "this is free and unencumbered software released into the public domain",
     "cc0_notice": "released into the public domain under cc0 1 0",
     "all_rights": "all rights reserved under copyright",
@@ -85,7 +88,8 @@ RULES = [
     ("Apache-2.0", ("apache_header", "apache_use", "apache_copy", "apache_basis")),
     ("Apache-2.0", ("apache_header", "apache_use")),
     ("Apache-2.0", ("apache_notice",)), ("Apache-2.0", ("apache_header",)),
-    ("MPL-2.0", ("mpl_notice",)), ("Unlicense", ("unlicense",)), ("CC0-1.0", ("cc0_notice",)),
+    ("Apache-2.0", ("apache_title",)), ("Apache-2.0", ("apache_title_2",)),
+    ("MPL-2.0", ("mpl_notice",)), ("MPL-2.0", ("mpl_title",)), ("Unlicense", ("unlicense",)), ("CC0-1.0", ("cc0_notice",)),
 ]
 
 
@@ -109,7 +113,94 @@ def _families() -> None:
                 RULES.append((f"CC-{kind.upper().replace(' ', '-')}-{v}", (key,)))
 
 
+# The GNU licences, by version: name, version and the date of the licence title.
+GNU = (("GPL", "general", "2", "june 1991"), ("GPL", "general", "3", "29 june 2007"),
+       ("LGPL", "library general", "2", "june 1991"),
+       ("LGPL", "lesser general", "2.1", "february 1999"),
+       ("LGPL", "lesser general", "3", "29 june 2007"),
+       ("AGPL", "affero general", "3", "19 november 2007"))
+LATER = ("or at your option any later version", "or any later version", "or later")
+CC = {"by": ("",), "by sa": ("sharealike",), "by nd": ("noderivatives", "noderivs"),
+      "by nc": ("noncommercial",), "by nc sa": ("noncommercial sharealike",),
+      "by nc nd": ("noncommercial noderivatives", "noncommercial noderivs")}
+CC_VERSIONS = {"1.0": "generic", "2.0": "generic", "2.5": "generic", "3.0": "unported",
+               "4.0": "international"}
+
+
+def _add(name: str | None, key: str, sentence: str) -> str:
+    """Lists a sentence, and a rule of it alone if it names a licence; its key."""
+    if sentence in SENTENCES.values():
+        return next(k for k, s in SENTENCES.items() if s == sentence)
+    SENTENCES[key] = sentence
+    if name:
+        RULES.append((name, (key,)))
+    return key
+
+
+def _gnu_notices() -> None:
+    """Standard notices of the GNU licences (that version only, or any later one) and titles.
+
+    The notice is one sentence after "This program is free software:", or two if a
+    semicolon stands before the version.
+    """
+    body = "you can redistribute it and or modify it under the terms of "
+    by = " as published by the free software foundation"
+    for short, name, v, date in GNU:
+        number = v.replace(".", " ")
+        full = f"{short}-{v if '.' in v else v + '.0'}"
+        gnu = f"the gnu {name} public license"
+        key = f"{short}_{v}".lower()
+        terms = _add(None, f"{short}_{name.split()[0]}_terms".lower(), body + gnu + by)
+        _add(full, f"{key}_title", f"gnu {name} public license version {number} {date}")
+        _add(full, f"{key}_title_2", f"gnu {name} public license version {number}")
+        for i, of in enumerate((" of the license", "")):
+            for j, later in enumerate(LATER):
+                tail = f"either version {number}{of} {later}"
+                _add(f"{full}-or-later", f"{key}_later_{i}_{j}", f"{body}{gnu}{by} {tail}")
+                if "option" in tail or of:
+                    end = _add(None, f"later_{v}_{i}_{j}", tail)
+                    RULES.append((f"{full}-or-later", (terms, end)))
+            _add(f"{full}-only", f"{key}_only_{i}", f"{body}{gnu}{by} version {number}{of}")
+        end = _add(None, f"only_{v}", f"version {number} of the license")
+        RULES.append((f"{full}-only", (terms, end)))
+        _add(f"{full}-only", f"{key}_only_2", f"{body}version {number} of {gnu}{by}")
+        _add(f"{full}-only", f"{key}_only_3", f"{body}{gnu} version {number}{by}")
+        for i, head in enumerate(("this work is licensed", "this program is licensed",
+                                  "this project is licensed", "licensed", "released")):
+            stated = f"{head} under {gnu}"
+            for j, written in enumerate((f"version {number}", f"v{number}")):
+                _add(full, f"{key}_short_{i}_{j}", f"{stated} {written}")
+                _add(f"{full}-only", f"{key}_short_only_{i}_{j}", f"{stated} {written} only")
+                for k, later in enumerate(LATER):
+                    _add(f"{full}-or-later", f"{key}_short_later_{i}_{j}_{k}",
+                         f"{stated} {written} {later}")
+
+
+def _cc_notices() -> None:
+    """Notices of the Creative Commons licences with their names spelled out, and titles."""
+    for kind, names in CC.items():
+        for v, where in CC_VERSIONS.items():
+            full, number = f"CC-{kind.upper().replace(' ', '-')}-{v}", v.replace(".", " ")
+            for n, name in enumerate(names):
+                key = f"cc_{kind}_{v}_{n}".replace(" ", "_")
+                called = " ".join(f"attribution {name} {number}".split())
+                titles = [f"{called} {where}", f"creative commons {called} {where}",
+                          f"creative commons {called} {where} public license",
+                          f"creative commons legal code {called} {where}",
+                          f"creative commons legal code {called}"]
+                for i, title in enumerate(titles):
+                    _add(full, f"{key}_title_{i}", title)
+                for i, head in enumerate(("this work is licensed", "licensed")):
+                    for j, (the, end) in enumerate((
+                            (a, e) for a in ("a ", "the ", "") for e in ("license", ""))):
+                        for k, place in enumerate((where, "")):
+                            _add(full, f"{key}_{i}_{j}_{k}", " ".join(
+                                f"{head} under {the}creative commons {called} {place} {end}".split()))
+
+
 _families()
+_gnu_notices()
+_cc_notices()
 
 
 def rule_pattern() -> str:

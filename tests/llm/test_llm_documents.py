@@ -189,6 +189,64 @@ def test_known_sentences_are_found_whatever_parts_their_words(spark):
     assert [r["licenses"] for r in got] == want
 
 
+GNU_NOTICE = """{} is free software{} you can redistribute it and/or modify
+it under the terms of the GNU {} Public License as published by
+the Free Software Foundation{} {}"""
+LATER = "either version {} of the License, or\n(at your option) any later version."
+STANDARD = [
+    (GNU_NOTICE.format("This program", ":", "General", ",", LATER.format(3)), "GPL-3.0-or-later"),
+    (GNU_NOTICE.format("Foo", ";", "General", ";", LATER.format(2)), "GPL-2.0-or-later"),
+    (GNU_NOTICE.format("This file", ";", "General", ";", "either version 2, or (at your option)\n"
+                       "any later version."), "GPL-2.0-or-later"),
+    (GNU_NOTICE.format("This program", ":", "General", ",", "version 3."), "GPL-3.0-only"),
+    (GNU_NOTICE.format("This program", ";", "General", ";", "version 2 of the License."),
+     "GPL-2.0-only"),
+    ("This program is free software; you can redistribute it and/or modify it\nunder the terms of "
+     "version 2 of the GNU General Public License as\npublished by the Free Software Foundation.",
+     "GPL-2.0-only"),
+    (GNU_NOTICE.format("This library", ";", "Lesser General", ";", LATER.format("2.1")),
+     "LGPL-2.1-or-later"),
+    (GNU_NOTICE.format("This library", ";", "Library General", ";", LATER.format("2")),
+     "LGPL-2.0-or-later"),
+    (GNU_NOTICE.format("This program", ":", "Lesser General", ",", "version 3 of the License."),
+     "LGPL-3.0-only"),
+    (GNU_NOTICE.format("This program", ":", "Affero General", ",", LATER.format(3)),
+     "AGPL-3.0-or-later"),
+    ("Licensed under the GNU General Public License v3 or later.", "GPL-3.0-or-later"),
+    ("  GNU GENERAL PUBLIC LICENSE\n     Version 2, June 1991\n\n Copyright (C) 1989",
+     "GPL-2.0"),
+    ("GNU AFFERO GENERAL PUBLIC LICENSE\n  Version 3, 19 November 2007\n\nPreamble", "AGPL-3.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International "
+     "License.", "CC-BY-SA-4.0"),
+    ("This work is licensed under the Creative Commons Attribution-NonCommercial-NoDerivs 3.0\n"
+     "Unported License.", "CC-BY-NC-ND-3.0"),
+    ("Licensed under the Creative Commons Attribution 2.5 License.", "CC-BY-2.5"),
+    ("Attribution-NonCommercial-ShareAlike 4.0 International\n\n=====", "CC-BY-NC-SA-4.0"),
+    ("Creative Commons Attribution-NoDerivatives 4.0 International Public License\n\nBy",
+     "CC-BY-ND-4.0"),
+    ("Apache License\n  Version 2.0, January 2004\n  http://www.apache.org/licenses/\n\nTERMS",
+     "Apache-2.0"),
+    ("Mozilla Public License Version 2.0\n======\n\n1. Definitions", "MPL-2.0"),
+]
+
+
+def test_standard_notices_and_titles_are_known(spark):
+    """Plain, behind a comment prefix and after other text; the SQL twin agrees."""
+    duckdb = pytest.importorskip("duckdb")
+    from lodgeframe.llm.oracle import oracle_sql
+    texts = [x for t, _ in STANDARD for x in (
+        t, "# " + re.sub(r"(?<!\n)\n(?!\n)", "\n# ", t), f"Some words.\n\n{t}\n\nMore.")]
+    got = licenses.scan(doc_frame(spark, texts)).orderBy("doc_id").collect()
+    assert [r["licenses"] for r in got] == [[n] for _, n in STANDARD for _ in range(3)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts, 1)))
+    assert sorted(con.execute(oracle_sql()["op7_license_rules"]).fetchall()) == [
+        (r["doc_id"], ",".join(r["sentences"]), ",".join(r["licenses"])) for r in got]
+    assert len(set(licenses.SENTENCES.values())) == len(licenses.SENTENCES)
+    assert len({ids for _, ids in licenses.RULES}) == len(set(licenses.RULES))
+
+
 def test_licence_tables_are_sound(spark):
     for s in licenses.SENTENCES.values():
         assert re.search(licenses.STEMS, s), s
