@@ -2,7 +2,8 @@
 
 Queries and candidates are dealt to blocks of bounded size; every (query block,
 candidate block) pair is one tile. In a tile, int8 codes of both sides are
-multiplied (in float32, which holds these integer sums exactly). With q = s a + e,
+multiplied (in float32 over at most 1,024 dimensions at once, which holds these integer
+sums exactly, and added up in double precision). With q = s a + e,
 c = t b + g the product differs from s t <a, b> by at most |e| |c| + |s a| |g|, so
 each approximate score has a bound. A pair survives if its upper bound reaches
 the k-th largest lower bound of its query in the tile; only survivors are
@@ -31,6 +32,7 @@ from pyspark.sql import Window as W
 from lodgeframe.llm.common import materialize
 
 STRIP = 256                 # queries multiplied at once inside a tile
+EXACT_DIMS = 1024           # 1,024 products of codes stay below 2^24
 HIT = "query_id long, vec_id long, score double"
 
 
@@ -51,6 +53,14 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return codes, step, np.linalg.norm(coded, axis=1), np.linalg.norm(x - coded, axis=1)
 
 
+def coded_products(qa: np.ndarray, ct: np.ndarray) -> np.ndarray:
+    """Exact products of int8 query codes and (dimension, candidate) codes in float32."""
+    out = np.zeros((len(qa), ct.shape[1]))
+    for d in range(0, len(ct), EXACT_DIMS):
+        out += qa[:, d:d + EXACT_DIMS].astype(np.float32) @ ct[d:d + EXACT_DIMS]
+    return out
+
+
 def tile(q_id: np.ndarray, q: np.ndarray, c_id: np.ndarray, c: np.ndarray, k: int) -> list:
     """The k best candidates of each query, as (query, candidate, score)."""
     qa, qs, qn, qe = quantise(q)
@@ -60,7 +70,7 @@ def tile(q_id: np.ndarray, q: np.ndarray, c_id: np.ndarray, c: np.ndarray, k: in
     out = []
     for at in range(0, len(q), STRIP):
         s = slice(at, at + STRIP)
-        near = (qa[s].astype(np.float32) @ ct).astype(np.float64) * qs[s, None] * cs[None, :]
+        near = coded_products(qa[s], ct) * qs[s, None] * cs[None, :]
         # Cauchy-Schwarz on the quantisation errors, widened for rounding.
         bound = (qe[s, None] * c_norm[None, :] + qn[s, None] * ce[None, :]) * (1 + 1e-9)
         bound += 1e-12 * (qn[s, None] + qe[s, None]) * c_norm[None, :]

@@ -312,6 +312,19 @@ def test_nearest_matches_brute_force(spark):
     assert ann.search(none, lambda i: i % 20 == 0).count() == 0
 
 
+def test_long_flat_vectors_keep_exact_ties():
+    """+-1 vectors of 1,537 and 4,099 dimensions: codes of 127, sums beyond 2^24, many ties."""
+    rng = np.random.default_rng(6)
+    for dim in (1537, 4099):
+        q = np.ones((4, dim))
+        c = np.ones((600, dim))
+        for row in c:
+            row[rng.choice(dim, 3, replace=False)] = -1.0
+        got = ann.tile(np.arange(-4, 0), q, np.arange(600), c, 5)
+        assert [(a, b, s) for a, b, s in got] == [
+            (a, b, float(dim - 6)) for a in range(-4, 0) for b in range(5)]
+
+
 def test_tile_bounds_hold():
     rng = np.random.default_rng(9)
     q, c = rng.normal(size=(40, 16)), rng.normal(size=(500, 16)) * 3
