@@ -13,7 +13,9 @@ P-against-U model ranks held-back rows, and the least ratio of the share of U to
 the share of P above a cut bounds the prior (best bin).
 
 The fit uses a bounded sample: ``fit_rows`` positives and as many unlabelled
-rows (expected number; rows are taken by a hash of their id, so reruns agree).
+rows (expected number; rows are taken by a hash of their id, or of their text if they
+have no id, so reruns agree). Rows that share the hash are one row of the sample, the
+one with the least hash of its text: a much repeated id does not fill the driver.
 Scoring covers every whole text. Labels, language, source and id are never
 features.
 
@@ -175,6 +177,8 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 6_000, folds: int
         F.min("quality").alias("low"), F.max("quality").alias("high")).where(
         "low = 1 AND high = 1").select("doc_id")
     rows = docs.where(open_fold)
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("fit"), "text")).otherwise(
+        F.xxhash64(F.lit("fit"), "doc_id"))
     spot = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(SPAN))
     n_p, n_u = trusted.count(), rows.count()
     cut_p = int(SPAN * min(1.0, fit_rows / max(n_p, 1)))
@@ -182,15 +186,20 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 6_000, folds: int
     # About fit_rows ids at most, whatever the size of the labels.
     chosen = F.broadcast(trusted.where(spot < cut_p).withColumnRenamed("doc_id", "_p"))
     taken = rows.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_p"), "left")
-    taken = taken.select("text", F.col("_p").isNotNull().alias("is_p"),
-                         (spot < cut_u).alias("is_u")).where("is_p OR is_u")
+    taken = taken.select(
+        "text", key.alias("key"), F.xxhash64("text").alias("h"),
+        F.col("_p").isNotNull().alias("is_p"),
+        (F.pmod(key, F.lit(SPAN)) < cut_u).alias("is_u")).where("is_p OR is_u")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"is_p": b["is_p"], "is_u": b["is_u"],
+            yield pd.DataFrame({"key": b["key"], "h": b["h"], "is_p": b["is_p"], "is_u": b["is_u"],
                                 "x": [features(t) for t in b["text"]]})
 
-    got = taken.mapInPandas(run, "is_p boolean, is_u boolean, x array<float>").toPandas()
+    found = taken.mapInPandas(run, "key long, h long, is_p boolean, is_u boolean, x array<float>")
+    got = found.groupBy("key").agg(
+        F.max("is_p").alias("is_p"), F.max("is_u").alias("is_u"),
+        F.min_by("x", "h").alias("x")).toPandas().sort_values("key")
     if not len(got):
         return CONSTANT
     x = np.stack(got["x"].to_list()).astype(np.float32)

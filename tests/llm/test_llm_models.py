@@ -44,6 +44,21 @@ def test_quality_ignores_held_out_labels(spark):
     assert 0.6 < a.prior < 0.98
 
 
+def test_repeated_rows_do_not_fill_the_fit_sample(spark, monkeypatch):
+    """Half the rows have one of three ids or none; each id is one row of the sample."""
+    docs = spark.createDataFrame(
+        [(i, f"text number {i}") for i in range(600)] +
+        [(i, f"copy {n % 2}") for i in (-1, -2, -3, None) for n in range(150)],
+        "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(-3, 300)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda p, u: seen.append((len(p), len(u))))
+    quality.train(docs, labels, fit_rows=10_000, folds=1, held_out=1)
+    assert seen == [(303, 605)]      # null ids: one row a text
+    quality.train(docs, labels, fit_rows=60, folds=1, held_out=1)
+    assert 30 < seen[1][0] < 90 and 0 < seen[1][1] < 90
+
+
 def test_prior_estimate_on_gaussians():
     rng = np.random.default_rng(3)
     p = rng.normal(2, 1, 4000)
