@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-SENTENCE_END = r"[.!?;:]+(?:[\x20\x09-\x0D]+|\z)"
+# A run of marks is read once: no match starts inside it.
+SENTENCE_END = r"(?<![.!?;:])[.!?;:]++(?:[\x20\x09-\x0D]+|\z)"
 BY_LINE = SENTENCE_END + r"|[\x0A-\x0D]"
 WRAPPED = SENTENCE_END + r"|\x0A[\x20\x09\x0D]*\x0A"
 STEMS = "licen|copyright|warrant|permission|redistribut|liab|unencumbered|cc0|option|attribution"
@@ -214,16 +215,21 @@ def rule_names() -> dict[str, str]:
 
 
 def _lookup(table: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    """A constant map, from one literal: the plan holds no expression per entry."""
+    return F.str_to_map(F.lit(";".join(f"{k}={v}" for k, v in table.items())), F.lit(";"), F.lit("="))
 
 
 def known_sentences(text: Column, boundary: str) -> Column:
-    """Identifiers of the known sentences of a text, in order."""
+    """Identifiers of the known sentences of a text, in order.
+
+    A hash set tells known sentences; only these are looked up in the table.
+    """
     table = _lookup({v: k for k, v in SENTENCES.items()})
     lowered = F.translate(text, UPPER, UPPER.lower())
     parts = F.transform(F.split(lowered, boundary, -1), lambda x: F.btrim(
         F.regexp_replace(x, "[^a-z0-9]+", " ")))
-    return F.array_compact(F.transform(parts, lambda x: F.try_element_at(table, x)))
+    return F.transform(F.filter(parts, lambda x: x.isin(*SENTENCES.values())),
+                       lambda x: F.try_element_at(table, x))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

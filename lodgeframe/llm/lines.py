@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgeframe.llm.common import materialize
+from lodgeframe.llm.common import let, materialize
 from lodgeframe.llm.rules import BLANKS
 
 
@@ -32,11 +32,12 @@ def _site(col: Column) -> Column:
 def line_keys(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
     """One row per non-blank line: key (k1, k2), site, doc, row and line number."""
     line = F.btrim(F.col("line"), F.lit(BLANKS))
+    # The hash of the text stands below the explode: it is taken once a text, not once a line.
     return docs.select(
         F.col(id_col).alias("doc"), _site(F.col(site_col)).alias("site"),
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"),
-        F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("at", "line"),
-    ).where(line != "").select(
+        F.split(F.col(text_col), "\n", -1).alias("lines"),
+    ).select("doc", "site", "row", F.posexplode("lines").alias("at", "line")).where(line != "").select(
         F.xxhash64(line).alias("k1"), F.hash(line).alias("k2"), "site", "doc", "row", "at")
 
 
@@ -60,8 +61,9 @@ def boilerplate(lines: DataFrame, min_sites: int, lg_k: int = 12,
 
 def dedup_lines(docs: DataFrame, min_sites: int = 5, lg_k: int = 12, band: float = 0.1,
                 id_col: str = "doc_id", text_col: str = "text",
-                site_col: str = "source") -> DataFrame:
-    """``docs`` with boilerplate lines gone from the text; adds lines_total, lines_removed."""
+                site_col: str = "source", total_col: str = "lines_total",
+                removed_col: str = "lines_removed") -> DataFrame:
+    """``docs`` with boilerplate lines gone from the text; adds the two counts of lines."""
     lines = line_keys(docs, id_col, text_col, site_col)
     decided, found = boilerplate(lines, min_sites, lg_k, band)
     gone = found.drop("sites").join(decided, ["k1", "k2"]).where(
@@ -73,11 +75,13 @@ def dedup_lines(docs: DataFrame, min_sites: int = 5, lg_k: int = 12, band: float
     joined = rows.join(per_row, (F.col("_row") == F.col("row"))
                        & F.col("_doc").eqNullSafe(F.col("doc")), "left")
     split = F.split(F.col("_text"), "\n", -1)
-    clean = F.when(F.col("gone").isNull(), F.col("_text")).otherwise(F.array_join(
-        F.filter(split, lambda x, i: ~F.array_contains(F.col("gone"), i)), "\n"))
+    # The lines that stay, by a hash set of those that go: linear in the lines.
+    clean = F.when(F.col("gone").isNull(), F.col("_text")).otherwise(let(split, lambda s: F.array_join(
+        F.transform(F.array_except(F.sequence(F.lit(0), F.size(s) - 1), F.col("gone")),
+                    lambda i: F.get(s, i)), "\n")))
     total = F.size(F.filter(F.coalesce(split, F.array().cast("array<string>")),
                             lambda x: F.btrim(x, F.lit(BLANKS)) != ""))
-    new = {text_col: clean, "lines_total": total.cast("long"),
-           "lines_removed": F.coalesce(F.size("gone"), F.lit(0)).cast("long")}
+    new = {text_col: clean, total_col: total.cast("long"),
+           removed_col: F.coalesce(F.size("gone"), F.lit(0)).cast("long")}
     kept = [F.col(f"d.`{c}`") if c not in new else new[c].alias(c) for c in docs.columns]
     return joined.select(*kept, *[v.alias(k) for k, v in new.items() if k not in docs.columns])

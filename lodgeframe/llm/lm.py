@@ -46,7 +46,7 @@ END = b"\n"          # no word holds a newline
 BLOCK_CHARS = 10_000_000
 KEY_BITS = 56
 MAX_BLOCKS = 100_000   # beyond, blocks grow: each block sends one message to each range
-SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+SCORED = ("doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double")
 
 
@@ -153,8 +153,9 @@ def score_texts(docs: DataFrame, model: Backoff | None = None, id_col: str = "do
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     m = model or Backoff()
     order, mass = m.order, m.mass
+    # Ids go through pandas as text: beside a null, longs would become doubles there.
     base = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(id_col).cast("long").cast("string").alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         (fold(F.col(id_col), m.folds) == m.held_out).alias("held_out"))
     total = base.agg(F.sum(F.length("text") + 1)).first()[0] or 0
@@ -222,4 +223,5 @@ def score_texts(docs: DataFrame, model: Backoff | None = None, id_col: str = "do
 
     names = [c.split()[0] for c in SCORED.split(", ")]
     told = answers.where("block >= 0").select("block", "gram", "keys", "totals")
-    return dealt.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(traverse, SCORED)
+    scored = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(traverse, SCORED)
+    return scored.withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -9,15 +9,17 @@ Targets: the sources share ``budget`` (a multiple of all tokens) by weight; a
 target stops at ``max_repeats`` times the source, and what is left over is
 shared again by weight among the others.
 
-The running total inside a source is computed in two steps, so a source with a
-third of all rows is no single task: documents fall into hash buckets, bucket
-sums are accumulated per source, and each bucket accumulates its own rows.
+The running total inside a source is computed in three steps, so a source with a
+third of all rows is no single task: equal rows are one row with a count, rows fall
+into hash buckets and buckets into runs; runs are accumulated per source, buckets
+inside a run, rows inside a bucket.
 
 Defined cases: a null text has size 0; a null source is a source of its own and
 sorts last; documents of size 0 take 0 words and have no position; a source
-without tokens has target 0; rows that repeat (same id and text) are separate
-documents in a row of equal keys; an empty table gives an empty result; other
-input columns are ignored.
+without tokens has target 0; rows that repeat are separate documents that follow one
+another; an empty table gives an empty result. ``mix`` reads the id, text and source
+only; ``mixed_documents`` passes all columns through, whatever their names, and sets
+the text (and ``n_chars``, where present) of cut copies.
 """
 
 from __future__ import annotations
@@ -29,9 +31,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lodgeframe.llm.common import materialize, word_count
+from lodgeframe.llm.common import materialize, word_count, words
 
-ROWS_PER_BUCKET = 1024
+ROWS_PER_BUCKET = 128
+BUCKETS_PER_RUN = 1024
+CHUNK = 4096                # equal rows made from one row at once
 
 
 @dataclass(frozen=True)
@@ -96,38 +100,65 @@ def _row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
+def _whole_row_key(docs: DataFrame) -> Column:
+    """Hash of all columns of a row; a type that holds a map is hashed as JSON."""
+    return F.xxhash64(*[F.to_json(F.struct(F.col(f"`{f.name}`")))
+                        if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`")
+                        for f in docs.schema])
+
+
+def _before(value: str, part: list[str], order: list[str]) -> Column:
+    return F.coalesce(F.sum(value).over(W.partitionBy(*part).orderBy(*order).rowsBetween(
+        W.unboundedPreceding, -1)), F.lit(0))
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """Per (source, bucket): the source's words in earlier buckets, and in all."""
+    run = F.floor(F.col("bucket") / BUCKETS_PER_RUN).alias("run")
+    buckets = rows.groupBy("source", run, "bucket").agg(F.sum("words").alias("words"))
+    runs = buckets.groupBy(F.col("source").alias("s"), F.col("run").alias("r")).agg(
+        F.sum("words").alias("run_words"))
+    runs = runs.withColumn("run_start", _before("run_words", ["s"], ["r"]))
+    inside = buckets.withColumn("in_run", _before("words", ["source", "run"], ["bucket"]))
+    return inside.join(runs, F.col("source").eqNullSafe(F.col("s")) & (F.col("run") == F.col("r"))) \
+        .select("source", "bucket", "words", (F.col("run_start") + F.col("in_run")).alias("start"))
+
+
 def mix(docs: DataFrame, plan: Curriculum | None = None, id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source", by_position: bool = True) -> DataFrame:
+        text_col: str = "text", source_col: str = "source", by_position: bool = True,
+        key: Column | None = None) -> DataFrame:
     """One row per document, range-sorted by its first training position.
 
     Columns: doc_id, source, row_key, size, source_size, target, taken (words,
     repeats counted) and ``copies``: an array of (position, words), one entry for
-    each time the document is taken; the last may be a part of it.
+    each time the document is taken; the last may be a part of it. ``key`` is the hash
+    that deals the documents and tells equal rows (default: of id and text).
     """
     plan = plan or Curriculum()
-    sized = materialize(docs.select(
+    buckets = max(1, -(-docs.count() // ROWS_PER_BUCKET))
+    rows = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-        _row_key(id_col, text_col).alias("row_key"),
-        word_count(F.col(text_col)).alias("size")))
-    count = sized.count()
-    buckets = max(1, -(-count // ROWS_PER_BUCKET))
-    sized = sized.withColumn("bucket", F.pmod(F.xxhash64(F.lit("mix"), "row_key"),
-                                              F.lit(buckets)).cast("int"))
-    sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
-    sums = sums.withColumn("start", F.coalesce(F.sum("n").over(
-        W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)),
-        F.lit(0)))
-    goal = targets(sums.groupBy("source").agg(F.sum("n").alias("source_size")), plan)
+        (_row_key(id_col, text_col) if key is None else key).alias("row_key"),
+        word_count(F.col(text_col)).alias("size")) \
+        .groupBy("doc_id", "source", "row_key", "size").agg(F.count("*").alias("equal"))
+    rows = materialize(rows.select(
+        "*", (F.col("size") * F.col("equal")).alias("words"),
+        F.pmod(F.xxhash64(F.lit("mix"), "row_key"), F.lit(buckets)).alias("bucket")))
+    starts = _starts(rows)
+    goal = targets(starts.groupBy("source").agg(F.sum("words").alias("source_size")), plan)
     goal = goal.withColumnRenamed("source", "goal_source")
-    starts = sums.join(goal, F.col("source").eqNullSafe(F.col("goal_source"))).select(
+    starts = starts.join(goal, F.col("source").eqNullSafe(F.col("goal_source"))).select(
         F.col("source").alias("s"), F.col("bucket").alias("b"), "start", "source_rank",
         "source_size", "target", "slope")
-    inside = W.partitionBy("source", "bucket").orderBy("row_key", "doc_id").rowsBetween(
-        W.unboundedPreceding, -1)
-    placed = sized.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    placed = rows.withColumn("before", _before("words", ["source", "bucket"],
+                                               ["row_key", "doc_id"]))
     placed = placed.join(starts, F.col("source").eqNullSafe(F.col("s"))
                          & (F.col("bucket") == F.col("b")))
-    offset = F.col("start") + F.col("before")
+    # One row for each of the equal rows, in chunks: they follow one another.
+    placed = placed.withColumn("chunk", F.explode(F.sequence(
+        F.lit(0), F.floor((F.col("equal") - 1) / CHUNK)))).withColumn("nth", F.explode(F.sequence(
+            F.col("chunk") * CHUNK, F.least(F.col("equal"), (F.col("chunk") + 1) * CHUNK) - 1)))
+    offset = F.col("start") + F.col("before") + F.col("nth") * F.col("size")
     goal_words = F.round("target").cast("long")
     passes = F.when((F.col("size") > 0) & (goal_words > 0), F.filter(F.transform(
         F.sequence(F.lit(0), F.ceil(F.lit(float(plan.max_repeats))).cast("int")),
@@ -156,26 +187,24 @@ def mixed_documents(docs: DataFrame, plan: Curriculum | None = None) -> DataFram
 
     A copy that is taken whole keeps its text as it is; a cut one keeps its first
     words, joined by single blanks. Columns are those of ``docs``; ``n_chars`` is
-    set anew where present.
+    set anew for cut copies. The places are found on keys alone; one row of each set of
+    equal rows meets all places of the set.
     """
-    from lodgeframe.llm.common import words
-    taken = mix(docs, plan, by_position=False)
-    # Equal rows (same id and text) are one key here: their copies are dealt one to one.
-    place = W.partitionBy("row_key", "doc_id")
-    numbered = taken.where("taken > 0").select("doc_id", "row_key", "size", "copies").withColumn(
-        "n", F.row_number().over(place.orderBy(F.desc(F.size("copies")))))
-    rows = docs.withColumn("row_key", _row_key("doc_id", "text"))
-    rows = rows.withColumn("n", F.row_number().over(
-        W.partitionBy("row_key", "doc_id").orderBy(F.lit(0))))
-    joined = rows.alias("d").join(
-        numbered.alias("t"), (F.col("d.row_key") == F.col("t.row_key"))
-        & F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("d.n") == F.col("t.n")))
-    joined = joined.select(*[F.col(f"d.`{c}`") for c in docs.columns],
-                           F.col("t.size").alias("_size"), F.explode("t.copies").alias("_c"))
-    cut = F.when(F.col("_c.words") == F.col("_size"), F.col("text")).otherwise(
-        F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("_c.words").cast("int")), " "))
-    out = joined.withColumn("text", cut)
+    key = _whole_row_key(docs)
+    taken = mix(docs, plan, by_position=False, key=key).where("taken > 0").select(
+        F.col("row_key").alias("k"), F.col("doc_id").alias("i"), "size",
+        F.explode("copies").alias("copy"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       key.alias("key"), F.col("doc_id").alias("id")).dropDuplicates(["key", "id"])
+    joined = taken.join(rows, (F.col("k") == F.col("key")) & F.col("i").eqNullSafe(F.col("id")))
+    text = F.col("row.text")
+    whole = F.col("copy.words") == F.col("size")
+    cut = F.array_join(F.slice(words(text), F.lit(1), F.col("copy.words").cast("int")), " ")
+    new = {"text": F.when(whole, text).otherwise(cut)}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.repartitionByRange(F.col("_c.position"), F.col("doc_id")).sortWithinPartitions(
-        F.col("_c.position"), F.col("doc_id")).select(*docs.columns)
+        new["n_chars"] = F.when(whole, F.col("row.n_chars")).otherwise(
+            F.length(cut)).cast(docs.schema["n_chars"].dataType)
+    order = (F.col("copy.position"), F.col("id"))
+    out = joined.repartitionByRange(*order).sortWithinPartitions(*order)
+    return out.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`")
+                        for c in docs.columns])

@@ -30,7 +30,7 @@ from itertools import chain
 from operator import itemgetter
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,7 +60,7 @@ def _byte_chars() -> dict[int, int]:
 
 BYTE_CHARS = _byte_chars()
 PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
-         "share int, worker int, k long, sequence_id long, offset long")
+         "share long, worker long, k long, sequence_id long, offset long")
 
 
 def default_tokenizer() -> str:
@@ -233,7 +233,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
     """One row per piece; see ``PIECE``. ``worker`` and ``k`` say where it was dealt."""
     columns = [c.split()[0] for c in PIECE.split(", ")]
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker = TaskContext.get().partitionId()
         coder = WordTokenizer(tokenizer_path, end_id)
         bins, filled = [0] * (shares + 1), 0
@@ -252,7 +252,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
         gc.disable()      # the many short-lived lists below form no cycles
         for b in batches:
             rows: list = []
-            for doc, ids in zip(b["doc_id"], coder.encode_all(b["text"].to_list())):
+            for doc, ids in zip(b.column("doc_id").to_pylist(),
+                                coder.encode_all(b.column("text").to_pylist())):
                 start = 0
                 for length in cuts(len(ids), capacity, shares, slack):
                     j = min(capacity // length, shares)
@@ -277,7 +278,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
         yield _frame(left, columns)
 
     dealt = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                                    F.col(text_col).alias("text")).mapInPandas(deal, PIECE))
+                                    F.col(text_col).cast("string").alias("text")).mapInArrow(deal, PIECE))
     full = dealt.where("sequence_id IS NOT NULL")
     open_ = dealt.where("sequence_id IS NULL").drop("sequence_id", "offset")
 
@@ -303,25 +304,30 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
 
     names = full.columns
 
-    def last_bins(group: pd.DataFrame) -> pd.DataFrame:
+    def last_bins(group: pa.Table) -> pa.Table:
         room: list[int] = []
-        group = group.sort_values(["length", "share", "at"], ascending=[False, True, True])
+        group = group.sort_by([("length", "descending"), ("share", "ascending"),
+                               ("at", "ascending")])
         seqs, offsets = [], []
-        for n in group["length"]:
+        for n in group.column("length").to_pylist():
             i = next((i for i, r in enumerate(room) if r >= n), len(room))
             if i == len(room):
                 room.append(capacity)
             seqs.append(-2 - 2 * i)
             offsets.append(capacity - room[i])
             room[i] -= n
-        return group.assign(sequence_id=seqs, offset=offsets)[names]
+        placed = {"sequence_id": pa.array(seqs, pa.int64()),
+                  "offset": pa.array(offsets, pa.int64())}
+        return pa.table([placed[c] if c in placed else group.column(c) for c in names],
+                        names=names)
 
     # Less than one bin a class, whatever the size of the input.
     last = numbered.where((F.col("bin") + 1) * span > F.col("total")) \
-        .withColumn("all", F.lit(0)).groupBy("all").applyInPandas(last_bins, PIECE)
+        .withColumn("all", F.lit(0)).groupBy("all").applyInArrow(last_bins, PIECE)
     return full.unionByName(whole.select(full.columns)).unionByName(last)
 
 
-def _frame(rows: list, columns: list[str]) -> pd.DataFrame:
+def _frame(rows: list, columns: list[str]) -> pa.RecordBatch:
+    """Pieces as Arrow longs, which keep nulls and all 64 bits of an id."""
     data = list(zip(*rows)) if rows else [[] for _ in columns]
-    return pd.DataFrame({c: pd.array(v, dtype="Int64") for c, v in zip(columns, data)})
+    return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in data], names=columns)

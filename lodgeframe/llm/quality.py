@@ -206,8 +206,9 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 6_000, folds: int
     return fit(x[got["is_p"].to_numpy(bool)], x[got["is_u"].to_numpy(bool)])
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with a ``score`` column, the model's probability of quality."""
+def score(docs: DataFrame, model: Model, text_col: str = "text",
+          score_col: str = "score") -> DataFrame:
+    """``docs`` with a score column, the model's probability of quality."""
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
@@ -215,4 +216,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 np.zeros((0, N_FEATURES))
             yield pd.Series(sigmoid(model.margin(x)))
 
-    return docs.withColumn("score", run(F.col(text_col)))
+    return docs.withColumn(score_col, run(F.col(text_col)))

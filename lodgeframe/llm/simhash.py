@@ -35,6 +35,7 @@ from math import comb
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -48,7 +49,6 @@ SEED = 42
 ALL = (1 << BITS) - 1
 CHUNK = 1 << 16
 SLOTS = 16
-ROW = "_row_key"
 PAIR_COST = 1.0        # work of one candidate pair, in units of ...
 SIGNATURE_COST = 4.0   # ... one signature sent through the shuffle
 
@@ -78,17 +78,23 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
                  text_col: str = "text", key_col: str | None = None) -> DataFrame:
-    """(doc_id, fp[, key]): fp holds the 64 bits as a signed long."""
+    """(doc_id, fp[, key]): fp holds the 64 bits as a signed long.
+
+    Ids stay Arrow longs: in pandas a null among them would turn all into doubles.
+    """
     more = [key_col] if key_col else []
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t, shingle) for t in b["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fp.view(np.int64),
-                                **{c: b[c] for c in more}})
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                       *more).mapInPandas(run, ", ".join(
+            fp = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()],
+                          dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array(fp.view(np.int64)), *(b.column(c) for c in more)],
+                names=["doc_id", "fp", *more])
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                       F.col(text_col).cast("string").alias("text"),
+                       *more).mapInArrow(run, ", ".join(
                            ["doc_id long", "fp long", *(f"{c} long" for c in more)]))
 
 
@@ -293,15 +299,20 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, n_groups: int
     """``docs`` with one row of each component: the least id, then the least text hash.
 
     Rows equal in id and text are one document; one of them stays. The winners are
-    found on ids and hashes alone; the texts move once, to meet them.
+    found on ids and hashes alone; the texts move once, to meet them. All columns of
+    ``docs`` pass through as they are, whatever their names.
     """
-    keyed = docs.withColumn(ROW, F.xxhash64(F.col(id_col), F.col(text_col)))
-    prints = materialize(fingerprints(keyed, shingle, id_col, text_col, ROW))
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
+        F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("key"))
+    prints = materialize(fingerprints(keyed, shingle, "id", "text", "key"))
     label = component_labels(prints, max_bits, n_groups, block_rows)
     best = prints.join(label, "fp").groupBy("component").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("no_id"), "doc_id", ROW)).alias("best"))
-    best = best.select(F.col("best.doc_id").alias("_best_id"), F.col(f"best.{ROW}").alias("_best_row"))
-    joined = keyed.join(best, (F.col(ROW) == F.col("_best_row"))
-                        & F.col(id_col).cast("long").eqNullSafe(F.col("_best_id")))
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("best"))
+    best = best.select(F.col("best.doc_id").alias("best_id"), F.col("best.key").alias("best_key"))
+    joined = keyed.drop("text").join(best, (F.col("key") == F.col("best_key"))
+                                     & F.col("id").eqNullSafe(F.col("best_id")))
     # Equal rows all meet the winner: keep one.
-    return joined.dropDuplicates([ROW, "_best_id"]).select(*docs.columns)
+    return joined.dropDuplicates(["key", "best_id"]).select(
+        *[F.col(f"row.`{c}`") for c in docs.columns])
