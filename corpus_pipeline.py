@@ -13,13 +13,16 @@ folder and reads it back, so a lost executor repeats one stage at most.
    target's end is cut to the words taken; rows come in training order.
 5. Packing: pieces of at most 2048 tokens with their sequence and offset.
 
-Null, empty, very long, tied and repeated inputs are handled as the operators say; an
+Further columns of ``documents`` pass through the first four stages unchanged, whatever
+their names. Null, empty, very long, tied and repeated inputs are handled as the operators say; an
 empty table passes through as an empty table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from itertools import count, islice
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgeframe.llm import lines, mixing, packing, quality, simhash
@@ -29,16 +32,29 @@ from lodgeframe.llm.queries import QUALITY_CUT
 PIECE_COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def free_names(docs: DataFrame, n: int) -> list[str]:
+    """Names that no column of ``docs`` has, for the columns a stage adds."""
+    taken = {c.lower() for c in docs.columns}
+    return list(islice((x for i in count() if (x := f"stage_{i}") not in taken), n))
+
+
+def plain(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).where(F.col("score") >= QUALITY_CUT).select(*docs.columns)
+    score, = free_names(docs, 1)
+    return quality.score(docs, model, score_col=score).where(
+        F.col(score) >= QUALITY_CUT).select(*plain(docs))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    clean = lines.dedup_lines(docs)
+    total, removed = free_names(docs, 2)
+    clean = lines.dedup_lines(docs, total_col=total, removed_col=removed)
     return clean.withColumn("n_chars", F.when(
-        F.col("lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(
-        docs.schema["n_chars"].dataType)).select(*docs.columns)
+        F.col(removed) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(
+        docs.schema["n_chars"].dataType)).select(*plain(docs))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
