@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import (ann, licenses, lines, lm, mixing, packing, pii, quality, rules,
+from lodgeframe.llm import (ann, licenses, lines, lm, merkle, mixing, packing, pii, quality, rules,
                             simhash)
 from lodgeframe.llm.common import fold, table
 
@@ -67,6 +67,10 @@ def op10_block_matrix_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0, k=20)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pu_quality": op1_pu_quality,
@@ -79,4 +83,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_curriculum_mix": op8_curriculum_mix,
         "op9_line_spread": op9_line_spread,
         "op10_block_matrix_ann": op10_block_matrix_ann,
+        "op11_merkle_manifest": op11_merkle_manifest,
     }
