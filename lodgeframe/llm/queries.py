@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import (ann, licenses, lines, lm, merkle, mixing, packing, pii, quality, rules,
-                            simhash)
+from lodgeframe.llm import (ann, itq, licenses, lines, lm, merkle, mixing, packing, pii, quality,
+                            rules, simhash)
 from lodgeframe.llm.common import fold, table
 
 
@@ -71,6 +71,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents"))
 
 
+def op12_itq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pu_quality": op1_pu_quality,
@@ -84,4 +88,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_line_spread": op9_line_spread,
         "op10_block_matrix_ann": op10_block_matrix_ann,
         "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_itq_near_dedup": op12_itq_near_dedup,
     }
