@@ -55,6 +55,47 @@ FROM f
 
 
 
+OP13_SETM_PHRASES = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)
+), g AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i
+        FROM p, (VALUES (1), (2), (3)) s(k))
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase
+), c AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10
+), cut AS (
+  SELECT c.lang, c.phrase, c.k, a, j, x.f AS l, y.f AS r,
+         (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+  FROM c JOIN (VALUES (1), (2)) s(j) ON j < c.k
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:j], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[j + 1:], ' ')
+), best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inner_phrase AS (
+  SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, a
+  FROM c, (VALUES (1), (2)) s(i) WHERE k = 3
+), left_over AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM inner_phrase q
+    WHERE q.lang = b.lang AND q.phrase = b.phrase AND 100 * q.a >= 50 * b.a)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM left_over
+)
+SELECT lang, rank, phrase, a, l, r,
+       (SELECT sum(f)::BIGINT FROM f WHERE k = 1 AND f.lang = ranked.lang) AS n,
+       score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+
 def _values(rows) -> str:
     return ", ".join("(" + ", ".join("'" + str(x).replace("'", "''") + "'" for x in r) + ")"
                      for r in rows)
@@ -141,6 +182,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_rules": OP2_LINE_RULES,
         "op7_license_rules": _op7_license_rules(),
+        "op13_setm_phrases": OP13_SETM_PHRASES,
         "op9_line_spread": OP9_LINE_SPREAD,
         "op10_block_matrix_ann": OP10_BLOCK_MATRIX_ANN,
     }

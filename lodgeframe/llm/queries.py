@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.llm import (ann, itq, licenses, lines, lm, merkle, mixing, packing, pii, quality,
-                            rules, simhash)
+from lodgeframe.llm import (ann, itq, licenses, lines, lm, merkle, mixing, packing, phrases, pii,
+                            quality, rules, simhash)
 from lodgeframe.llm.common import fold, table
 
 
@@ -75,6 +75,10 @@ def op12_itq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itq.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op13_setm_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pu_quality": op1_pu_quality,
@@ -89,4 +93,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_block_matrix_ann": op10_block_matrix_ann,
         "op11_merkle_manifest": op11_merkle_manifest,
         "op12_itq_near_dedup": op12_itq_near_dedup,
+        "op13_setm_phrases": op13_setm_phrases,
     }
