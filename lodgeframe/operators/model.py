@@ -15,7 +15,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgeframe.operators.util import materialize
+from lodgeframe.operators.util import materialize, prefix_sums
 
 # Fixed list (schema order) of numeric model inputs; the two label indices follow.
 NUMERIC_FEATURES = (
@@ -73,12 +73,15 @@ def indexers(handle_invalid: str = "error") -> list[StringIndexer]:
 
 
 def label_index(df: DataFrame, column: str) -> DataFrame:
-    """M1 as a table: (value, index) of one fitted string column."""
-    model = StringIndexer(inputCol=column, outputCol="_idx",
-                          stringOrderType="frequencyDesc").fit(df)
-    return (model.transform(df.select(column).where(F.col(column).isNotNull()))
-            .select(F.col(column).alias("value"), F.col("_idx").cast("int").alias("index"))
-            .distinct())
+    """M1 as a table: (value, index) of one string column, for any number of labels.
+
+    The same order as the encoder's (frequency descending, ties alphabetical), ranked by
+    range partitions and their offsets; no label reaches the driver.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(
+        F.count("*").alias("n"))
+    ranked = prefix_sums(counts, [-F.col("n"), F.col("value")], F.lit(1), into="index")
+    return ranked.select("value", F.col("index").cast("int").alias("index"))
 
 
 def price_pipeline(reg_param: float = GLM_REG_PARAM, max_iter: int = GLM_MAX_ITER,

@@ -388,6 +388,7 @@ FROM (SELECT CAST(month(TRY_CAST(date AS DATE)) AS INTEGER) AS month,
     q["listing_poi_features_all"] = _with(LISTINGS, OSM_NODES, NODES_KEPT, POIS, LOCS, PAIRS,
                                           FEATS_INNER, FEATURES_ALL) + \
         "SELECT * REPLACE (round(nearest_shop_m, 3) AS nearest_shop_m) FROM features_all"
+    q["listing_poi_features_cells"] = q["listing_poi_features_all"]
     q["nearest_shop"] = _with(LISTINGS, OSM_NODES, NODES_KEPT, POIS, LOCS, PAIRS) + \
         """SELECT listing_id, round(min(d), 3) AS nearest_m FROM pairs
 WHERE category = 'shopping' GROUP BY listing_id"""

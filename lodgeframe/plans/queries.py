@@ -121,10 +121,10 @@ def q_radius_pairs(spark, d):
     return pairs.select("listing_id", "osm_id", "category", F.round("dist", 3).alias("dist"))
 
 
-def _features(keep_missing):
+def _features(keep_missing, by_cells=False):
     def q(spark, d):
         f = geo.poi_features(geo.listing_locations(FX.listings(spark, d)), _pois(spark, d),
-                             keep_missing=keep_missing)
+                             keep_missing=keep_missing, by_cells=by_cells)
         return f.withColumn("nearest_shop_m", F.round("nearest_shop_m", 3))
     return q
 
@@ -364,6 +364,7 @@ QUERIES: dict[str, Query] = {
     "radius_pairs": q_radius_pairs,
     "listing_poi_features": _features(False),
     "listing_poi_features_all": _features(True),
+    "listing_poi_features_cells": _features(True, by_cells=True),
     "nearest_shop": q_nearest_shop,
     "cleaned_listing": q_cleaned_listing,
     "cleaned_listing_all": q_cleaned_listing_all,

@@ -13,6 +13,17 @@ def test_label_index_tie_rule(spark):
     assert got == {"a": 0, "b": 1, "c": 2, "d": 3}
 
 
+def test_label_index_of_many_labels_matches_the_encoder(spark):
+    from pyspark.ml.feature import StringIndexer
+    df = spark.range(30_000).select(F.when(F.col("id") % 11 > 0, F.concat(
+        F.lit("label "), (F.col("id") * F.col("id") % 9_973).cast("string"))).alias("c"))
+    model = StringIndexer(inputCol="c", outputCol="i", handleInvalid="skip").fit(df)
+    want = dict(zip(model.labels, range(len(model.labels))))
+    assert len(want) > 4_000
+    assert {r["value"]: r["index"] for r in M.label_index(df, "c").collect()} == want
+    assert M.label_index(df.limit(0), "c").count() == 0
+
+
 def test_hash_split_is_deterministic_and_complete(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
     a1, b1 = M.hash_split(df, "k")
