@@ -3,7 +3,9 @@
 The occurrence relation of length k holds, for each place of a text, the frequent phrase
 of k words that starts there. It is written once a length, sorted by piece and position and
 clustered in blocks: a row holds one block of a language, as the block's phrases and one
-number a position (0: none, or the end of a piece), compressed.
+number a position (0: none, or the end of a piece), compressed. Words are named by
+themselves, longer phrases by the number of the frequent phrase, so that only integers
+are exchanged.
 
 1. Length 1: texts become words; every word is a phrase.
 2. Count: each block sends its phrases with their counts, one row a phrase of a block; sums
@@ -32,7 +34,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ OPEN_BYTES = 48_000_000     # text of unfinished blocks that a task holds
 SENT_ROWS = 200_000         # rows of one Arrow batch
 BREAK = b"\xff"             # no byte of UTF-8
 BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BREAK * 10)
-RELATION = "lang string, block long, phrases array<string>, ids binary, size long"
+RELATION = "lang string, block long, names binary, names_size long, ids binary, size long"
 
 
 class Numbers(dict):
@@ -55,21 +56,21 @@ class Numbers(dict):
         return n
 
 
-def pack(ids: np.ndarray) -> bytes:
-    return pa.compress(ids.astype("<i4").tobytes(), codec="zstd", asbytes=True)
+def pack(values: bytes) -> bytes:
+    return pa.compress(values, codec="zstd", asbytes=True)
 
 
-def unpack(raw: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(raw, decompressed_size=4 * size, codec="zstd",
-                                       asbytes=True), dtype="<i4")
+def unpack(raw: bytes, size: int) -> bytes:
+    return pa.decompress(raw, decompressed_size=size, codec="zstd", asbytes=True) if size else b""
 
 
-def _row(lang: str, block: int, phrases: pa.Array, ids: np.ndarray) -> pa.RecordBatch:
-    listed = pa.ListArray.from_arrays(pa.array([0, len(phrases)], pa.int32()), phrases)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang]), pa.array([block], pa.int64()), listed,
-         pa.array([pack(ids)], pa.binary()), pa.array([len(ids)], pa.int64())],
-        names=["lang", "block", "phrases", "ids", "size"])
+def _row(lang: str, block: int, names: bytes, ids: np.ndarray) -> pa.RecordBatch:
+    """A block: the names of its phrases from number 1 on, and a number a position."""
+    values = [(lang, pa.string()), (block, pa.int64()), (pack(names), pa.binary()),
+              (len(names), pa.int64()), (pack(ids.astype("<i4").tobytes()), pa.binary()),
+              (len(ids), pa.int64())]
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in values],
+                                      names=[c.split()[0] for c in RELATION.split(", ")])
 
 
 def parts(text: bytes) -> Iterator[bytes]:
@@ -97,9 +98,8 @@ def occurrences(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
             del held[lang]
             known = Numbers({BREAK: 0})
             ids = np.fromiter(map(known.__getitem__, tokens), dtype=np.int32, count=len(tokens))
-            words = pa.array([b"", *list(known)[1:]], pa.binary()).cast(pa.string())
             number += 1
-            return _row(lang, number, words, ids)
+            return _row(lang, number, b"\n".join(list(known)[1:]), ids)
 
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(),
@@ -119,67 +119,84 @@ def occurrences(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
         F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, RELATION)
 
 
-def extended(ids: np.ndarray, phrases: pa.Array, extend: bool) -> tuple:
-    """(place of each phrase's start, code there, phrase of each code as a function)."""
-    if not extend:
-        at = np.nonzero(ids)[0]
-        return at, ids[at].astype(np.int64), lambda codes: pc.take(phrases, pa.array(codes))
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(row, language, block, names, number a position) of each block."""
+    for b in batches:
+        for row in b.to_pylist():
+            ids = np.frombuffer(unpack(row["ids"], 4 * row["size"]), dtype="<i4")
+            yield row, unpack(row["names"], row["names_size"]), ids
+
+
+def neighbours(ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, code) of each longer phrase: the phrases at a place and at the next one."""
     first, second = ids[:-1], ids[1:]
     at = np.nonzero((first > 0) & (second > 0))[0]
-    n = len(phrases)
-    ends = pa.array([p.rsplit(" ", 1)[-1] for p in phrases.to_pylist()], pa.string())
+    return at, first[at].astype(np.int64) * (n + 1) + second[at]
 
-    def named(codes: np.ndarray) -> pa.Array:
-        return pc.binary_join_element_wise(pc.take(phrases, pa.array(codes // n)),
-                                           pc.take(ends, pa.array(codes % n)), " ")
-    return at, first[at].astype(np.int64) * n + second[at], named
 
+def words_of(relation: DataFrame) -> DataFrame:
+    """(lang, phrase, block, g, n): the words of each block with their counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, names, ids in _blocks(batches):
+            words = pa.array(names.split(b"\n") if names else [], pa.binary()).cast(pa.string())
+            n = np.bincount(ids, minlength=len(words) + 1)[1:]
+            for s in range(0, len(words), SENT_ROWS):
+                part = words[s:s + SENT_ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["lang"]] * len(part), pa.string()), part,
+                     pa.array(np.full(len(part), row["block"], dtype=np.int64)),
+                     pa.array(np.arange(s, s + len(part), dtype=np.int32)),
+                     pa.array(n[s:s + len(part)].astype(np.int64))],
+                    names=["lang", "phrase", "block", "g", "n"])
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for b in batches:
-        for i in range(b.num_rows):
-            ids = unpack(b.column("ids")[i].as_py(), b.column("size")[i].as_py())
-            yield b, i, ids, b.column("phrases")[i].values.cast(pa.string())
+    return relation.mapInArrow(run, "lang string, phrase string, block long, g int, n long")
 
 
-def groups(relation: DataFrame, extend: bool) -> DataFrame:
-    """(lang, phrase, block, g, n): the phrases of each block, numbered, with their counts."""
+def longer_of(relation: DataFrame) -> DataFrame:
+    """(p, q, block, g, n): the longer phrases of each block with their counts.
+
+    A phrase is named by the frequent phrases at its place and the next one.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, i, ids, phrases in _blocks(batches):
-            _, codes, named = extended(ids, phrases, extend)
-            codes, n = np.unique(codes, return_counts=True)
+        for row, names, ids in _blocks(batches):
+            name = np.frombuffer(names, dtype="<i8")
+            codes, n = np.unique(neighbours(ids, len(name))[1], return_counts=True)
             for s in range(0, len(codes), SENT_ROWS):
                 part = codes[s:s + SENT_ROWS]
-                size = len(part)
+                p, q = np.divmod(part, len(name) + 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([b.column("lang")[i].as_py()] * size, pa.string()),
-                     named(part).cast(pa.string()),
-                     pa.array(np.full(size, b.column("block")[i].as_py(), dtype=np.int64)),
-                     pa.array(np.arange(s, s + size, dtype=np.int32)),
-                     pa.array(n[s:s + size].astype(np.int64))],
-                    names=["lang", "phrase", "block", "g", "n"])
+                    [pa.array(name[p - 1]), pa.array(name[q - 1]),
+                     pa.array(np.full(len(part), row["block"], dtype=np.int64)),
+                     pa.array(np.arange(s, s + len(part), dtype=np.int32)),
+                     pa.array(n[s:s + len(part)].astype(np.int64))],
+                    names=["p", "q", "block", "g", "n"])
 
-    return relation.mapInArrow(run, "lang string, phrase string, block long, g int, n long")
+    return relation.mapInArrow(run, "p long, q long, block long, g int, n long")
 
 
-def kept(relation: DataFrame, frequent: DataFrame, extend: bool) -> DataFrame:
-    """The (extended) relation of the frequent phrases only."""
-    told = groups(relation, extend).select("lang", "phrase", "block", "g").join(
-        frequent.select("lang", "phrase"), ["lang", "phrase"], "left_semi")
-    told = told.groupBy("block").agg(F.collect_list("g").alias("frequent"))
+def kept(relation: DataFrame, groups: DataFrame, frequent: DataFrame, keys: list[str],
+         extend: bool) -> DataFrame:
+    """The relation of the frequent groups: names are their ids from now on."""
+    told = groups.select(*keys, "block", "g").join(frequent.select(*keys, "id"), keys)
+    told = told.groupBy("block").agg(F.collect_list(F.struct("g", "id")).alias("told"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, i, ids, phrases in _blocks(batches):
-            at, codes, named = extended(ids, phrases, extend)
-            codes, where = np.unique(codes, return_inverse=True)
-            stay = np.sort(b.column("frequent")[i].values.to_numpy(zero_copy_only=False))
-            number = np.zeros(len(codes), dtype=np.int32)
-            number[stay] = np.arange(1, len(stay) + 1)
-            out = np.zeros(len(ids), dtype=np.int32)
-            out[at] = number[where]
-            left = pa.concat_arrays([pa.array([""], pa.string()),
-                                     named(codes[stay]).cast(pa.string())])
-            yield _row(b.column("lang")[i].as_py(), b.column("block")[i].as_py(), left, out)
+        for b in batches:
+            told = b.column("told")
+            for i, (row, names, ids) in enumerate(_blocks([b.drop_columns(["told"])])):
+                g, name = (f.to_numpy(zero_copy_only=False) for f in told[i].values.flatten())
+                order = np.argsort(g)
+                if extend:
+                    at, codes = neighbours(ids, len(names) // 8)
+                    codes, where = np.unique(codes, return_inverse=True)
+                else:
+                    at = np.nonzero(ids)[0]
+                    codes, where = np.arange(ids.max(initial=0)), ids[at] - 1
+                number = np.zeros(len(codes), dtype=np.int32)
+                number[g[order]] = np.arange(1, len(g) + 1)
+                out = np.zeros(len(ids), dtype=np.int32)
+                out[at] = number[where]
+                yield _row(row["lang"], row["block"], name[order].astype("<i8").tobytes(), out)
 
     return relation.join(told, "block").mapInArrow(run, RELATION)
 
@@ -188,15 +205,27 @@ def counted(docs: DataFrame, longest: int, least: int, text_col: str,
             lang_col: str) -> tuple[list[DataFrame], DataFrame]:
     """(frequent phrases (lang, phrase, f) by length; (lang, n): words of each language)."""
     relation = materialize(occurrences(docs, text_col, lang_col))
-    found, words = [], None
+    found, names, words = [], None, None
     for k in range(1, longest + 1):
-        sums = groups(relation, k > 1).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+        groups = words_of(relation) if k == 1 else longer_of(relation)
+        keys = ["lang", "phrase"] if k == 1 else ["p", "q"]
+        sums = groups.groupBy(*keys).agg(F.sum("n").alias("f"))
         if k == 1:
             sums = materialize(sums)
             words = sums.groupBy("lang").agg(F.sum("f").alias("n"))
-        found.append(materialize(sums.where(F.col("f") >= least)))
+        # Written with their numbers, which therefore stay what they are.
+        frequent = materialize(sums.where(F.col("f") >= least).withColumn(
+            "id", F.monotonically_increasing_id()))
         if k < longest:
-            relation = materialize(kept(relation, found[-1], k > 1))
+            relation = materialize(kept(relation, groups, frequent, keys, k > 1))
+        if k > 1:
+            start = names.select(F.col("id").alias("p"), "lang", F.col("phrase").alias("start"))
+            rest = names.select(F.col("id").alias("q"), F.substring_index("phrase", " ", -1)
+                                .alias("last"))
+            frequent = materialize(frequent.join(start, "p").join(rest, "q").select(
+                "lang", F.concat_ws(" ", "start", "last").alias("phrase"), "f", "id"))
+        names = frequent
+        found.append(frequent.select("lang", "phrase", "f"))
     return found, words
 
 
