@@ -1,5 +1,6 @@
 """Training-data operators: quality, rules, near-duplicates, packing, PII, LM scores,
-licences, mixing, line deduplication and nearest vectors. Nothing else in the library
+licences, mixing, line deduplication, nearest vectors, manifests, near-duplicate vectors
+and phrases. Nothing else in the library
 imports this subpackage."""
 
 import sys
