@@ -83,7 +83,7 @@ def test_phrases_on_the_test_table(spark):
     assert got(phrases.collocations(docs)) == want
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
-    sql = con.sql(oracle.oracle_sql()["op13_setm_phrases"])
+    sql = con.sql(oracle.OP13_SETM_PHRASES)
     assert sorted(sql.columns) == sorted(COLUMNS)
     assert sorted(sql.select(*COLUMNS).fetchall()) == want
 
