@@ -301,6 +301,37 @@ XY = """xy AS (
   FROM typed WHERE price > 0 AND future_occupancy IS NOT NULL)"""
 
 
+def _words(source: str, key: str, text: str) -> str:
+    return f"""SELECT {key} AS key, unnest(string_split(trim(regexp_replace(lower({text}),
+      '[^\\p{{L}}\\p{{M}}]+', ' ', 'g')), ' ')) AS w FROM {source}"""
+
+
+def _grams(name: str, source: str, key: str, text: str) -> str:
+    """CTE (key, gram, n) of the character trigrams inside words."""
+    return f"""{name} AS (
+  SELECT key, gram, CAST(sum(n) AS DOUBLE) AS n FROM (
+    SELECT key, n, unnest(list_transform(range(1, len(c) - 1),
+      lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram FROM (
+      SELECT key, string_split(' ' || w || ' ', '') AS c, count(*) AS n
+      FROM ({_words(source, key, text)}) WHERE w <> '' GROUP BY key, w))
+  GROUP BY key, gram)"""
+
+
+def _language_ctes(train: str, docs: str, key: str, text: str) -> tuple[str, ...]:
+    """CTEs of the trigram model of ``train``; ``found`` (key, lang) of the texts of ``docs``."""
+    return (_grams("seen", f"(SELECT * FROM {train} WHERE lang IS NOT NULL)", "lang", "text"),
+            _grams("asked", docs, key, text), f"""kinds AS (
+  SELECT s.key AS lang, sum(n) AS grams, (SELECT count(DISTINCT gram) FROM seen) AS v,
+    ln((SELECT count(*) FROM {train} t WHERE t.lang = s.key)::DOUBLE
+       / (SELECT count(lang) FROM {train})) AS prior FROM seen s GROUP BY s.key)""", """ranked AS (
+  SELECT key, lang, row_number() OVER (PARTITION BY key ORDER BY round(score, 9) DESC, lang) AS rn
+  FROM (SELECT a.key, k.lang, max(k.prior) + sum(a.n * ln((coalesce(s.n, 0) + 0.5::DOUBLE)
+      / (k.grams + 0.5::DOUBLE * k.v))) AS score
+    FROM asked a CROSS JOIN kinds k LEFT JOIN seen s ON s.gram = a.gram AND s.key = k.lang
+    GROUP BY a.key, k.lang))""",
+            "found AS (SELECT key, lang FROM ranked WHERE rn = 1)")
+
+
 MODEL_ALL = """cleaned_all AS (
   SELECT t.*, f.* EXCLUDE (listing_id) FROM typed t JOIN features_all f ON t.id = f.listing_id)"""
 
@@ -484,6 +515,15 @@ FROM nation n LEFT JOIN (SELECT neighbourhood_cleansed, avg(price) AS price FROM
       SELECT id, regexp_replace(unnest({_tokens_list('lower(comments)')}), '{PUNCT_RE}', '', 'g')
         AS token FROM prepared) t
     JOIN lang_words w ON t.token = w.word GROUP BY t.id, w.lang)) v ON p.id = v.id AND v.rn = 1"""
+    q["review_language_model"] = _with(REVIEWS, PREPARED, *_language_ctes(
+        "documents", "prepared", "id", "comments")) + """SELECT p.id,
+  coalesce(f.lang, 'und') AS lang FROM prepared p LEFT JOIN found f ON f.key = p.id"""
+    part = "CASE WHEN (doc_id % 100 * 48271 + 5) % 100 < 80 THEN 0 ELSE 1 END"
+    q["language_held_out"] = _with(f"train_docs AS (SELECT * FROM documents WHERE {part} = 0)",
+        f"held AS (SELECT * FROM documents WHERE {part} = 1)",
+        *_language_ctes("train_docs", "held", "doc_id", "text")) + """SELECT h.lang AS truth,
+  coalesce(f.lang, 'und') AS found, count(*) AS n
+FROM held h LEFT JOIN found f ON f.key = h.doc_id GROUP BY ALL"""
     q["review_score"] = _with(*text_ctes, LEXICON, SCORES) + \
         "SELECT id, listing_id, reviewer_id, comments, round(score, 6) AS score FROM scores"
     q["review_score_corpus"] = _with(REVIEWS, PREPARED, EN_REVIEWS, STOP_WORDS, LEMMAS, f"""lexicon AS (

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgeframe.functions import parse as P
-from lodgeframe.operators import geo, gram as G, listings as L, model as M, profit, recommend as R
+from lodgeframe.operators import geo, gram as G, language as LM, listings as L, model as M, profit, recommend as R
 from lodgeframe.operators import summaries as S, text as TX
 from lodgeframe.session import configure
 from lodgeframe.sources import catalogue, fixtures as FX
@@ -167,6 +167,21 @@ def q_review_joined(spark, d):
                                             sw, lem))
 
 
+def q_review_language_model(spark, d):
+    """Languages of all reviews by the n-gram model of the labelled documents."""
+    model = LM.train(FX.read_table(spark, d, "documents"))
+    return LM.identify(TX.prepare_reviews(FX.reviews(spark, d)), model)
+
+
+def q_language_held_out(spark, d):
+    """Texts of the held-out documents per true and found language, trained on the others."""
+    docs = FX.read_table(spark, d, "documents").select("doc_id", "lang", "text")
+    train, held = M.hash_split(docs, "doc_id", (0.8, 0.2), 5)
+    found = LM.identify(held, LM.train(train), "doc_id", "text")
+    return held.select("doc_id", F.col("lang").alias("truth")).join(found, "doc_id") \
+        .groupBy("truth", F.col("lang").alias("found")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_review_language(spark, d):
     prepared = TX.prepare_reviews(FX.reviews(spark, d)).drop("lang")
     return TX.detect_language(prepared, TX.lang_words_table(spark))
@@ -374,6 +389,8 @@ QUERIES: dict[str, Query] = {
     "review_clean_tokens": q_review_clean_tokens,
     "review_joined": q_review_joined,
     "review_language": q_review_language,
+    "review_language_model": q_review_language_model,
+    "language_held_out": q_language_held_out,
     "review_score": q_review_score,
     "review_score_corpus": q_review_score_corpus,
     "lemma_forms": q_lemma_forms,
