@@ -1,21 +1,39 @@
 """Dataset catalogue extraction from web pages (S6), as a Spark job over a page table.
 
 The original downloaded one page and walked its HTML table with a parser on
-one machine. Here a table of pages (page_id, html) is parsed with regular
-expressions inside Spark, so any number of pages is handled in parallel.
+one machine. Here a table of pages (page_id, html) becomes a table of tag events, and
+rows, cells and links are spans between events found with running sums, so any number
+of pages is handled in parallel. ``page_links`` needs no nesting and stays one pattern.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 ANCHOR_RE = r"""(?s)<a\s[^>]*?href=["']([^"']*)["'][^>]*>(.*?)</a>"""
-ROW_RE = r"(?s)<tr[^>]*>(.*?)</tr>"
-CELL_RE = r"(?s)<td[^>]*>(.*?)</td>"
-HREF_RE = r"""<a\s[^>]*?href=["']([^"']*)["']"""
 TAG_RE = r"<[^>]*>"
 
+# One token of a page: a comment, a script or style with its content, a declaration, a
+# tag, or text. Every run is read once: nothing here scans the same text twice.
+_ATTRIBUTES = r"""(?:[^<>"']++|"[^"]*+"|'[^']*+')*+"""
+TOKEN_RE = (r"(?is)<!--.*?(?:-->|\z)"
+            rf"|<(script|style)(?![a-z0-9-]){_ATTRIBUTES}>.*?(?:</\1\s*>|\z)"
+            r"|<[!?][^<>]*+>"
+            rf"|</?[a-z](?:[^\s/<>\"']*+)(?:{_ATTRIBUTES})>"
+            r"|<|[^<]++")
+NAME_RE = r"(?i)\A</?([a-z][^\s/<>]*)"
+ATTRIBUTE_RE = r"""([^\s"'=<>/]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'<>]++))?"""
+
+# The tags that open, close or cut short rows and cells, and the named
+# characters that texts and links may hold (the ampersand last).
+SECTIONS = ("thead", "tbody", "tfoot")
+CELLS = ("td", "th")
+STRUCTURE = ("table", "tr", "a", *SECTIONS, *CELLS)
+CHARACTERS = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
+              ("&nbsp;", " "), ("&amp;", "&"))
+
 
 def page_links(pages: DataFrame) -> DataFrame:
     """(page_id, pos, link, text, segment) for every ``<a href>`` anchor of every page.
@@ -29,39 +47,160 @@ def page_links(pages: DataFrame) -> DataFrame:
     z = pages.select("page_id", F.posexplode(F.arrays_zip(links.alias("link"),
                                                          texts.alias("text"))).alias("pos", "a"))
     link = F.col("a.link")
-    return z.select("page_id", "pos", link.alias("link"), _cell_text(F.col("a.text")).alias("text"),
-                    F.try_element_at(F.split(link, "/", -1), F.lit(-3)).alias("segment"))
+    return z.select("page_id", "pos", link.alias("link"),
+                    F.trim(F.regexp_replace("a.text", TAG_RE, "")).alias("text"), _segment(link))
+
+
+def _segment(link: Column) -> Column:
+    return F.try_element_at(F.split(link, "/", -1), F.lit(-3)).alias("segment")
+
+
+def _decoded(c: Column) -> Column:
+    for name, char in CHARACTERS:
+        c = F.replace(c, F.lit(name), F.lit(char))
+    return c
+
+
+def _stripped(c: Column) -> Column:
+    return F.regexp_replace(c, r"(?U)\A\s++|(?<!\s)\s++\z", "")
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute, the last one of that name; NULL without one."""
+    body = F.regexp_replace(tag, r"(?i)\A<[a-z][^\s/<>]*+", "")
+    pairs = F.arrays_zip(F.regexp_extract_all(body, F.lit(ATTRIBUTE_RE), 1).alias("k"),
+                         F.regexp_extract_all(body, F.lit(ATTRIBUTE_RE), 2).alias("v"))
+    got = F.filter(pairs, lambda p: F.lower(p["k"]) == name)
+    return _decoded(F.regexp_replace(F.try_element_at(got, F.lit(-1))["v"],
+                                     r"""(?s)\A(["'])(.*)\1\z""", "$2"))
 
 
-def _cell_text(c):
-    return F.trim(F.regexp_replace(c, TAG_RE, ""))
+def page_tokens(pages: DataFrame) -> DataFrame:
+    """(page_id, key, tokens): each page with a table cut into comments, tags and texts.
+
+    The tokens follow one another without a gap. ``key`` (id and digest) tells pages
+    apart; equal pages of one id share it.
+    """
+    return pages.where(F.lower("html").contains("<table")).select(
+        "page_id", F.struct(F.col("page_id").alias("id"), F.md5("html").alias("digest")).alias("key"),
+        F.regexp_extract_all("html", F.lit(TOKEN_RE), 0).alias("tokens"))
+
+
+def tag_events(tokens: DataFrame) -> DataFrame:
+    """One row per tag that bears on tables and links, with its nesting.
+
+    (key, pos, name, closing, tag, depth, inner): ``depth`` is the number of tables open
+    around the event (its own included), a running sum of +1 and -1 from which closings
+    without an opening are taken out; ``inner`` is the position of the innermost table's
+    opening, NULL outside tables.
+    """
+    name = F.lower(F.regexp_extract("tag", NAME_RE, 1))
+    tags = tokens.select("key", F.posexplode("tokens").alias("pos", "tag")).where(
+        F.col("tag").startswith("<")).withColumn("name", name).where(
+        F.col("name").isin(*STRUCTURE)).withColumn(
+        "closing", F.col("tag").startswith("</")).distinct()
+    is_table = F.col("name") == "table"
+    step = F.when(is_table, F.when(F.col("closing"), -1).otherwise(1)).otherwise(0)
+    w = W.partitionBy("key").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    level = tags.withColumn("_sum", F.sum(step).over(w))
+    level = level.withColumn("_depth", F.col("_sum") - F.least(F.lit(0), F.min("_sum").over(w)))
+    # A closing belongs to the table that it closes; a closing of nothing to none.
+    before = F.coalesce(F.lag("_depth").over(W.partitionBy("key").orderBy("pos")), F.lit(0))
+    level = level.withColumn("depth", F.when(is_table & F.col("closing"), before).otherwise(
+        F.col("_depth")).cast("int"))
+    opened = F.when(is_table & ~F.col("closing"), F.col("pos"))
+    inner = F.last(opened, True).over(W.partitionBy("key", "depth").orderBy("pos").rowsBetween(
+        W.unboundedPreceding, 0))
+    return level.select("key", "pos", "name", "closing", "tag", "depth",
+                        F.when(F.col("depth") > 0, inner).alias("inner"))
+
+
+def _spans(tokens: DataFrame, city: str) -> DataFrame:
+    """(key, rows): rows of the city's table as arrays of (c0..c3 spans, link tag)."""
+    wanted = f"table table-hover table-striped {city.lower()}"
+    e = tag_events(tokens)
+    opening = ~F.col("closing")
+    td = opening & (F.col("name") == "td")
+    a = opening & (F.col("name") == "a")
+    href = F.when(a, _attribute(F.col("tag"), "href"))
+    seen = W.partitionBy("key").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
+    e = e.withColumns({
+        "href": href,
+        "is_wanted": F.when(opening & (F.col("name") == "table"), F.array_join(F.split(_stripped(
+            _attribute(F.col("tag"), "class")), r"\s+"), " ") == wanted),
+        "tds": F.coalesce(F.count_if(td).over(seen), F.lit(0)),
+        "links": F.coalesce(F.count_if(a & href.isNotNull()).over(seen), F.lit(0))})
+    # The next event of the same table that ends a row, a cell, the table itself.
+    back = W.partitionBy("key", "inner").orderBy(F.desc("pos")).rowsBetween(
+        W.unboundedPreceding, -1)
+    here = F.struct("pos", "tds", "links")
+    ends_table = F.col("closing") & (F.col("name") == "table")
+    ends_row = ends_table | F.col("name").isin("tr", *SECTIONS)
+    ends_cell = ends_row | F.col("name").isin(*CELLS)
+    last = F.struct(F.lit(2**31 - 1).alias("pos"), F.lit(2**62).alias("tds"),
+                    F.lit(2**62).alias("links"))
+    e = e.withColumns({
+        k: F.last(F.when(c, here), True).over(back)
+        for k, c in (("table_end", ends_table), ("row_end", ends_row), ("cell_end", ends_cell))})
+    # An element that nothing ends runs to the end of the page, behind every event of it.
+    e = e.withColumns({k: F.coalesce(k, last) for k in ("table_end", "row_end", "cell_end")})
+    totals = e.groupBy("key").agg(
+        F.count_if(td).alias("all_tds"),
+        F.min_by(F.struct("pos", F.col("table_end.pos").alias("end")),
+                 F.when(F.col("is_wanted"), F.col("pos"))).alias("target")).where(
+        "target IS NOT NULL")
+    rows = e.where(opening & (F.col("name") == "tr")).join(totals, "key").where(
+        (F.col("pos") > F.col("target.pos")) & (F.col("pos") < F.col("target.end")))
+    rows = rows.where(F.least("row_end.tds", "all_tds") - F.col("tds") == 4).select(
+        "key", F.col("pos").alias("row"), F.col("tds").alias("first"))
+    cells = e.where(td).select("key", F.col("tds").alias("n"), F.struct(
+        F.col("pos").alias("start"), F.col("cell_end.pos").alias("end")).alias("span"),
+        "links", F.col("cell_end.links").alias("links_end"))
+    anchors = e.where("href IS NOT NULL").select("key", F.col("links").alias("n"), "href")
+    # The third cell's link is the first one between its ends: the one of that number.
+    link = anchors.withColumnRenamed("n", "links")
+    cells = cells.join(link, ["key", "links"], "left").withColumn(
+        "href", F.when(F.col("links") < F.col("links_end"), F.col("href")))
+    numbered = rows.select("key", "row", F.posexplode(F.array(*[
+        F.col("first") + i for i in range(4)])).alias("i", "n"))
+    found = numbered.join(cells, ["key", "n"]).groupBy("key", "row").agg(
+        F.array_sort(F.collect_list(F.struct("i", "span"))).alias("cells"),
+        F.max(F.when(F.col("i") == 2, F.col("href"))).alias("href"))
+    return found.groupBy("key").agg(
+        F.array_sort(F.collect_list(F.struct("row", "cells", "href"))).alias("rows"))
 
 
 def catalogue_rows(pages: DataFrame, city: str) -> DataFrame:
     """(page_id, date_compiled, country_city, file_name, description, link).
 
     Only the first table whose class is ``table table-hover table-striped <city>``
-    is read; of its rows only those with exactly 4 cells are kept.
+    is read; of its rows, those of tables inside it included, the ones with exactly 4
+    cells (``td``, at any depth) are kept. A row or cell left open ends where the next
+    one of its table starts. Tag and attribute names in any case, unquoted values and
+    named characters are read; comments, scripts and styles are not.
     ``file_name = country_city + '_' + link.split('/')[-3] + '_' + third cell text``,
     NULL where the link is missing or has fewer than three parts.
+    Defined cases: a null or empty page has no rows; a repeated page gives its rows again.
     """
-    table_re = (r'(?s)<table[^>]*class="table table-hover table-striped \Q'
-                + city.lower().replace("\\E", "") + r'\E"[^>]*>(.*?)</table>')
-    tables = pages.select("page_id", F.regexp_extract("html", table_re, 1).alias("t")) \
-        .where(F.col("t") != "")
-    rows = tables.select("page_id", F.explode(F.regexp_extract_all("t", F.lit(ROW_RE), 1))
-                         .alias("row"))
-    cells = rows.select("page_id", F.regexp_extract_all("row", F.lit(CELL_RE), 1).alias("c")) \
-        .where(F.size("c") == 4)
-    c0, c1, c2, c3 = (F.col("c")[i] for i in range(4))
-    link = F.nullif(F.regexp_extract(c2, HREF_RE, 1), F.lit(""))
-    country_city = _cell_text(c1)
-    seg = F.try_element_at(F.split(link, "/", -1), F.lit(-3))
-    return cells.select(
+    tokens = page_tokens(pages)
+    joined = tokens.join(_spans(tokens, city), "key")
+    texts = F.transform("tokens", lambda t: F.when(
+        t.startswith("<") & (F.length(t) > 1), F.lit("")).otherwise(t))
+
+    def text(row: Column, texts: Column, i: int) -> Column:
+        span = row["cells"][i]["span"]
+        part = F.slice(texts, span["start"] + 1, F.least(span["end"], F.size(texts)) - span["start"])
+        return _stripped(_decoded(F.array_join(part, "")))
+
+    rows = joined.withColumn("texts", texts).select("page_id", F.explode(F.transform(
+        "rows", lambda r: F.struct(*[text(r, F.col("texts"), i).alias(f"c{i}") for i in range(4)],
+                                   F.nullif(r["href"], F.lit("")).alias("link")))).alias("r"))
+    return rows.select(
         "page_id",
-        _cell_text(c0).alias("date_compiled"),
-        country_city.alias("country_city"),
-        F.concat(country_city, F.lit("_"), seg, F.lit("_"), _cell_text(c2)).alias("file_name"),
-        _cell_text(c3).alias("description"),
-        link.alias("link"),
+        F.col("r.c0").alias("date_compiled"),
+        F.col("r.c1").alias("country_city"),
+        F.concat(F.col("r.c1"), F.lit("_"), _segment(F.col("r.link")), F.lit("_"),
+                 F.col("r.c2")).alias("file_name"),
+        F.col("r.c3").alias("description"),
+        F.col("r.link").alias("link"),
     )

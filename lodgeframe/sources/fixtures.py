@@ -206,26 +206,46 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalogue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dataset pages (page_id, html), one per row of ``pages``: a table of the wanted city with
-    three rows (one of them short), and a table of another city."""
+    three rows (one of them short), and a table of another city. By page id the tables are
+    tidy, in upper case with unquoted links, with comments, scripts and open cells, or
+    rows of a table inside a cell of the wanted one.
+    """
     p = read_table(spark, sf_dir, "pages")
     k = F.col("page_id").cast("string")
 
-    def row(file, cells=4):
+    def row(file, cells=4, tag="td", href='<a class="x > y" href="{}">', close=True):
         link = F.concat(F.lit("http://data.example.com/canada/bc/2021-"), k, F.lit("/data/"),
                         F.lit(file))
+        anchor, end = href.split("{}")
         tds = [F.concat(F.lit("day "), k), F.concat(F.lit("City "), k),
-               F.concat(F.lit('<a href="'), link, F.lit('"> <b>'), F.lit(file), F.lit("</b></a>")),
-               F.concat(F.lit("Data of "), F.col("url"))][:cells]
-        return F.concat(F.lit("<tr>"), *[x for t in tds for x in (F.lit("<td>"), t, F.lit("</td>"))],
-                        F.lit("</tr>\n"))
-
-    def table(city, *rows):
-        return F.concat(F.lit(f'<table class="table table-hover table-striped {city}">'),
+               F.concat(F.lit(anchor), link, F.lit(end + " <b>"), F.lit(file), F.lit("</b></a>")),
+               F.concat(F.lit("Data of "), F.replace("url", F.lit("&"), F.lit("&amp;")))][:cells]
+        tr = "TR" if tag == "TD" else "tr"
+        ends = (f"</{tag}>", f"</{tr}>\n") if close else ("\n", "\n")
+        return F.concat(F.lit(f"<{tr}>"), *[
+            x for t in tds for x in (F.lit(f"<{tag}>"), t, F.lit(ends[0]))], F.lit(ends[1]))
+
+    def table(city, *rows, start="<table class="):
+        return F.concat(F.lit(f'{start}"table table-hover table-striped {city}">'),
                         *rows, F.lit("</table>"))
-    return p.select("page_id", F.concat(
-        table("victoria", row("other.csv")), table("vancouver", row("listings.csv"),
-                                                   row("short.csv", 3), row("reviews.csv")))
-        .alias("html"))
+
+    def page(*rows, **form):
+        return F.concat(table("victoria", row("other.csv")), table("vancouver", *rows, **form),
+                        table("vancouver", row("later.csv")))
+
+    tidy = page(row("listings.csv"), row("short.csv", 3), row("reviews.csv"))
+    upper = {"tag": "TD", "href": "<A HREF={}>"}
+    loud = page(row("listings.csv", **upper), row("short.csv", 3, **upper),
+                row("reviews.csv", **upper), start="<TABLE\n ID=t CLASS = ")
+    ragged = page(F.lit("<!-- </table><tr><td>1<td>2<td>3<td>4 --><tbody>"),
+                  row("listings.csv", close=False), row("short.csv", 3, close=False),
+                  F.lit("<script>document.write('<tr></table>')</script>"),
+                  row("reviews.csv", close=False), F.lit("</tbody>"))
+    nested = page(F.lit("<tr><td>files<table>"), row("listings.csv"),
+                  F.lit("</table></td></tr>"), row("short.csv", 3), row("reviews.csv"))
+    kind = F.col("page_id") % 4
+    return p.select("page_id", F.when(kind == 1, loud).when(kind == 2, ragged).when(
+        kind == 3, nested).otherwise(tidy).alias("html"))
 
 
 def price_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

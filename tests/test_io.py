@@ -74,6 +74,60 @@ def test_catalogue_rows(spark):
     assert [x["segment"] for x in links] == ["2021-11-06"]
 
 
+CITY = '<table class="table table-hover table-striped porto">'
+CELL = '<td><a href="http://x/a/{0}/b/c">{0}</a></td>'
+
+
+def _catalogue(spark, *pages):
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")
+    return sorted(tuple(r) for r in catalogue.catalogue_rows(df, "porto").collect())
+
+
+def _four(n):
+    return f"<td>d{n}</td><td>c{n}</td>{CELL.format(f'f{n}')}<td>t{n}</td>"
+
+
+def _row(page, n):
+    return page, f"d{n}", f"c{n}", f"c{n}_f{n}_f{n}", f"t{n}", f"http://x/a/f{n}/b/c"
+
+
+def test_catalogue_rows_of_untidy_pages(spark):
+    pages = [
+        # Any case, unquoted and odd attributes, a class over two lines.
+        "<TABLE data-x='<td class=\"q\">' Class='table  table-hover\ntable-striped porto'><Tr>"
+        "<TD>d1</TD><TD>c1</TD><TD><A title=\"a > b href=no\" HREF=http://x/a/f1/b/c>f1</A></TD>"
+        "<TD>t1</TD></Tr></TABLE>",
+        # Cells and rows left open, a table left open, a comment that is never closed.
+        CITY + "<tr><td>d2<td>c2" + CELL.format("f2") + "<td>t2<tr><td>a<td>b<td>c<!-- <td>d",
+        # Closings of nothing, comments, scripts, styles and a bare sign.
+        "</table></td></table>" + CITY + "<!-- </table> <tr> --><script>'</table>'</script>"
+        "<style><td></style><tr>" + _four(3) + "</tr></table><tr>" + _four(9) + "</tr>",
+        # A table in a cell: its rows count, its row's cells count for the outer row too.
+        CITY + "<tr><td><table><tr>" + _four(4) + "</tr></table></td></tr><tr>" + _four(5) +
+        "</tr></table>",
+        # Only the first table of the class; header cells are no cells; a link elsewhere.
+        CITY + "<tr><th>h</th>" + _four(6) + "</tr><tr><td>d<td>c<td>no link<td>"
+        "<a href='http://x/y/z'>t</a></tr></table>" + CITY + "<tr>" + _four(7) + "</tr></table>",
+        # Named characters in text and link, a sign that opens no tag.
+        CITY + "<tr><td> a &lt; b < c </td><td>c&amp;lt;</td><td><a href='/a/s/b?x&amp;y/c'>&nbsp;f"
+        "</a></td><td><b>t</b>u</td></tr></table>",
+        None, "", "<table>", "<table class=porto><tr>" + _four(8) + "</tr></table>"]
+    assert _catalogue(spark, *pages) == [
+        _row(0, 1), _row(1, 2), _row(2, 3), _row(3, 4), _row(3, 5),
+        (4, "d", "c", None, "t", None), _row(4, 6),
+        (5, "a < b < c", "c&lt;", "c&lt;_s_f", "tu", "/a/s/b?x&y/c")]
+
+
+def test_catalogue_rows_of_repeated_and_long_pages(spark):
+    page = CITY + "".join(f"<tr>{_four(i % 7)}</tr>" for i in range(3000)) + "</table>"
+    runs = ["<" * 200_000, "<!--" * 50_000, "<td \"" * 50_001, "<a " * 100_000, "</" * 100_000,
+            "<table " + "a='1' " * 50_000]
+    df = spark.createDataFrame([(1, page), (1, page), (None, page), *((9, r) for r in runs)],
+                               "page_id long, html string")
+    rows = catalogue.catalogue_rows(df, "porto").groupBy("page_id").count().collect()
+    assert {r["page_id"]: r["count"] for r in rows} == {1: 6000, None: 3000}
+
+
 def test_model_save_load(spark, tmp_path):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer
