@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgeframe.operators.model import hash_split
+from lodgeframe.operators.topk import top_products
 from lodgeframe.operators.util import materialize
 
 USER, ITEM, RATING = "reviewer_id", "listing_id", "score"
@@ -110,19 +111,23 @@ def recommend(scores: DataFrame, users: DataFrame | None = None, k: int = TOP_K,
     """M9 + C24: top-k listings per reviewer as rows (reviewer_id, listing_id, rating).
 
     ``users`` (a frame with ``reviewer_id``) restricts scoring to those users
-    before the block cross-scoring runs; users without a training rating have
-    no rows. The default scores every user.
+    before any product is taken; users without a training rating have
+    no rows. The default scores every user. Products stop at a bound
+    (``topk.top_products``), so not every user meets every listing; of equal ratings the
+    listing with the smaller index goes first.
     """
     r = ratings(scores)
     train = split_ratings(r, seed)[0]
     model = als(rank, max_iter, reg, seed).fit(train)
     names = r.select(USER, USER_INDEX).distinct()
-    if users is None:
-        recs = model.recommendForAllUsers(k)
-    else:
+    known = model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("f"))
+    if users is not None:
         wanted = users.select(USER).distinct().join(names, USER)
-        recs = model.recommendForUserSubset(wanted.select(USER_INDEX), k)
-    rows = recs.select(USER_INDEX, F.inline("recommendations"))
+        known = known.join(wanted.select(F.col(USER_INDEX).alias("user")), "user", "left_semi")
+    recs = top_products(known, model.itemFactors.select(
+        F.col("id").alias("item"), F.col("features").alias("f")), k)
+    rows = recs.select(F.col("user").alias(USER_INDEX), F.col("item").alias(ITEM_INDEX),
+                       F.col("score").cast("float").alias("rating"))
     return rows.join(names, USER_INDEX).join(r.select(ITEM, ITEM_INDEX).distinct(), ITEM_INDEX) \
         .select(USER, ITEM, "rating")
 

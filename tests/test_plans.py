@@ -13,7 +13,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-# MLlib scores blocks of users against blocks of items.
+# Tiles of users meet blocks of items in Arrow batches.
 BLOCK_SCORING = {"als_recommend_facts", "als_recommend_users"}
 
 
