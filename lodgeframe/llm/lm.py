@@ -17,9 +17,9 @@ Scale. No task and no driver holds the whole automaton. Documents are dealt to
 blocks by a hash of their content. A block counts its own n-grams and sends them, as
 sorted keys with counts, to as many key ranges; a range adds up the counts and
 answers each block with the totals that differ from the block's own count, so
-n-grams of one block travel once. The block then has the part of the automaton that
-its texts visit, with corpus-wide weights, and reads its texts through it. All
-messages are proportional to the text.
+n-grams of one block travel once. From these totals the block builds the part of the
+automaton that its texts visit (integer states, sorted arcs, failure arcs, corpus-wide
+weights) and reads its texts through it. All messages are proportional to the text.
 
 Keys are 56-bit hashes of n-grams: among n of them n^2 / 2^57 pairs meet by chance, so
 seven pairs among 10^9. Sorted keys travel as differences, whose upper bytes are zero.
@@ -44,6 +44,7 @@ from lodgeframe.llm.common import fold, materialize
 
 END = b"\n"          # no word holds a newline
 BLOCK_CHARS = 10_000_000
+STRETCH = 512
 KEY_BITS = 56
 MAX_BLOCKS = 100_000   # beyond, blocks grow: each block sends one message to each range
 SCORED = ("doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
@@ -124,28 +125,133 @@ def unplanes(raw: bytes) -> np.ndarray:
     return np.cumsum(step, dtype=np.uint64)
 
 
-def walk(grams: list, counts: list[np.ndarray], sizes: np.ndarray, n: int, v: int,
-         mass: float) -> tuple[np.ndarray, np.ndarray]:
-    """(log10 p1, log10 p) at each position of one left-to-right pass.
+@dataclass(frozen=True)
+class Level:
+    """The n-grams of one length that occur in a block, numbered by sorted key."""
+    counts: np.ndarray      # corpus count of each n-gram
+    number: np.ndarray      # per position: the n-gram that ends there, -1 without one
+    place: np.ndarray       # per n-gram: a position where it ends
+
+
+def level(key: np.ndarray, inside: np.ndarray, where: np.ndarray, counts: np.ndarray) -> Level:
+    number = np.full(len(key), -1, dtype=np.int64)
+    number[inside] = where
+    place = np.zeros(len(counts), dtype=np.int64)
+    place[where] = np.flatnonzero(inside)
+    return Level(counts, number, place)
+
+
+@dataclass(frozen=True)
+class Automaton:
+    """The part of the backoff automaton that a block's texts visit.
 
-    ``counts[i]`` holds the corpus count of the (i+1)-gram that ends at each position.
-    The state before a position is its longest history seen; all positions of a
-    block step together, from the shortest history to the longest: an arc is
-    taken where the n-gram was seen, else the failure arc of that history.
+    States are integers; state 0 is the empty history. An arc is found by
+    ``state * words + word`` among the sorted ``arc``; each state but 0 has one failure arc.
     """
-    uni = np.log10((counts[0] + 0.5) / (n + 0.5 * (v + 1)))
-    first = np.zeros(len(uni), dtype=bool)
-    first[np.cumsum(sizes) - sizes] = True
-    end_count = counts[0][-1] if len(uni) else 0      # each text closes with the end token
-    log_p = uni
-    for i in range(1, len(counts)):
-        inside = grams[i][1]
-        seen = np.where(first, end_count, np.roll(counts[i - 1], 1)) if i == 1 else \
-            np.roll(counts[i - 1], 1)
-        failure = np.log10(mass / (seen + mass)) + log_p
-        arc = np.log10((counts[i] + mass * 10.0 ** log_p) / (seen + mass))
-        log_p = np.where(inside, np.where(counts[i] > 0, arc, failure), log_p)
-    return uni, log_p
+    words: int
+    start: int              # where a text starts: the end token's state
+    arc: np.ndarray
+    arc_log: np.ndarray
+    arc_to: np.ndarray
+    fail_log: np.ndarray
+    fail_to: np.ndarray
+    unknown: float          # weight of a word without an arc at state 0, which it leads to
+
+
+def build(levels: list[Level], first: np.ndarray, n: int, v: int, mass: float) -> Automaton:
+    """Automaton of the n-grams of ``levels`` (shortest first); ``first`` marks text starts."""
+    norm = n + 0.5 * (v + 1)
+    word = levels[0].number
+    end = word[-1]                                  # each text closes with the end token
+    state, log_p = [], []                           # per level and n-gram
+    fail_to, fail_log = [np.zeros(1, np.int64)], [np.zeros(1)]
+    arcs, logs, targets, states = [], [], [], 1
+    for i, x in enumerate(levels):
+        seen = x.counts > 0
+        at = x.place
+        if i == 0:
+            suffix = history = None
+            weight = np.log10((x.counts + 0.5) / norm)
+        else:
+            suffix = levels[i - 1].number[at]
+            history = levels[i - 1].number[at - 1]
+            if i == 1:
+                history = np.where(first[at], end, history)
+            weight = np.log10((x.counts + mass * 10.0 ** log_p[i - 1][suffix])
+                              / (levels[i - 1].counts[history] + mass))
+        log_p.append(weight)
+        longest = i == len(levels) - 1
+        if longest:
+            own = state[i - 1][suffix] if i else np.zeros(len(seen), np.int64)
+        else:
+            own = np.where(seen, states - 1 + np.cumsum(seen), 0)
+            states += int(seen.sum())
+            fail_to.append((state[i - 1][suffix] if i else np.zeros(len(seen), np.int64))[seen])
+            fail_log.append(np.log10(mass / (x.counts[seen] + mass)))
+        state.append(own)
+        source = state[i - 1][history] if i else np.zeros(len(seen), np.int64)
+        arcs.append((source * len(levels[0].counts) + word[at])[seen])
+        logs.append(weight[seen])
+        targets.append(own[seen])
+    arc = np.concatenate(arcs)
+    order = np.argsort(arc)
+    start = int(state[0][end]) if len(levels) > 1 else 0
+    return Automaton(len(levels[0].counts), start, arc[order], np.concatenate(logs)[order],
+                     np.concatenate(targets)[order], np.concatenate(fail_log),
+                     np.concatenate(fail_to), float(np.log10(0.5 / norm)))
+
+
+def advance(a: Automaton, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(states after reading one word in each given state, weights of the arcs taken)."""
+    state, weight = state.copy(), np.zeros(len(state))
+    todo = np.arange(len(state))
+    while len(todo):
+        here = state[todo]
+        sought = here * a.words + word[todo]
+        at = np.searchsorted(a.arc, sought)
+        hit = at < len(a.arc)
+        hit[hit] = a.arc[at[hit]] == sought[hit]
+        taken = todo[hit]
+        weight[taken] += a.arc_log[at[hit]]
+        state[taken] = a.arc_to[at[hit]]
+        lost = ~hit & (here == 0)
+        weight[todo[lost]] += a.unknown
+        back = ~hit & (here != 0)
+        weight[todo[back]] += a.fail_log[here[back]]
+        state[todo[back]] = a.fail_to[here[back]]
+        todo = todo[back]
+    return state, weight
+
+
+def traverse(a: Automaton, word: np.ndarray, sizes: np.ndarray, order: int,
+             stretch: int = STRETCH) -> np.ndarray:
+    """Weight of each position, from one left-to-right pass over every text.
+
+    Texts advance side by side, a word a step, each with its own state. A long text is cut
+    into stretches: reading the ``order - 1`` words before a stretch from the empty history
+    leads to the state that the whole text before it leads to.
+    """
+    stretch = max(stretch, order)
+    begin = np.cumsum(sizes) - sizes
+    cuts = -(-sizes // stretch)
+    which = np.repeat(np.arange(len(sizes)), cuts)
+    nth = np.arange(len(which)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+    at = begin[which] + nth * stretch
+    stop = np.minimum(at + stretch, begin[which] + sizes[which])
+    warm = np.where(nth > 0, order - 1, 0)
+    at = at - warm
+    by_length = np.argsort(at - stop, kind="stable")
+    at, warm = at[by_length], warm[by_length]
+    length = stop[by_length] - at
+    state = np.where(nth[by_length] == 0, a.start, 0)
+    out = np.zeros(len(word))
+    for t in range(int(length[0]) if len(length) else 0):
+        live = int(np.searchsorted(-length, -t, side="left"))
+        here = at[:live] + t
+        state[:live], weight = advance(a, state[:live], word[here])
+        counted = warm[:live] <= t
+        out[here[counted]] = weight[counted]
+    return out
 
 
 def score_texts(docs: DataFrame, model: Backoff | None = None, id_col: str = "doc_id",
@@ -199,29 +305,32 @@ def score_texts(docs: DataFrame, model: Backoff | None = None, id_col: str = "do
     state = answers.where("block = -1 AND gram = 0").agg(F.sum("types"), F.sum("tokens")).first()
     v, n = int(state[0] or 0), int(state[1] or 0)
 
-    def traverse(texts: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+    def score(texts: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         if not len(texts):
             return pd.DataFrame(columns=names)
         h, sizes = read(texts["text"])
         train = np.repeat((~texts["held_out"]).to_numpy(np.float64), sizes)
-        grams, counts = gram_keys(h, sizes, order), []
-        for i, (key, inside) in enumerate(grams):
+        levels = []
+        for i, (key, inside) in enumerate(gram_keys(h, sizes, order)):
             k, c, where = count_keys(key[inside], train[inside])
             for keys, totals in told.loc[told["gram"] == i, ["keys", "totals"]].itertuples(
                     index=False):
                 c[np.searchsorted(k, unplanes(keys))] = np.frombuffer(totals, dtype="<u8")
-            at = np.zeros(len(key), dtype=np.int64)
-            at[inside] = c[where]
-            counts.append(at)
-        uni, log_p = walk(grams, counts, sizes, n, v, mass)
+            levels.append(level(key, inside, where, c))
         starts = np.cumsum(sizes) - sizes
+        first = np.zeros(len(h), dtype=bool)
+        first[starts] = True
+        word, counts = levels[0].number, levels[0].counts
+        log_p = traverse(build(levels, first, n, v, mass), word, sizes, order)
+        base = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))[word]
         return pd.DataFrame({
             "doc_id": texts["doc_id"].array, "held_out": texts["held_out"].array,
-            "n_tokens": sizes, "n_known": np.add.reduceat((counts[0] > 0).astype(np.int64), starts),
-            "train_tokens": n, "base_score": np.add.reduceat(uni, starts),
+            "n_tokens": sizes,
+            "n_known": np.add.reduceat((counts > 0)[word].astype(np.int64), starts),
+            "train_tokens": n, "base_score": np.add.reduceat(base, starts),
             "score": np.add.reduceat(log_p, starts)})[names]
 
     names = [c.split()[0] for c in SCORED.split(", ")]
     told = answers.where("block >= 0").select("block", "gram", "keys", "totals")
-    scored = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(traverse, SCORED)
+    scored = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(score, SCORED)
     return scored.withColumn("doc_id", F.col("doc_id").cast("long"))

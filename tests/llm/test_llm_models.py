@@ -107,7 +107,7 @@ def brute_lm(rows, order, mass):
     return out
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_language_model_matches_brute_force(spark, order):
     rows = [(r["doc_id"], r["text"]) for r in
             table(spark, "documents", "/root/testdata/sf0.001").collect()]
@@ -124,6 +124,57 @@ def test_language_model_matches_brute_force(spark, order):
     assert all(r["held_out"] == (fold(r["doc_id"]) == 1) for r in got)
 
 
+def small_automaton(texts, order, mass=2.0, unread=()):
+    """Automaton that learns from ``texts`` and visits ``unread``, too."""
+    h, sizes = lm.read([*texts, *unread])
+    train = np.repeat(np.arange(len(sizes)) < len(texts), sizes).astype(float)
+    first = np.zeros(len(h), dtype=bool)
+    first[np.cumsum(sizes) - sizes] = True
+    levels, totals = [], []
+    for key, inside in lm.gram_keys(h, sizes, order):
+        k, c, where = lm.count_keys(key[inside], train[inside])
+        levels.append(lm.level(key, inside, where, c))
+        totals.append(c)
+    built = lm.build(levels, first, int(totals[0].sum()), int((totals[0] > 0).sum()), mass)
+    return built, levels[0].number, sizes
+
+
+def test_automaton_follows_arcs_then_failures():
+    a, word, sizes = small_automaton(["a b a c", "a b"], 3, unread=["z"])
+    # The empty history, 4 words with the end token, 6 pairs.
+    assert len(a.fail_to) == 1 + 4 + 6 and a.fail_to[a.start] == 0 and a.start > 0
+    wa, wc, wz = word[0], word[3], word[8]
+    state, weight = lm.advance(a, np.array([a.start]), np.array([wa]))
+    i = np.searchsorted(a.arc, a.start * a.words + wa)
+    assert state[0] == a.arc_to[i] and weight[0] == a.arc_log[i]
+    # No arc c after "end a": two failures (to "a", which has a c arc) make one.
+    after, weight = lm.advance(a, state, np.array([wc]))
+    to = a.fail_to[state[0]]
+    j = np.searchsorted(a.arc, to * a.words + wc)
+    assert a.arc[j] == to * a.words + wc and after[0] == a.arc_to[j]
+    assert weight[0] == pytest.approx(a.fail_log[state[0]] + a.arc_log[j])
+    # A word that nothing holds falls to the empty history.
+    lost, weight = lm.advance(a, state, np.array([wz]))
+    assert lost[0] == 0 and weight[0] < a.unknown
+    # From every state the words and the unknown one sum to one; no text goes on behind
+    # a pair that the end token closes.
+    closed = set(a.arc_to[a.arc % a.words == word[4]]) - {a.start}
+    assert len(closed) == 2
+    for s in set(range(len(a.fail_to))) - closed:
+        w = lm.advance(a, np.full(a.words, s), np.arange(a.words))[1]
+        assert (10 ** w).sum() == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_stretches_read_like_whole_texts(order):
+    g = np.random.default_rng(order)
+    texts = [" ".join(f"w{x}" for x in g.integers(0, 9, n)) for n in (0, 1, 2, 3, 40, 700, 5, 64)]
+    a, word, sizes = small_automaton(texts, order)
+    whole = lm.traverse(a, word, sizes, order, stretch=10_000)
+    for stretch in (1, 2, 5, 64):
+        assert (lm.traverse(a, word, sizes, order, stretch) == whole).all()
+
+
 def test_language_model_awkward_rows(spark):
     got = lm.score_texts(awkward(spark)).collect()
     assert len(got) == 8 and all(r["score"] <= 0 for r in got)
