@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from lodgeframe.llm.common import fold, materialize
 
 END = b"\n"          # no word holds a newline
-BLOCK_CHARS = 10_000_000
+BLOCK_CHARS = 8_000_000
 STRETCH = 512
 KEY_BITS = 56
 MAX_BLOCKS = 100_000   # beyond, blocks grow: each block sends one message to each range
@@ -134,9 +134,9 @@ class Level:
 
 
 def level(key: np.ndarray, inside: np.ndarray, where: np.ndarray, counts: np.ndarray) -> Level:
-    number = np.full(len(key), -1, dtype=np.int64)
+    number = np.full(len(key), -1, dtype=np.int32)      # a block has far fewer positions
     number[inside] = where
-    place = np.zeros(len(counts), dtype=np.int64)
+    place = np.zeros(len(counts), dtype=np.int32)
     place[where] = np.flatnonzero(inside)
     return Level(counts, number, place)
 
@@ -189,16 +189,16 @@ def build(levels: list[Level], first: np.ndarray, n: int, v: int, mass: float) -
             fail_to.append((state[i - 1][suffix] if i else np.zeros(len(seen), np.int64))[seen])
             fail_log.append(np.log10(mass / (x.counts[seen] + mass)))
         state.append(own)
-        source = state[i - 1][history] if i else np.zeros(len(seen), np.int64)
-        arcs.append((source * len(levels[0].counts) + word[at])[seen])
+        source = state[i - 1][history[seen]] if i else 0
+        arcs.append(source * len(levels[0].counts) + word[at[seen]].astype(np.int64))
         logs.append(weight[seen])
-        targets.append(own[seen])
+        targets.append(own[seen].astype(np.int32))
     arc = np.concatenate(arcs)
     order = np.argsort(arc)
     start = int(state[0][end]) if len(levels) > 1 else 0
     return Automaton(len(levels[0].counts), start, arc[order], np.concatenate(logs)[order],
                      np.concatenate(targets)[order], np.concatenate(fail_log),
-                     np.concatenate(fail_to), float(np.log10(0.5 / norm)))
+                     np.concatenate(fail_to).astype(np.int32), float(np.log10(0.5 / norm)))
 
 
 def advance(a: Automaton, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -206,7 +206,7 @@ def advance(a: Automaton, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarr
     state, weight = state.copy(), np.zeros(len(state))
     todo = np.arange(len(state))
     while len(todo):
-        here = state[todo]
+        here = state[todo].astype(np.int64)
         sought = here * a.words + word[todo]
         at = np.searchsorted(a.arc, sought)
         hit = at < len(a.arc)
@@ -310,18 +310,24 @@ def score_texts(docs: DataFrame, model: Backoff | None = None, id_col: str = "do
             return pd.DataFrame(columns=names)
         h, sizes = read(texts["text"])
         train = np.repeat((~texts["held_out"]).to_numpy(np.float64), sizes)
-        levels = []
-        for i, (key, inside) in enumerate(gram_keys(h, sizes, order)):
+        starts = np.cumsum(sizes) - sizes
+        first = np.zeros(len(h), dtype=bool)
+        first[starts] = True
+        levels, grams = [], gram_keys(h, sizes, order)
+        del h
+        for i in range(order):
+            key, inside = grams[i]
             k, c, where = count_keys(key[inside], train[inside])
+            grams[i] = None                 # each length's keys go once they are numbered
             for keys, totals in told.loc[told["gram"] == i, ["keys", "totals"]].itertuples(
                     index=False):
                 c[np.searchsorted(k, unplanes(keys))] = np.frombuffer(totals, dtype="<u8")
             levels.append(level(key, inside, where, c))
-        starts = np.cumsum(sizes) - sizes
-        first = np.zeros(len(h), dtype=bool)
-        first[starts] = True
+        del key, inside, where, k, train
         word, counts = levels[0].number, levels[0].counts
-        log_p = traverse(build(levels, first, n, v, mass), word, sizes, order)
+        automaton = build(levels, first, n, v, mass)
+        del levels
+        log_p = traverse(automaton, word, sizes, order)
         base = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))[word]
         return pd.DataFrame({
             "doc_id": texts["doc_id"].array, "held_out": texts["held_out"].array,
