@@ -332,6 +332,20 @@ def _language_ctes(train: str, docs: str, key: str, text: str) -> tuple[str, ...
             "found AS (SELECT key, lang FROM ranked WHERE rn = 1)")
 
 
+PARADIGMS = ("""vocabulary AS (
+  SELECT DISTINCT w AS word FROM (
+    SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM documents WHERE lang = 'en')
+  WHERE w <> '')""", """attested AS (
+  SELECT v.word, form || '>' || ending_of_lemma AS rule, lemma, right(lemma, 2) AS ending,
+    EXISTS (SELECT 1 FROM vocabulary k WHERE k.word = lemma) AS seen
+  FROM (SELECT word, form, ending_of_lemma,
+      left(word, length(word) - length(form)) || ending_of_lemma AS lemma
+    FROM vocabulary JOIN (VALUES ('s', ''), ('es', ''), ('ies', 'y'), ('ves', 'f'), ('ves', 'fe'),
+      ('men', 'man')) r(form, ending_of_lemma) ON word LIKE '%' || form) v
+  WHERE length(lemma) >= 3)""", """paradigms AS (
+  SELECT rule, ending, count(*) AS tries, count_if(seen)::BIGINT AS support
+  FROM attested GROUP BY rule, ending)""")
+
 MODEL_ALL = """cleaned_all AS (
   SELECT t.*, f.* EXCLUDE (listing_id) FROM typed t JOIN features_all f ON t.id = f.listing_id)"""
 
@@ -544,6 +558,13 @@ FROM held h LEFT JOIN found f ON f.key = h.doc_id GROUP BY ALL"""
   AS DECIMAL(32,18)) + 1) * 2.5::DOUBLE, 6) AS score FROM en_reviews r LEFT JOIN pol p ON r.id = p.id"""
     q["lemma_forms"] = _with("""names AS (
   SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part)""") + _forms("names")
+    q["lemma_paradigms"] = _with(*PARADIGMS) + "SELECT * FROM paradigms"
+    q["induced_lemmas"] = _with(*PARADIGMS) + """SELECT word, lemma, rule, seen FROM (
+  SELECT *, row_number() OVER (PARTITION BY word ORDER BY seen DESC, support DESC,
+    length(lemma) DESC, lemma, rule) AS rn
+  FROM attested JOIN paradigms USING (rule, ending)
+  WHERE support >= 3 AND ((seen AND support * 100 >= tries * 20) OR support * 100 >= tries * 80))
+WHERE rn = 1"""
     q["topk_per_reviewer"] = _with(*text_ctes, LEXICON, SCORES) + """SELECT reviewer_id,
   listing_id, id, score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT reviewer_id, listing_id, id, round(score, 6) AS score,

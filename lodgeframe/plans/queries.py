@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgeframe.functions import parse as P
-from lodgeframe.operators import geo, gram as G, language as LM, listings as L, model as M, profit, recommend as R
+from lodgeframe.operators import geo, gram as G, language as LM, listings as L, model as M, paradigms as PD, profit, recommend as R
 from lodgeframe.operators import summaries as S, text as TX
 from lodgeframe.session import configure
 from lodgeframe.sources import catalogue, fixtures as FX
@@ -206,6 +206,20 @@ def q_lemma_forms(spark, d):
     return TX.noun_forms(names)
 
 
+def _english_words(spark, d):
+    return PD.vocabulary(FX.read_table(spark, d, "documents").where(F.col("lang") == "en"))
+
+
+def q_lemma_paradigms(spark, d):
+    """Suffix paradigms of the English documents' vocabulary."""
+    return PD.paradigms(_english_words(spark, d))
+
+
+def q_induced_lemmas(spark, d):
+    """Lemmas that these paradigms give to the words of the English documents."""
+    return PD.induced_lemmas(_english_words(spark, d))
+
+
 def q_topk_per_reviewer(spark, d):
     s = _scores(spark, d).select("reviewer_id", "listing_id", "id",
                                  F.round("score", 6).alias("score"))
@@ -394,6 +408,8 @@ QUERIES: dict[str, Query] = {
     "review_score": q_review_score,
     "review_score_corpus": q_review_score_corpus,
     "lemma_forms": q_lemma_forms,
+    "lemma_paradigms": q_lemma_paradigms,
+    "induced_lemmas": q_induced_lemmas,
     "topk_per_reviewer": q_topk_per_reviewer,
     "link_catalogue": q_link_catalogue,
     "catalogue_rows": q_catalogue_rows,
