@@ -12,6 +12,7 @@ from __future__ import annotations
 from lodgeframe.functions.geo import EARTH_RADIUS_M, FOOD_KINDS, INTEREST_KEYS, SHOP_KINDS
 from lodgeframe.functions.parse import AMENITY_PHRASES, TENURE_AS_OF, WS_CLASS
 from lodgeframe.functions.text import AUTOMATED_MARKER
+from lodgeframe.operators import polarity as polarity_ops
 from lodgeframe.operators import text as text_ops
 from lodgeframe.operators.geo import FEATURE_SPECS
 from lodgeframe.operators.model import (CATEGORICAL, CV_FOLDS, CV_REG_PARAMS, GLM_REG_PARAM,
@@ -227,6 +228,32 @@ PREPARED = f"""prepared AS (
 STOP_WORDS = f"stop_words AS {_values([(w,) for w in text_ops.ENGLISH_STOP_WORDS], ['word'])}"
 
 
+def _spread(steps: int) -> tuple[str, ...]:
+    """CTEs of the lexicon spread over neighbouring words: ``lexicon`` (word, polarity, seed)."""
+    ctes = [f"""seeds AS (
+  SELECT word, ((length(word) * 7 + (length(word) - length(replace(word, 'e', ''))) * 5) % 21 - 10)
+    / 10.0::DOUBLE AS polarity FROM (
+    SELECT DISTINCT regexp_replace(unnest({_tokens_list('lower(text)')}), '{PUNCT_RE}', '', 'g')
+      AS word FROM documents) WHERE length(word) % 3 = 1)""", f"""lists AS (
+  SELECT list_filter(list_transform({_tokens_list('lower(text)')},
+      lambda x: regexp_replace(x, '{PUNCT_RE}', '', 'g')),
+    lambda x: x <> '' AND x NOT IN ({', '.join(map(_q, text_ops.ENGLISH_STOP_WORDS))})) AS w
+  FROM documents WHERE lang = 'en')""", """pairs AS (
+  SELECT unnest(w[:-2]) AS a, unnest(w[2:]) AS b FROM lists WHERE len(w) > 1)""", """edges AS (
+  SELECT word, other, count(*) AS n FROM (SELECT a AS word, b AS other FROM pairs WHERE a <> b
+    UNION ALL SELECT b, a FROM pairs WHERE a <> b) GROUP BY word, other)""", """free AS (
+  SELECT word, sum(n) AS total FROM edges WHERE word NOT IN (SELECT word FROM seeds)
+  GROUP BY word)""", "step0 AS (SELECT word, 0.0::DOUBLE AS polarity FROM free)"]
+    for k in range(1, steps + 1):
+        known = "(SELECT * FROM seeds" + (f" UNION ALL SELECT * FROM step{k - 1})" if k > 1 else ")")
+        ctes.append(f"""step{k} AS (
+  SELECT f.word, round(coalesce(s, 0.0::DOUBLE) / total, 12) AS polarity FROM free f LEFT JOIN (
+    SELECT e.word, sum(n * polarity) AS s FROM edges e JOIN {known} k ON k.word = e.other
+    GROUP BY e.word) t ON t.word = f.word)""")
+    return (*ctes, f"""lexicon AS (SELECT word, polarity, true AS seed FROM seeds
+  UNION ALL SELECT word, polarity, false FROM step{steps})""")
+
+
 def _forms(nouns: str) -> str:
     """Plural forms of the rows of ``nouns`` (word) that are no noun themselves."""
     return f"""SELECT form AS word, min(word) AS lemma FROM (
@@ -565,6 +592,23 @@ FROM held h LEFT JOIN found f ON f.key = h.doc_id GROUP BY ALL"""
   FROM attested JOIN paradigms USING (rule, ending)
   WHERE support >= 3 AND ((seen AND support * 100 >= tries * 20) OR support * 100 >= tries * 80))
 WHERE rn = 1"""
+    q["lexicon_spread"] = _with(*_spread(3)) + \
+        "SELECT word, round(polarity::DECIMAL(20, 12), 6)::DOUBLE AS polarity, seed FROM lexicon"
+    degrees = _values(polarity_ops.DEGREES, ["word", "degree"])
+    negators = _values([(w,) for w in text_ops.NEGATORS], ["word"])
+    q["review_polarity_scoped"] = _with(
+        *_spread(3), REVIEWS, PREPARED, f"degrees AS {degrees}",
+        f"negators AS {negators}", f"""said AS (
+  SELECT id, unnest(w) AS token, unnest([''] || w) AS b1, unnest(['', ''] || w) AS b2 FROM (
+    SELECT id, list_filter(list_transform({_tokens_list('comments')},
+      lambda x: regexp_replace(x, '{PUNCT_RE}', '', 'g')), lambda x: x <> '') AS w FROM prepared))""") + \
+        """SELECT id, round(avg(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, polarity * CASE
+    WHEN b1 IN (SELECT word FROM negators) THEN -0.5::DOUBLE
+    WHEN d.degree IS NULL THEN 1.0::DOUBLE
+    WHEN b2 IN (SELECT word FROM negators) THEN -0.5::DOUBLE / d.degree
+    ELSE d.degree * coalesce(e.degree, 1.0::DOUBLE) END))), 6) AS polarity, count(*) AS words
+FROM said JOIN lexicon x ON x.word = token LEFT JOIN degrees d ON d.word = b1
+  LEFT JOIN degrees e ON e.word = b2 GROUP BY id"""
     q["topk_per_reviewer"] = _with(*text_ctes, LEXICON, SCORES) + """SELECT reviewer_id,
   listing_id, id, score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT reviewer_id, listing_id, id, round(score, 6) AS score,

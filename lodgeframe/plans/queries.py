@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgeframe.functions import parse as P
-from lodgeframe.operators import geo, gram as G, language as LM, listings as L, model as M, paradigms as PD, profit, recommend as R
+from lodgeframe.operators import geo, gram as G, language as LM, listings as L, model as M, paradigms as PD, polarity as PO, profit, recommend as R
 from lodgeframe.operators import summaries as S, text as TX
 from lodgeframe.session import configure
 from lodgeframe.sources import catalogue, fixtures as FX
@@ -220,6 +220,25 @@ def q_induced_lemmas(spark, d):
     return PD.induced_lemmas(_english_words(spark, d))
 
 
+def _spread_lexicon(spark, d):
+    docs = FX.read_table(spark, d, "documents").where(F.col("lang") == "en")
+    return PO.spread(PO.neighbours(docs), FX.review_lexicon(spark, d))
+
+
+def q_lexicon_spread(spark, d):
+    """The fixture's lexicon spread over the words of the English documents."""
+    return _spread_lexicon(spark, d).select(
+        "word", F.round(F.col("polarity").cast("decimal(20,12)"), 6).cast("double").alias("polarity"),
+        "seed")
+
+
+def q_review_polarity_scoped(spark, d):
+    """Polarity of every review with the spread lexicon, intensifiers and negators in scope."""
+    toks = PO.scoped_tokens(TX.by_id(TX.prepare_reviews(FX.reviews(spark, d))))
+    return PO.scoped_polarity(toks, _spread_lexicon(spark, d)).select(
+        "id", F.round("polarity", 6).alias("polarity"), "words")
+
+
 def q_topk_per_reviewer(spark, d):
     s = _scores(spark, d).select("reviewer_id", "listing_id", "id",
                                  F.round("score", 6).alias("score"))
@@ -410,6 +429,8 @@ QUERIES: dict[str, Query] = {
     "lemma_forms": q_lemma_forms,
     "lemma_paradigms": q_lemma_paradigms,
     "induced_lemmas": q_induced_lemmas,
+    "lexicon_spread": q_lexicon_spread,
+    "review_polarity_scoped": q_review_polarity_scoped,
     "topk_per_reviewer": q_topk_per_reviewer,
     "link_catalogue": q_link_catalogue,
     "catalogue_rows": q_catalogue_rows,

@@ -28,7 +28,7 @@ def test_no_python_udf(spark, name):
 UNLIMITED = {"listing_poi_features_all", "cleaned_listing_all"}
 MODEL = {"label_index", "price_ridge_1f", "price_rmse_1f", "price_cv_1f", "price_glm_2f",
          "price_glm_predict", "price_glm_rmse", "price_glm_cv", "price_glm_profit",
-         "review_language_model", "language_held_out",
+         "review_language_model", "language_held_out", "lexicon_spread", "review_polarity_scoped",
          "als_split", "als_recommend_facts", "als_recommend_users"}
 TABLES_READ = {"radius_pairs": 3, "listing_poi_features": 3,
                "listing_poi_features_cells": 3, "nearest_shop": 3, "cleaned_listing": 4, "optimise": 5,
