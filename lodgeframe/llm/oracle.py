@@ -31,7 +31,9 @@ WITH d AS (
   SELECT rid, sum(length(regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g'))) AS c FROM lw
   WHERE NOT (n < 10 AND NOT regexp_matches(x, '[.!?…。"''”’»)\]:;]\z'))
     AND NOT marks * 100 > n * 20
-    AND NOT (len(regexp_extract_all(x, '[|»•·]')) > 2 OR contains(x, '{')
+    AND NOT ((len(regexp_extract_all(x, '[|»•·]')) > 2
+        AND len(regexp_extract_all(x, '[|»•·]')) * 100 > n * 4)
+      OR len(regexp_extract_all(x, '[{]')) * 100 > n * 5
       OR regexp_matches(x, '(?i)^(home|menu|login|log in|sign in|sign up|register|search|contact|contact us|about|about us|faq|help|sitemap|next|previous|back|top|share|print|read more|more|skip to content|privacy|privacy policy|terms|terms of use)[.!:]?\z'))
     AND NOT (n <= 30 AND regexp_matches(x, '(?i)(lorem ipsum|javascript|enable cookies|use cookies|cookie policy|all rights reserved|terms of use|terms and conditions|privacy policy|click here|subscribe to our newsletter|sign up for our|follow us on|share this|powered by wordpress)'))
   GROUP BY rid

@@ -41,7 +41,9 @@ class Rules:
     max_repeat_percent: int = 50
     short_line_words: int = 10        # shorter lines must close a sentence
     max_mark_percent: int = 20        # runs of symbols or of "!!" for each 100 words of a line
-    max_separators: int = 2
+    max_separators: int = 2           # a line with more of them, and ...
+    max_separator_percent: int = 4    # ... with more for each 100 words, is navigation
+    max_brace_percent: int = 5        # braces for each 100 words of a line
     max_boilerplate_words: int = 30   # longer lines that mention a phrase are prose
     max_lost_percent: int = 50        # of the characters in words
 
@@ -104,7 +106,10 @@ def line_fails(line: Column, r: Rules) -> Column:
         separators = F.regexp_count(line, F.lit(SEPARATORS))
         punctuation = ((n < r.short_line_words) & ~F.right(line, F.lit(1)).isin(*CLOSED)) | \
             (marks * 100 > n * r.max_mark_percent)
-        navigation = (separators > r.max_separators) | line.rlike(MENU) | line.contains("{")
+        braces = F.regexp_count(line, F.lit("[{]"))
+        navigation = ((separators > r.max_separators)
+                      & (separators * 100 > n * r.max_separator_percent)) | \
+            (braces * 100 > n * r.max_brace_percent) | line.rlike(MENU)
         boilerplate = (n <= r.max_boilerplate_words) & line.rlike(BOILERPLATE)
         return punctuation | navigation | boilerplate
     return let(F.regexp_count(line, F.lit(WORD_BREAK)) + 1, judge)

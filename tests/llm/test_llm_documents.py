@@ -90,6 +90,14 @@ TRICKY = ["a@b.c_d@e.f x", "a@b c.d@e.f.", "é𝒳 me.you@x-y.co.uk,", "1.2.3.4.
           "1" * 5000, "a." * 3000 + "@b", None, "", "00000000000000"]
 
 
+def test_navigation_is_judged_by_a_line_s_length(spark):
+    prose = " ".join(f"word{i}" for i in range(120))
+    texts = [f"{prose} • one • two • three {{x}} end.", "Home | News | Sport | Mail ends here so.",
+             "A short line of ten words or more with { a brace.", f"{prose} {'| ' * 9}end."]
+    got = rules.apply_rules(doc_frame(spark, texts)).orderBy("doc_id").collect()
+    assert [r["clean_text"] != "" for r in got] == [True, False, False, False]
+
+
 def test_base_spans_match_brute_force(spark):
     got = pii.digest(pii.find(doc_frame(spark, TRICKY))).orderBy("doc_id").collect()
     for t, r in zip(TRICKY, got):
