@@ -45,5 +45,5 @@ def cleaned_listing(listings: DataFrame, pois: DataFrame, *, keep_missing: bool
     typed = parse_listings(listings)
     feats = geo.poi_features(geo.listing_locations(listings), pois,
                              keep_missing=keep_missing, pair_budget=pair_budget)
-    joined = typed.join(feats.withColumnRenamed("listing_id", "id"), "id", "inner")
+    joined = typed.join(feats.withColumnRenamed("listing_id", "id").hint("merge"), "id", "inner")
     return joined.select(*CLEANED_COLUMNS)

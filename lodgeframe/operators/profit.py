@@ -132,5 +132,5 @@ def optimise(requests: DataFrame, pois: DataFrame, predict: Callable, *,
     within its radius gives no row.
     """
     feats = geo.poi_features(requests.select(F.col(HOST).alias("listing_id"), "lat", "lon"), pois)
-    ready = requests.join(feats.withColumnRenamed("listing_id", HOST), HOST)
+    ready = requests.join(feats.withColumnRenamed("listing_id", HOST).hint("merge"), HOST)
     return (profit_curve if whole_curve else best_price)(ready, predict, steps)
