@@ -1,10 +1,9 @@
 """Language identification by character n-grams (N1): naive Bayes counted and scored with joins.
 
 Training counts the n-grams of labelled texts per language. A gram that a language lacks
-costs that language its default, so scoring adds up only the pairs (gram, language) that
-training saw: one join on the gram and one sum per text and language. The number of all
-grams of a text travels as the count of the empty gram, whose model rows hold each
-language's prior and default. Grams are taken inside words, so no array is longer than a
+costs that language its default, so scoring adds up only what training saw: one join on the
+gram, whose row holds its gain in each language, and one sum per text. The model rows of
+the empty gram hold each language's prior and default. Grams are taken inside words, so no array is longer than a
 word.
 """
 
@@ -36,17 +35,22 @@ def _word_grams(word: Column, size: int) -> Column:
     return F.get(F.transform(F.array(chars), cut), F.lit(0))
 
 
+def _cut_words(docs: DataFrame, key: str, text_col: str, size: int) -> DataFrame:
+    """(key, _n, _g): the distinct words of a key with their count and their n-grams."""
+    letters = F.trim(F.regexp_replace(F.lower(F.col(text_col)), r"[^\p{L}\p{M}]+", " "))
+    words = docs.select(key, F.explode(F.split(letters, " ")).alias("_word")) \
+        .where(F.col("_word") != "").groupBy(key, "_word").agg(F.count(F.lit(1)).alias("_n"))
+    return words.select(key, "_n", _word_grams(F.col("_word"), size).alias("_g")) \
+        .where(F.size("_g") > 0)
+
+
 def gram_counts(docs: DataFrame, key: str, text_col: str, size: int = GRAM) -> DataFrame:
     """(key, gram, n): n-grams of the words (runs of letters and marks, lower-cased).
 
     The empty gram has the number of all. Words are counted before they are cut, so a
     frequent word is cut once a key; keys without a gram have no row.
     """
-    letters = F.trim(F.regexp_replace(F.lower(F.col(text_col)), r"[^\p{L}\p{M}]+", " "))
-    words = docs.select(key, F.explode(F.split(letters, " ")).alias("_word")) \
-        .where(F.col("_word") != "").groupBy(key, "_word").agg(F.count(F.lit(1)).alias("_n"))
-    cut = words.select(key, "_n", _word_grams(F.col("_word"), size).alias("_g")) \
-        .where(F.size("_g") > 0)
+    cut = _cut_words(docs, key, text_col, size)
     pairs = F.concat(
         F.transform("_g", lambda g: F.struct(g.alias("gram"), F.col("_n").alias("n"))),
         F.array(F.struct(F.lit(EVERY).alias("gram"), (F.col("_n") * F.size("_g")).alias("n"))))
@@ -77,9 +81,24 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
 def scores(docs: DataFrame, model: DataFrame, id_col: str = "id", text_col: str = "comments",
            size: int = GRAM) -> DataFrame:
     """(id, lang, score): log prior and likelihood of every text with a gram, per language."""
-    grams = gram_counts(by_id(docs.select(id_col, text_col), id_col), id_col, text_col, size)
-    return grams.join(model, "gram").groupBy(id_col, "lang").agg(
-        F.sum(F.col("base") + F.col("n") * F.col("gain")).alias("score"))
+    # A row a language: the priors and defaults.
+    langs = model.where(F.col("gram") == EVERY).orderBy("lang").collect()
+    # One row a gram holds its gain in each language, so a text's gram meets one row and
+    # sums need no gram as their key.
+    gains = model.where(F.col("gram") != EVERY).groupBy(F.col("gram").alias("_gram")).agg(*[
+        F.sum(F.when(F.col("lang") == r["lang"], F.col("gain"))).alias(f"_l{i}")
+        for i, r in enumerate(langs)] or [F.lit(0.0).alias("_none")])
+    grams = _cut_words(by_id(docs.select(id_col, text_col), id_col), id_col, text_col, size) \
+        .select(id_col, "_n", F.explode("_g").alias("_gram"))
+    sums = grams.join(gains, "_gram", "left").groupBy(id_col).agg(
+        F.sum("_n").alias("_all"),
+        *[F.coalesce(F.sum(F.col("_n") * F.col(f"_l{i}")), F.lit(0.0)).alias(f"_l{i}")
+          for i in range(len(langs))])
+    each = [F.struct(F.lit(r["lang"]).alias("lang"), (
+        F.lit(r["base"]) + F.col("_all") * F.lit(r["gain"]) + F.col(f"_l{i}")).alias("score"))
+        for i, r in enumerate(langs)]
+    return sums.select(id_col, F.inline(
+        F.array(*each) if each else F.array().cast("array<struct<lang:string,score:double>>")))
 
 
 def identify(docs: DataFrame, model: DataFrame, id_col: str = "id", text_col: str = "comments",
