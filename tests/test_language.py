@@ -77,3 +77,14 @@ def test_empty_tables_and_long_texts(spark):
     assert {r["id"]: r["lang"] for r in LM.identify(docs, model).collect()}[1] == "en"
     none = LM.train(labelled.limit(0))
     assert {r["lang"] for r in LM.identify(docs, none).collect()} == {"und"}
+
+
+def test_scoring_sums_per_text_without_the_gram_as_key(spark):
+    """A text's grams meet one model row each, with the gains of all languages."""
+    docs = spark.createDataFrame([(1, "en", "the cat sat"), (2, "fr", "le chat dort")],
+                                 "id long, lang string, comments string")
+    model = LM.train(docs, "comments")
+    plan = LM.scores(docs, model)._jdf.queryExecution().optimizedPlan().toString()
+    keys = [x.split("[")[1].split("]")[0] for x in plan.splitlines() if "Aggregate [" in x]
+    assert not any("id#" in k and "gram#" in k for k in keys)
+    assert plan.count("Join ") == 1

@@ -98,3 +98,13 @@ def test_scopes(spark):
                    4: (1.0, 1), 5: (round(-0.35 / 1.2, 6), 1), 6: (-0.35, 1),
                    11: (round((0.7 - 0.91) / 2, 6), 2), 12: (1.0, 2)}
     assert toks.count() == 25
+
+
+def test_stop_words_are_looked_up_in_a_set(spark):
+    """Texts of punctuation between words keep their words; no list is compared word by word."""
+    docs = spark.createDataFrame([("A fine--day, - it's [the] `best` day\\^_{|}~!",), (None,), ("--",)],
+                                 "text string")
+    got = P.neighbours(docs)
+    assert sorted((r["word"], r["other"], r["n"]) for r in got.where("word < other").collect()) == [
+        ("best", "day", 1), ("best", "fineday", 1)]
+    assert "array_contains" not in got._jdf.queryExecution().optimizedPlan().toString().lower()
