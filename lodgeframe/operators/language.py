@@ -23,25 +23,21 @@ EVERY = ""
 
 def _word_grams(word: Column, size: int) -> Column:
     """The n-grams of one word between blanks; a word too short for one gives none."""
-    chars = F.split(F.concat(F.lit(" "), word, F.lit(" ")), "")
-
-    def cut(c: Column) -> Column:
-        # By position: slice() would copy the whole array for every gram.
-        starts = F.when(F.size(c) >= size, F.sequence(F.lit(0), F.size(c) - size))
-        return F.transform(F.coalesce(starts, F.array().cast("array<int>")),
-                           lambda i: F.concat(*[F.get(c, i + j) for j in range(size)]))
-
-    # The outer lambda binds the characters, which else were split again for every gram.
-    return F.get(F.transform(F.array(chars), cut), F.lit(0))
+    # A character is consumed and the gram from it on looked ahead at: one pass a word.
+    return F.regexp_extract_all(F.concat(F.lit(" "), word, F.lit(" ")),
+                                F.lit(rf"(?s)(?=(.{{{size}}}))."), F.lit(1))
 
 
 def _cut_words(docs: DataFrame, key: str, text_col: str, size: int) -> DataFrame:
-    """(key, _n, _g): the distinct words of a key with their count and their n-grams."""
-    letters = F.trim(F.regexp_replace(F.lower(F.col(text_col)), r"[^\p{L}\p{M}]+", " "))
-    words = docs.select(key, F.explode(F.split(letters, " ")).alias("_word")) \
-        .where(F.col("_word") != "").groupBy(key, "_word").agg(F.count(F.lit(1)).alias("_n"))
-    return words.select(key, "_n", _word_grams(F.col("_word"), size).alias("_g")) \
-        .where(F.size("_g") > 0)
+    """(key, _n, _g): the distinct words of a key with their count and their n-grams.
+
+    Outer explodes, here and on the grams: the optimiser would cut every text and word a
+    second time for a filter before an inner one.
+    """
+    letters = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"[\p{L}\p{M}]++"), F.lit(0))
+    words = docs.select(key, F.explode_outer(letters).alias("_word")) \
+        .where(F.col("_word").isNotNull()).groupBy(key, "_word").agg(F.count(F.lit(1)).alias("_n"))
+    return words.select(key, "_n", _word_grams(F.col("_word"), size).alias("_g"))
 
 
 def gram_counts(docs: DataFrame, key: str, text_col: str, size: int = GRAM) -> DataFrame:
@@ -51,10 +47,11 @@ def gram_counts(docs: DataFrame, key: str, text_col: str, size: int = GRAM) -> D
     frequent word is cut once a key; keys without a gram have no row.
     """
     cut = _cut_words(docs, key, text_col, size)
-    pairs = F.concat(
-        F.transform("_g", lambda g: F.struct(g.alias("gram"), F.col("_n").alias("n"))),
-        F.array(F.struct(F.lit(EVERY).alias("gram"), (F.col("_n") * F.size("_g")).alias("n"))))
-    return cut.select(key, F.inline(pairs)).groupBy(key, "gram").agg(F.sum("n").alias("n"))
+    grams = cut.select(key, "_n", F.size("_g").alias("_size"), F.explode_outer(
+        F.concat("_g", F.array(F.lit(EVERY)))).alias("gram"))
+    n = F.when(F.col("gram") == EVERY, F.col("_n") * F.col("_size")).otherwise(F.col("_n"))
+    return grams.where((F.col("gram") != EVERY) | (F.col("_size") > 0)) \
+        .groupBy(key, "gram").agg(F.sum(n).alias("n"))
 
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
@@ -89,7 +86,7 @@ def scores(docs: DataFrame, model: DataFrame, id_col: str = "id", text_col: str
         F.sum(F.when(F.col("lang") == r["lang"], F.col("gain"))).alias(f"_l{i}")
         for i, r in enumerate(langs)] or [F.lit(0.0).alias("_none")])
     grams = _cut_words(by_id(docs.select(id_col, text_col), id_col), id_col, text_col, size) \
-        .select(id_col, "_n", F.explode("_g").alias("_gram"))
+        .select(id_col, "_n", F.explode_outer("_g").alias("_gram")).where(F.col("_gram").isNotNull())
     sums = grams.join(gains, "_gram", "left").groupBy(id_col).agg(
         F.sum("_n").alias("_all"),
         *[F.coalesce(F.sum(F.col("_n") * F.col(f"_l{i}")), F.lit(0.0)).alias(f"_l{i}")

@@ -88,3 +88,25 @@ def test_scoring_sums_per_text_without_the_gram_as_key(spark):
     keys = [x.split("[")[1].split("]")[0] for x in plan.splitlines() if "Aggregate [" in x]
     assert not any("id#" in k and "gram#" in k for k in keys)
     assert plan.count("Join ") == 1
+
+
+def test_texts_and_words_are_cut_once(spark):
+    """No filter before an explode cuts texts or words a second time."""
+    docs = spark.createDataFrame([(1, "en", "the cat sat"), (2, "fr", "le chat dort")],
+                                 "id long, lang string, comments string")
+    model = LM.train(docs, "comments")
+    for df in (LM.scores(docs, model), LM.gram_counts(docs, "lang", "comments")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all(lower(") == 1 and plan.count("(?=(") == 1
+        assert not any("Filter" in x and ("regexp" in x or "split(" in x) for x in plan.splitlines())
+
+
+def test_grams_are_code_points_between_blanks(spark):
+    docs = spark.createDataFrame([("a", "\U0001d400b, b́ x7x"), ("b", "12 ..."), ("c", None)],
+                                 "k string, text string")
+    got = {(r["k"], r["gram"]): r["n"] for r in LM.gram_counts(docs, "k", "text").collect()}
+    assert got == {("a", " \U0001d400b"): 1, ("a", "\U0001d400b "): 1, ("a", " b́"): 1,
+                   ("a", "b́ "): 1, ("a", " x "): 2, ("a", ""): 6}
+    wide = LM.gram_counts(docs, "k", "text", 4).collect()
+    assert {(r["k"], r["gram"], r["n"]) for r in wide} == {
+        ("a", " \U0001d400b ", 1), ("a", " b́ ", 1), ("a", "", 2)}
