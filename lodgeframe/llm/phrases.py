@@ -11,8 +11,9 @@ are exchanged.
 2. Count: each block sends its phrases with their counts, one row a phrase of a block; sums
    are pre-aggregated before the exchange. Phrases of ``least`` occurrences or more are
    frequent.
-3. Semi-join: a block learns which of its phrases are frequent, and its relation is written
-   anew without the others.
+3. Tell: a block learns which of its phrases are frequent, and its relation is written anew
+   without the others. A word's blocks learn it by a join with the frequent words; a longer
+   phrase's rows meet in one exchange, where a window gives them their sum and number.
 4. Extend: the merge-join of the relation with itself by piece and adjacent position; both
    sides are sorted, so it is one pass over neighbours. A phrase of k + 1 words arises where
    its first and its last k words are frequent. Back to 2, up to ``longest`` words.
@@ -174,10 +175,22 @@ def longer_of(relation: DataFrame) -> DataFrame:
     return relation.mapInArrow(run, "p long, q long, block long, g int, n long")
 
 
-def kept(relation: DataFrame, groups: DataFrame, frequent: DataFrame, keys: list[str],
-         extend: bool) -> DataFrame:
-    """The relation of the frequent groups: names are their ids from now on."""
-    told = groups.select(*keys, "block", "g").join(frequent.select(*keys, "id"), keys)
+def frequent_rows(groups: DataFrame, least: int) -> DataFrame:
+    """(p, q, f, id, block, g): the rows of the frequent longer phrases, numbered by phrase.
+
+    A phrase's number is that of its first row, which alone holds p, q and f. Rows are
+    exchanged once: no join meets them with the sums.
+    """
+    phrase = W.partitionBy("p", "q")
+    rows = groups.withColumn("row", F.monotonically_increasing_id()).withColumns({
+        "f": F.sum("n").over(phrase), "id": F.min("row").over(phrase)})
+    return rows.where(F.col("f") >= least).select(*[
+        F.when(F.col("row") == F.col("id"), F.col(c)).alias(c) for c in ("p", "q", "f")],
+        "id", "block", "g")
+
+
+def kept(relation: DataFrame, told: DataFrame, extend: bool) -> DataFrame:
+    """The relation of the frequent groups ``told`` (id, block, g): names are their ids from now on."""
     told = told.groupBy("block").agg(F.collect_list(F.struct("g", "id")).alias("told"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,15 +222,20 @@ def counted(docs: DataFrame, longest: int, least: int, text_col: str,
     for k in range(1, longest + 1):
         groups = words_of(relation) if k == 1 else longer_of(relation)
         keys = ["lang", "phrase"] if k == 1 else ["p", "q"]
-        sums = groups.groupBy(*keys).agg(F.sum("n").alias("f"))
-        if k == 1:
-            sums = materialize(sums)
-            words = sums.groupBy("lang").agg(F.sum("f").alias("n"))
         # Written with their numbers, which therefore stay what they are.
-        frequent = materialize(sums.where(F.col("f") >= least).withColumn(
-            "id", F.monotonically_increasing_id()))
+        if 1 < k < longest:
+            told = materialize(frequent_rows(groups, least))
+            frequent = told.where("f IS NOT NULL").select(*keys, "f", "id")
+        else:
+            sums = groups.groupBy(*keys).agg(F.sum("n").alias("f"))
+            if k == 1:
+                sums = materialize(sums)
+                words = sums.groupBy("lang").agg(F.sum("f").alias("n"))
+            frequent = materialize(sums.where(F.col("f") >= least).withColumn(
+                "id", F.monotonically_increasing_id()))
+            told = groups.select(*keys, "block", "g").join(frequent.select(*keys, "id"), keys)
         if k < longest:
-            relation = materialize(kept(relation, groups, frequent, keys, k > 1))
+            relation = materialize(kept(relation, told, k > 1))
         if k > 1:
             start = names.select(F.col("id").alias("p"), "lang", F.col("phrase").alias("start"))
             rest = names.select(F.col("id").alias("q"), F.substring_index("phrase", " ", -1)

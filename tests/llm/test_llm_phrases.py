@@ -109,3 +109,18 @@ def test_scores_pass_64_bits(spark):
              spark.createDataFrame([("en", "a b", big - 7)], "lang string, phrase string, f long")]
     r = phrases.scored(found).first()
     assert r["score"] == 10 ** 6 * (big - 7) ** 2 // (big * (big - 1))
+
+
+def test_longer_phrases_learn_their_counts_without_a_join(spark):
+    """Rows of frequent phrases get sum and number in one exchange, and no row twice."""
+    groups = spark.createDataFrame(
+        [(1, 2, 7, 0, 6), (1, 2, 8, 3, 5), (1, 3, 7, 1, 9), (2, 1, 9, 0, 10)],
+        "p long, q long, block long, g int, n long")
+    found = phrases.frequent_rows(groups, 10)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan
+    rows = found.collect()
+    assert sorted((r["block"], r["g"]) for r in rows) == [(7, 0), (8, 3), (9, 0)]
+    assert len({r["id"] for r in rows}) == 2
+    assert len({r["id"] for r in rows if r["block"] < 9}) == 1
+    assert sorted((r["p"], r["q"], r["f"]) for r in rows if r["f"] is not None) == [(1, 2, 11), (2, 1, 10)]
