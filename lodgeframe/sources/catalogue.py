@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from lodgeframe.operators.util import materialize
+
 ANCHOR_RE = r"""(?s)<a\s[^>]*?href=["']([^"']*)["'][^>]*>(.*?)</a>"""
 TAG_RE = r"<[^>]*>"
 
@@ -34,6 +36,9 @@ STRUCTURE = ("table", "tr", "a", *SECTIONS, *CELLS)
 CHARACTERS = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
               ("&nbsp;", " "), ("&amp;", "&"))
 
+# Page text of one task's share.
+TASK_CHARS = 4_000_000
+
 
 def page_links(pages: DataFrame) -> DataFrame:
     """(page_id, pos, link, text, segment) for every ``<a href>`` anchor of every page.
@@ -75,99 +80,101 @@ def _attribute(tag: Column, name: str) -> Column:
                                      r"""(?s)\A(["'])(.*)\1\z""", "$2"))
 
 
-def page_tokens(pages: DataFrame) -> DataFrame:
-    """(page_id, key, tokens): each page with a table cut into comments, tags and texts.
+def numbered_pages(pages: DataFrame) -> tuple[DataFrame, int]:
+    """((key, page_id, html, chars), parts): the pages with a table, each row with a key of its own.
 
-    The tokens follow one another without a gap. ``key`` (id and digest) tells pages
-    apart; equal pages of one id share it.
+    Written once, so that the keys hold. ``parts`` grows with the text, so that a task that
+    gets its share of the pages holds about ``TASK_CHARS`` of it however many they are.
     """
-    return pages.where(F.lower("html").contains("<table")).select(
-        "page_id", F.struct(F.col("page_id").alias("id"), F.md5("html").alias("digest")).alias("key"),
-        F.regexp_extract_all("html", F.lit(TOKEN_RE), 0).alias("tokens"))
+    kept = materialize(pages.where(F.lower("html").contains("<table")).select(
+        F.monotonically_increasing_id().alias("key"), "page_id", "html",
+        F.length("html").alias("chars")))
+    chars = kept.agg(F.sum("chars")).first()[0] or 0
+    return kept, max(pages.sparkSession.sparkContext.defaultParallelism, -(-chars // TASK_CHARS))
+
+
+def page_tokens() -> Column:
+    """``html`` cut into comments, tags and texts that follow one another without a gap."""
+    return F.regexp_extract_all("html", F.lit(TOKEN_RE), 0)
 
 
-def tag_events(tokens: DataFrame) -> DataFrame:
-    """One row per tag that bears on tables and links, with its nesting.
+def tag_events(pages: DataFrame, city: str, parts: int) -> DataFrame:
+    """One row per tag that bears on tables and links, with its nesting; no text of the page.
 
-    (key, pos, name, closing, tag, depth, inner): ``depth`` is the number of tables open
+    (key, pos, name, closing, is_wanted, tds, links, depth, inner): ``tds`` and ``links``
+    are the cells and links before the event, ``depth`` is the number of tables open
     around the event (its own included), a running sum of +1 and -1 from which closings
     without an opening are taken out; ``inner`` is the position of the innermost table's
     opening, NULL outside tables.
     """
-    name = F.lower(F.regexp_extract("tag", NAME_RE, 1))
-    tags = tokens.select("key", F.posexplode("tokens").alias("pos", "tag")).where(
-        F.col("tag").startswith("<")).withColumn("name", name).where(
-        F.col("name").isin(*STRUCTURE)).withColumn(
-        "closing", F.col("tag").startswith("</")).distinct()
-    is_table = F.col("name") == "table"
+    wanted = f"table table-hover table-striped {city.lower()}"
+    tags = pages.select("key", F.posexplode(page_tokens()).alias("pos", "tag")).where(
+        F.col("tag").startswith("<")).withColumn(
+        "name", F.lower(F.regexp_extract("tag", NAME_RE, 1))).where(F.col("name").isin(*STRUCTURE))
+    closing = F.col("tag").startswith("</")
+    tags = tags.select(
+        "key", "pos", "name", closing.alias("closing"),
+        F.when(~closing & (F.col("name") == "table"), F.array_join(F.split(_stripped(
+            _attribute(F.col("tag"), "class")), r"\s+"), " ") == wanted).alias("is_wanted"),
+        F.when(~closing & (F.col("name") == "a"),
+               _attribute(F.col("tag"), "href").isNotNull()).alias("is_link")).repartition(parts, "key")
+    opening, is_table = ~F.col("closing"), F.col("name") == "table"
     step = F.when(is_table, F.when(F.col("closing"), -1).otherwise(1)).otherwise(0)
-    w = W.partitionBy("key").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    level = tags.withColumn("_sum", F.sum(step).over(w))
+    in_order = W.partitionBy("key").orderBy("pos")
+    w, seen = (in_order.rowsBetween(W.unboundedPreceding, n) for n in (0, -1))
+    level = tags.withColumns({
+        "_sum": F.sum(step).over(w),
+        "tds": F.coalesce(F.count_if(opening & (F.col("name") == "td")).over(seen), F.lit(0)),
+        "links": F.coalesce(F.count_if("is_link").over(seen), F.lit(0))})
     level = level.withColumn("_depth", F.col("_sum") - F.least(F.lit(0), F.min("_sum").over(w)))
     # A closing belongs to the table that it closes; a closing of nothing to none.
-    before = F.coalesce(F.lag("_depth").over(W.partitionBy("key").orderBy("pos")), F.lit(0))
+    before = F.coalesce(F.lag("_depth").over(in_order), F.lit(0))
     level = level.withColumn("depth", F.when(is_table & F.col("closing"), before).otherwise(
         F.col("_depth")).cast("int"))
-    opened = F.when(is_table & ~F.col("closing"), F.col("pos"))
+    opened = F.when(is_table & opening, F.col("pos"))
     inner = F.last(opened, True).over(W.partitionBy("key", "depth").orderBy("pos").rowsBetween(
         W.unboundedPreceding, 0))
-    return level.select("key", "pos", "name", "closing", "tag", "depth",
-                        F.when(F.col("depth") > 0, inner).alias("inner"))
+    return level.select("key", "pos", "name", "closing", "is_wanted", "is_link", "tds", "links",
+                        "depth", F.when(F.col("depth") > 0, inner).alias("inner"))
 
 
-def _spans(tokens: DataFrame, city: str) -> DataFrame:
-    """(key, rows): rows of the city's table as arrays of (c0..c3 spans, link tag)."""
-    wanted = f"table table-hover table-striped {city.lower()}"
-    e = tag_events(tokens)
+def _spans(events: DataFrame) -> DataFrame:
+    """(key, rows): rows of the wanted table as arrays of (four cell spans, position of the link)."""
     opening = ~F.col("closing")
     td = opening & (F.col("name") == "td")
-    a = opening & (F.col("name") == "a")
-    href = F.when(a, _attribute(F.col("tag"), "href"))
-    seen = W.partitionBy("key").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
-    e = e.withColumns({
-        "href": href,
-        "is_wanted": F.when(opening & (F.col("name") == "table"), F.array_join(F.split(_stripped(
-            _attribute(F.col("tag"), "class")), r"\s+"), " ") == wanted),
-        "tds": F.coalesce(F.count_if(td).over(seen), F.lit(0)),
-        "links": F.coalesce(F.count_if(a & href.isNotNull()).over(seen), F.lit(0))})
     # The next event of the same table that ends a row, a cell, the table itself.
     back = W.partitionBy("key", "inner").orderBy(F.desc("pos")).rowsBetween(
         W.unboundedPreceding, -1)
-    here = F.struct("pos", "tds", "links")
     ends_table = F.col("closing") & (F.col("name") == "table")
     ends_row = ends_table | F.col("name").isin("tr", *SECTIONS)
     ends_cell = ends_row | F.col("name").isin(*CELLS)
-    last = F.struct(F.lit(2**31 - 1).alias("pos"), F.lit(2**62).alias("tds"),
-                    F.lit(2**62).alias("links"))
-    e = e.withColumns({
-        k: F.last(F.when(c, here), True).over(back)
-        for k, c in (("table_end", ends_table), ("row_end", ends_row), ("cell_end", ends_cell))})
     # An element that nothing ends runs to the end of the page, behind every event of it.
-    e = e.withColumns({k: F.coalesce(k, last) for k in ("table_end", "row_end", "cell_end")})
-    totals = e.groupBy("key").agg(
-        F.count_if(td).alias("all_tds"),
-        F.min_by(F.struct("pos", F.col("table_end.pos").alias("end")),
-                 F.when(F.col("is_wanted"), F.col("pos"))).alias("target")).where(
-        "target IS NOT NULL")
-    rows = e.where(opening & (F.col("name") == "tr")).join(totals, "key").where(
-        (F.col("pos") > F.col("target.pos")) & (F.col("pos") < F.col("target.end")))
-    rows = rows.where(F.least("row_end.tds", "all_tds") - F.col("tds") == 4).select(
-        "key", F.col("pos").alias("row"), F.col("tds").alias("first"))
-    cells = e.where(td).select("key", F.col("tds").alias("n"), F.struct(
-        F.col("pos").alias("start"), F.col("cell_end.pos").alias("end")).alias("span"),
-        "links", F.col("cell_end.links").alias("links_end"))
-    anchors = e.where("href IS NOT NULL").select("key", F.col("links").alias("n"), "href")
-    # The third cell's link is the first one between its ends: the one of that number.
-    link = anchors.withColumnRenamed("n", "links")
-    cells = cells.join(link, ["key", "links"], "left").withColumn(
-        "href", F.when(F.col("links") < F.col("links_end"), F.col("href")))
-    numbered = rows.select("key", "row", F.posexplode(F.array(*[
-        F.col("first") + i for i in range(4)])).alias("i", "n"))
-    found = numbered.join(cells, ["key", "n"]).groupBy("key", "row").agg(
-        F.array_sort(F.collect_list(F.struct("i", "span"))).alias("cells"),
-        F.max(F.when(F.col("i") == 2, F.col("href"))).alias("href"))
-    return found.groupBy("key").agg(
-        F.array_sort(F.collect_list(F.struct("row", "cells", "href"))).alias("rows"))
+    e = events.withColumns({
+        into: F.coalesce(F.last(F.when(c, F.col(of)), True).over(back), F.lit(2**62 if n else 2**31 - 1))
+        for into, c, of, n in (("table_end", ends_table, "pos", False), ("row_tds", ends_row, "tds", True),
+                               ("cell_end", ends_cell, "pos", False),
+                               ("cell_links", ends_cell, "links", True))})
+    tr = opening & (F.col("name") == "tr")
+    # A page's cells and links by number, so that rows and cells find theirs by place.
+    page = e.groupBy("key").agg(
+        F.min_by(F.struct("pos", F.col("table_end").alias("end")),
+                 F.when(F.col("is_wanted"), F.col("pos"))).alias("target"),
+        F.array_sort(F.collect_list(F.when(tr, F.struct("pos", "tds", "row_tds")))).alias("trs"),
+        F.array_sort(F.collect_list(F.when(td, F.struct("pos", F.col("cell_end").alias("end"), "links",
+                                                        "cell_links")))).alias("cells"),
+        F.array_sort(F.collect_list(F.when(F.col("is_link"), F.col("pos")))).alias("anchors"))
+    four = F.filter("trs", lambda r: (r["pos"] > F.col("target.pos")) & (r["pos"] < F.col("target.end"))
+                    & (F.least(r["row_tds"], F.size("cells").cast("long")) - r["tds"] == 4))
+
+    def row(r: Column) -> Column:
+        first = r["tds"].cast("int")
+        third = F.get("cells", first + 2)
+        # The third cell's link is the first one between its ends: the one of that number.
+        link = F.when(third["links"] < third["cell_links"], F.get("anchors", third["links"].cast("int")))
+        return F.struct(F.slice("cells", first + 1, F.lit(4)).alias("cells"), link.alias("link"))
+
+    return page.where("target IS NOT NULL").select("key", F.transform(four, row).alias("rows")).where(
+        F.size("rows") > 0)
 
 
 def catalogue_rows(pages: DataFrame, city: str) -> DataFrame:
@@ -182,19 +189,24 @@ def catalogue_rows(pages: DataFrame, city: str) -> DataFrame:
     NULL where the link is missing or has fewer than three parts.
     Defined cases: a null or empty page has no rows; a repeated page gives its rows again.
     """
-    tokens = page_tokens(pages)
-    joined = tokens.join(_spans(tokens, city), "key")
+    pages, parts = numbered_pages(pages)
+    spans = _spans(tag_events(pages, city, parts))
+    joined = pages.select("key", "page_id", "html").repartition(parts, "key").join(
+        spans, "key").withColumn("tokens", page_tokens())
     texts = F.transform("tokens", lambda t: F.when(
         t.startswith("<") & (F.length(t) > 1), F.lit("")).otherwise(t))
 
     def text(row: Column, texts: Column, i: int) -> Column:
-        span = row["cells"][i]["span"]
-        part = F.slice(texts, span["start"] + 1, F.least(span["end"], F.size(texts)) - span["start"])
+        cell = row["cells"][i]
+        part = F.slice(texts, cell["pos"] + 1, F.least(cell["end"], F.size(texts)) - cell["pos"])
         return _stripped(_decoded(F.array_join(part, "")))
 
+    def link(row: Column) -> Column:
+        return F.nullif(_attribute(F.get("tokens", row["link"]), "href"), F.lit(""))
+
     rows = joined.withColumn("texts", texts).select("page_id", F.explode(F.transform(
         "rows", lambda r: F.struct(*[text(r, F.col("texts"), i).alias(f"c{i}") for i in range(4)],
-                                   F.nullif(r["href"], F.lit("")).alias("link")))).alias("r"))
+                                   link(r).alias("link")))).alias("r"))
     return rows.select(
         "page_id",
         F.col("r.c0").alias("date_compiled"),

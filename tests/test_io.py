@@ -2,6 +2,7 @@
 
 import os
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodgeframe.operators import geo
@@ -128,6 +129,16 @@ def test_catalogue_rows_of_repeated_and_long_pages(spark):
     assert {r["page_id"]: r["count"] for r in rows} == {1: 6000, None: 3000}
 
 
+def test_catalogue_parts_grow_with_the_text(spark, monkeypatch):
+    page = CITY + "<tr>" + _four(1) + "</tr></table>" + "<p>text</p>" * 100
+    monkeypatch.setattr(catalogue, "TASK_CHARS", 2 * len(page), raising=False)
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.lit(page).alias("html"))
+    rows = catalogue.catalogue_rows(pages, "porto").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in rows) == 400
+    # 200 parts of two pages on average; merged to one for each core before.
+    assert len(rows) > 100 and max(r["count"] for r in rows) < 20
+
+
 def test_model_save_load(spark, tmp_path):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer
