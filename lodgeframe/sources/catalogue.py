@@ -12,8 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lodgeframe.operators.util import materialize
-
 ANCHOR_RE = r"""(?s)<a\s[^>]*?href=["']([^"']*)["'][^>]*>(.*?)</a>"""
 TAG_RE = r"<[^>]*>"
 
@@ -36,9 +34,6 @@ STRUCTURE = ("table", "tr", "a", *SECTIONS, *CELLS)
 CHARACTERS = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
               ("&nbsp;", " "), ("&amp;", "&"))
 
-# Page text of one task's share.
-TASK_CHARS = 4_000_000
-
 
 def page_links(pages: DataFrame) -> DataFrame:
     """(page_id, pos, link, text, segment) for every ``<a href>`` anchor of every page.
@@ -80,17 +75,17 @@ def _attribute(tag: Column, name: str) -> Column:
                                      r"""(?s)\A(["'])(.*)\1\z""", "$2"))
 
 
-def numbered_pages(pages: DataFrame) -> tuple[DataFrame, int]:
-    """((key, page_id, html, chars), parts): the pages with a table, each row with a key of its own.
+def keyed_pages(pages: DataFrame) -> DataFrame:
+    """(key, html): the pages with a table, dealt by key to all ``spark.sql.shuffle.partitions``.
 
-    Written once, so that the keys hold. ``parts`` grows with the text, so that a task that
-    gets its share of the pages holds about ``TASK_CHARS`` of it however many they are.
+    ``key`` (id and digest) tells pages apart; equal pages of one id share it. The number is
+    given, as a page's tags need far more memory than its bytes in the shuffle, by which
+    Spark would merge the parts to one for each core.
     """
-    kept = materialize(pages.where(F.lower("html").contains("<table")).select(
-        F.monotonically_increasing_id().alias("key"), "page_id", "html",
-        F.length("html").alias("chars")))
-    chars = kept.agg(F.sum("chars")).first()[0] or 0
-    return kept, max(pages.sparkSession.sparkContext.defaultParallelism, -(-chars // TASK_CHARS))
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pages.where(F.lower("html").contains("<table")).select(
+        F.struct(F.col("page_id").alias("id"), F.md5("html").alias("digest")).alias("key"),
+        "html").repartition(parts, "key")
 
 
 def page_tokens() -> Column:
@@ -98,17 +93,17 @@ def page_tokens() -> Column:
     return F.regexp_extract_all("html", F.lit(TOKEN_RE), 0)
 
 
-def tag_events(pages: DataFrame, city: str, parts: int) -> DataFrame:
+def tag_events(pages: DataFrame, city: str) -> DataFrame:
     """One row per tag that bears on tables and links, with its nesting; no text of the page.
 
-    (key, pos, name, closing, is_wanted, tds, links, depth, inner): ``tds`` and ``links``
+    (key, pos, name, closing, is_wanted, is_link, tds, links, depth, inner): ``tds`` and ``links``
     are the cells and links before the event, ``depth`` is the number of tables open
     around the event (its own included), a running sum of +1 and -1 from which closings
     without an opening are taken out; ``inner`` is the position of the innermost table's
     opening, NULL outside tables.
     """
     wanted = f"table table-hover table-striped {city.lower()}"
-    tags = pages.select("key", F.posexplode(page_tokens()).alias("pos", "tag")).where(
+    tags = pages.dropDuplicates(["key"]).select("key", F.posexplode(page_tokens()).alias("pos", "tag")).where(
         F.col("tag").startswith("<")).withColumn(
         "name", F.lower(F.regexp_extract("tag", NAME_RE, 1))).where(F.col("name").isin(*STRUCTURE))
     closing = F.col("tag").startswith("</")
@@ -117,7 +112,7 @@ def tag_events(pages: DataFrame, city: str, parts: int) -> DataFrame:
         F.when(~closing & (F.col("name") == "table"), F.array_join(F.split(_stripped(
             _attribute(F.col("tag"), "class")), r"\s+"), " ") == wanted).alias("is_wanted"),
         F.when(~closing & (F.col("name") == "a"),
-               _attribute(F.col("tag"), "href").isNotNull()).alias("is_link")).repartition(parts, "key")
+               _attribute(F.col("tag"), "href").isNotNull()).alias("is_link"))
     opening, is_table = ~F.col("closing"), F.col("name") == "table"
     step = F.when(is_table, F.when(F.col("closing"), -1).otherwise(1)).otherwise(0)
     in_order = W.partitionBy("key").orderBy("pos")
@@ -189,10 +184,9 @@ def catalogue_rows(pages: DataFrame, city: str) -> DataFrame:
     NULL where the link is missing or has fewer than three parts.
     Defined cases: a null or empty page has no rows; a repeated page gives its rows again.
     """
-    pages, parts = numbered_pages(pages)
-    spans = _spans(tag_events(pages, city, parts))
-    joined = pages.select("key", "page_id", "html").repartition(parts, "key").join(
-        spans, "key").withColumn("tokens", page_tokens())
+    pages = keyed_pages(pages)
+    joined = pages.join(_spans(tag_events(pages, city)), "key").select(
+        F.col("key.id").alias("page_id"), "rows", page_tokens().alias("tokens"))
     texts = F.transform("tokens", lambda t: F.when(
         t.startswith("<") & (F.length(t) > 1), F.lit("")).otherwise(t))
 

@@ -129,14 +129,19 @@ def test_catalogue_rows_of_repeated_and_long_pages(spark):
     assert {r["page_id"]: r["count"] for r in rows} == {1: 6000, None: 3000}
 
 
-def test_catalogue_parts_grow_with_the_text(spark, monkeypatch):
+def test_catalogue_parts_are_not_merged(spark):
     page = CITY + "<tr>" + _four(1) + "</tr></table>" + "<p>text</p>" * 100
-    monkeypatch.setattr(catalogue, "TASK_CHARS", 2 * len(page), raising=False)
     pages = spark.range(400).select(F.col("id").alias("page_id"), F.lit(page).alias("html"))
-    rows = catalogue.catalogue_rows(pages, "porto").groupBy(F.spark_partition_id()).count().collect()
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        rows = catalogue.catalogue_rows(pages, "porto").groupBy(
+            F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
     assert sum(r["count"] for r in rows) == 400
-    # 200 parts of two pages on average; merged to one for each core before.
-    assert len(rows) > 100 and max(r["count"] for r in rows) < 20
+    # Merged to one part, with all events in the memory of one task, before.
+    assert len(rows) > 50 and max(r["count"] for r in rows) < 40
 
 
 def test_model_save_load(spark, tmp_path):
