@@ -255,7 +255,9 @@ def links(fps: DataFrame, max_bits: int = 3, n_groups: int = 2,
     found, level = None, 0
     while True:
         sizes = sent.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
-        shared = materialize(sent.join(sizes, ["mask", "key"]))
+        # A merge join: Spark sizes the exploded rows as the few bytes of the fingerprints, and
+        # the driver would hold the signatures of them all for a broadcast.
+        shared = materialize(sent.join(sizes.hint("merge"), ["mask", "key"]))
         small = shared.where(F.col("n") <= block_rows).groupBy("mask", "key").agg(
             F.collect_list("fp").alias("fps")).select("fps")
         edges = materialize(small.mapInPandas(block_stars(max_bits), "a long, b long").distinct())
@@ -278,7 +280,7 @@ def component_labels(prints: DataFrame, max_bits: int, n_groups: int,
     rooted = fps.join(roots, fps["fp"] == roots["node"]).select("fp", "least", "root")
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root")
     # Written, so that joins with the documents read two plain exchanges and a fingerprint
-    # of many copies can be split.
+    # of many copies can be split. These are merge joins: each side has a row a document.
     return materialize(fps.join(named.select("fp", "root", "component_id"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("component"),
         F.coalesce("component_id", "least").alias("component_id")))
@@ -290,7 +292,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
     """(doc_id, fingerprint, component_id), one row per input row."""
     prints = materialize(fingerprints(docs, shingle, id_col, text_col))
     label = component_labels(prints, max_bits, n_groups, block_rows)
-    return prints.join(label, "fp").select(
+    return prints.join(label.hint("merge"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
