@@ -152,7 +152,9 @@ def mix(docs: DataFrame, plan: Curriculum | None = None, id_col: str = "doc_id",
         "source_size", "target", "slope")
     placed = rows.withColumn("before", _before("words", ["source", "bucket"],
                                                ["row_key", "doc_id"]))
-    placed = placed.join(starts, F.col("source").eqNullSafe(F.col("s"))
+    # A merge join: the rows are written in few bytes each, and Spark would have the driver hold
+    # them all for a broadcast, as their places look longer than they are.
+    placed = placed.join(starts.hint("merge"), F.col("source").eqNullSafe(F.col("s"))
                          & (F.col("bucket") == F.col("b")))
     # One row for each of the equal rows, in chunks: they follow one another.
     placed = placed.withColumn("chunk", F.explode(F.sequence(

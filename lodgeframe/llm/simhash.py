@@ -310,7 +310,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, n_groups: int
         F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("key"))
     prints = materialize(fingerprints(keyed, shingle, "id", "text", "key"))
     label = component_labels(prints, max_bits, n_groups, block_rows)
-    best = prints.join(label, "fp").groupBy("component").agg(F.min(F.struct(
+    best = prints.join(label.hint("merge"), "fp").groupBy("component").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("best"))
     best = best.select(F.col("best.doc_id").alias("best_id"), F.col("best.key").alias("best_key"))
     joined = keyed.drop("text").join(best, (F.col("key") == F.col("best_key"))

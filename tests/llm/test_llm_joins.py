@@ -1,6 +1,6 @@
 """Sides that grow with the documents are not broadcast, however few bytes Spark takes them for."""
 
-from lodgeframe.llm import simhash
+from lodgeframe.llm import mixing, simhash
 from llm.helpers import doc_frame
 
 TEXTS = [f"{w} one {w} two {w} three {w} four {w} five" for w in ("alpha", "beta", "gamma", "alpha")]
@@ -26,3 +26,11 @@ def test_signatures_are_not_broadcast(spark, monkeypatch):
 def test_fingerprints_are_not_broadcast(spark):
     met = joins(simhash.near_duplicates(doc_frame(spark, TEXTS)), "fp")
     assert met and all("SortMergeJoin" in x for x in met)
+
+
+def test_pipeline_stages_broadcast_no_row_a_document(spark):
+    docs = doc_frame(spark, TEXTS)
+    for plan, key in ((simhash.keep_one(docs), "fp"), (mixing.mix(docs), "bucket")):
+        met = joins(plan, key)
+        assert met and all("SortMergeJoin" in x for x in met), key
+        assert plan.count() == (3 if key == "fp" else 4)
